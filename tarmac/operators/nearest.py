@@ -130,16 +130,13 @@ def _cut_into_slices(points: DataFrame, slices: int) -> DataFrame:
     earlier = W.partitionBy("k").orderBy("s").rowsBetween(W.unboundedPreceding, -1)
     later = W.partitionBy("k").orderBy(F.col("s").desc()).rowsBetween(W.unboundedPreceding, -1)
     # One instant may straddle slices, so the extremes run over all slices on that side.
-    handed = edges.select(
-        "k",
-        "s",
-        F.explode(
-            F.array(
-                F.min_by("last", _latest("last")).over(earlier),
-                F.min_by("first", _earliest("first")).over(later),
-            )
-        ).alias("seen"),
-    ).where("seen is not null")
+    handed = edges.withColumns(
+        {
+            "from_before": F.min_by("last", _latest("last")).over(earlier),
+            "from_after": F.min_by("first", _earliest("first")).over(later),
+        }
+    ).select("k", "s", F.explode(F.array("from_before", "from_after")).alias("seen"))
+    handed = handed.where("seen is not null")
     extra = handed.select("k", "s", F.lit(0).alias("kind"), "seen.t", "seen.id", "seen")
     return stored.unionByName(extra, allowMissingColumns=True)
 

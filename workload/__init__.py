@@ -1,6 +1,6 @@
 """The registered queries: every operator run over the given tables, with its SQL check."""
 
-from workload import time_queries  # noqa: F401
+from workload import join_queries, time_queries  # noqa: F401
 from workload.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
