@@ -1,6 +1,13 @@
 """The registered queries: every operator run over the given tables, with its SQL check."""
 
-from workload import join_queries, time_queries  # noqa: F401
+from workload import (  # noqa: F401
+    join_queries,
+    model_queries,
+    profile_queries,
+    selection_queries,
+    table_queries,
+    time_queries,
+)
 from workload.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -131,10 +131,24 @@ def nearest_join_6h(spark, sf):
     return _nearest(spark, sf, tolerance_hours=6)
 
 
-@query(_nearest_sql(None))
-def nearest_join_sliced(spark, sf):
-    # A small limit per group sends the same join down the path for hot keys.
-    return _nearest(spark, sf, max_group_rows=4)
+@query(
+    """
+WITH obs AS (SELECT 1 AS k, ts, min(event_id) AS id FROM events WHERE event_type = 'view' GROUP BY ALL),
+l AS (SELECT 1 AS k, event_id, ts FROM events WHERE event_type = 'error'),
+b AS (SELECT l.*, o.ts AS b_ts, o.id AS b_id FROM l ASOF LEFT JOIN obs o ON l.k = o.k AND l.ts >= o.ts),
+n AS (SELECT b.*, o.ts AS f_ts, o.id AS f_id FROM b ASOF LEFT JOIN obs o ON b.k = o.k AND b.ts <= o.ts)
+SELECT event_id, CASE WHEN b_ts IS NOT NULL AND (f_ts IS NULL OR ts - b_ts <= f_ts - ts) THEN b_id ELSE f_id END AS view_id
+FROM n"""
+)
+def nearest_join_hot_key(spark, sf):
+    # One key holds every row, so the join takes the sliced path.
+    events = load(spark, sf, "events").withColumn("everywhere", F.lit("all"))
+    return nearest_join(
+        events.where("event_type = 'error'").select("event_id", "everywhere", "ts"),
+        events.where("event_type = 'view'"),
+        left_key="everywhere", left_time="ts", key="everywhere", time="ts", row_id="event_id",
+        payload={"event_id": "view_id"}, max_group_rows=500,
+    ).select("event_id", "view_id")
 
 
 _MATCH_SQL = f"""
