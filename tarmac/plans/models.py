@@ -90,6 +90,8 @@ class DropFirstFit(Estimator, HasInputCols, DefaultParamsReadable, DefaultParams
 
 def usable_numeric(df: DataFrame, columns: list[str]) -> list[str]:
     """Numeric columns with at least one value; a mean needs one. One aggregate for all of them."""
+    if not columns:
+        return []
     counts = df.agg(*[F.count(c).alias(c) for c in columns]).first()
     return [c for c in columns if counts[c] > 0]
 

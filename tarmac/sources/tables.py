@@ -43,16 +43,9 @@ def save_snapshot(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def _iso(value: Column) -> Column:
-    whole = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss")
-    fraction = F.date_format(value, ".SSSSSS")
-    return F.when(F.second(value).isNotNull(), F.concat(whole, F.nullif(fraction, F.lit(".000000")))).otherwise(
-        F.lit(None)
-    )
-
-
 def _iso_text(value: Column) -> Column:
-    return F.coalesce(_iso(value), F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss"))
+    fraction = F.nullif(F.date_format(value, ".SSSSSS"), F.lit(".000000"))
+    return F.concat(F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss"), F.coalesce(fraction, F.lit("")))
 
 
 def _json_ready(value: Column, kind: T.DataType) -> Column:

@@ -5,6 +5,7 @@ from workload import (  # noqa: F401
     model_queries,
     profile_queries,
     selection_queries,
+    stream_queries,
     table_queries,
     time_queries,
 )

@@ -13,14 +13,14 @@ from tarmac.sources import landing, tables
 from workload.registry import query
 from workload.tables import FLIGHTS_SQL, SCHEDULES_SQL, flights, load, schedules
 
-# Target: the earlier half of the month of events; batch: the later half. Key: user and event
-# type, so most keys are on both sides and have many versions in the batch.
+# Target: the earlier half of the month of events; batch: the later half. Key: user, event type
+# and size class of the value, so keys occur on either side or on both, some with many versions.
 _SPLIT = "2024-01-16"
 
 
 def _halves(spark, sf):
     events = load(spark, sf, "events").select(
-        F.concat_ws("_", "user_id", "event_type").alias("_id"),
+        F.concat_ws("_", "user_id", "event_type", F.floor(F.col("value") / 10)).alias("_id"),
         "event_type",
         F.when(F.col("value") > 20, F.col("value")).alias("value"),
         F.when(F.col("value") <= 60, F.col("props")).alias("props"),
@@ -32,7 +32,7 @@ def _halves(spark, sf):
 
 
 _HALVES_SQL = f"""
-WITH e AS (SELECT user_id || '_' || event_type AS _id, event_type, CASE WHEN value > 20 THEN value END AS value,
+WITH e AS (SELECT user_id || '_' || event_type || '_' || CAST(floor(value / 10) AS BIGINT) AS _id, event_type, CASE WHEN value > 20 THEN value END AS value,
   CASE WHEN value <= 60 THEN props END AS props, event_id AS last_event, ts FROM events),
 old AS (SELECT * FROM e WHERE ts < TIMESTAMP '{_SPLIT}'), new AS (SELECT * FROM e WHERE ts >= TIMESTAMP '{_SPLIT}'),
 stored AS (SELECT _id, arg_min(event_type, last_event) AS event_type, arg_min(CASE WHEN value IS NULL THEN -1 ELSE value END, last_event) AS value,
@@ -131,8 +131,8 @@ def replace_table(spark, sf):
     return tables.read_table(spark, path)
 
 
-@query("""SELECT CAST(event_id AS VARCHAR) AS _id, strftime(ts, CASE WHEN epoch_us(ts) % 1000000 = 0 THEN '%Y-%m-%dT%H:%M:%S'
-  ELSE '%Y-%m-%dT%H:%M:%S.%f' END) AS ts, event_type || 'é' AS kind FROM events""")
+@query("""SELECT CAST(event_id AS VARCHAR) AS _id, CASE WHEN epoch_us(ts) % 1000000 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
+  ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS ts, event_type || 'é' AS kind FROM events""")
 def export_json(spark, sf):
     path = scratch_path(spark, "export")
     rows = load(spark, sf, "events").select(

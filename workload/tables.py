@@ -24,9 +24,12 @@ def _plus(ts: Column, minutes: Column) -> Column:
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flights_from(load(spark, sf_dir, "orders"))
+
+
+def flights_from(o: DataFrame) -> DataFrame:
     """Nested flight documents, one per order. Landed flights have an actual arrival; some
     estimates are missing, some times are empty or unreadable text."""
-    o = load(spark, sf_dir, "orders")
     priority, status, cust, key = (F.col(f"o_{c}") for c in ("orderpriority", "orderstatus", "custkey", "orderkey"))
     dep = _plus(F.col("o_orderdate"), cust * 37 % 1440)
     arr = _plus(dep, F.when(priority == "1-URGENT", 40 - cust % 90).otherwise(45 + cust % 700))
