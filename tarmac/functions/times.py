@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MINUTE_FORMAT = "yyyy-MM-dd HH:mm"
+MINUTE_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}$"
 DAY_FORMAT = "yyyy-MM-dd"
 HOUR_KEY_FORMAT = "yyyyMMddHH"
 
@@ -19,8 +19,11 @@ def parse_instant(text: Column) -> Column:
 
 
 def parse_minute(text: Column) -> Column:
-    """``yyyy-MM-dd HH:mm`` text to a timestamp; empty and malformed text become null."""
-    return F.try_to_timestamp(F.nullif(text, F.lit("")), F.lit(MINUTE_FORMAT))
+    """``yyyy-MM-dd HH:mm`` text to a timestamp; empty and malformed text become null.
+
+    The shape is checked and the text cast, which is several times faster than a format parser.
+    """
+    return F.when(text.rlike(MINUTE_SHAPE), F.try_to_timestamp(text))
 
 
 def wall_clock(text: Column) -> Column:

@@ -5,17 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.functions.times import each_day
+from tarmac.session import cut_lineage
+
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def sized(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def sized(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES, store: bool = False
+) -> DataFrame:
     """``df`` with a broadcast hint if it is measured to be small, without one otherwise.
 
-    The measurement is a two-number aggregate. Beyond the limits the join shuffles, and adaptive
-    execution splits the partitions of hot keys: every side that goes through here is unique per
-    key, so splitting the other side is enough.
+    The measurement is a two-number aggregate. ``store`` materialises ``df`` first: use it for a
+    side that is itself the result of a pass over a large table, which measuring and joining
+    would otherwise repeat. Beyond the limits the join shuffles, and adaptive execution splits
+    the partitions of hot keys: every side that goes through here is unique per key, so splitting
+    the other side is enough.
     """
+    if store:
+        df = cut_lineage(df)
     width = F.octet_length(F.to_json(F.struct(*df.columns)))
     rows, size = df.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
     return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
@@ -66,8 +75,6 @@ def coverage_grid(facts: DataFrame, members: DataFrame, member: str, day: str, f
 
     The grid is an explode of the day list on each member row; facts are counted before the join.
     """
-    from tarmac.functions.times import each_day
-
     days = F.explode(each_day(F.lit(first), F.lit(last)))
     grid = members.select(member).distinct().select(member, days.alias(day))
     counts = facts.groupBy(F.col(member), F.col(day).cast("date").alias(day)).agg(F.count("*").alias("n"))

@@ -5,17 +5,18 @@ observation forward and a second, sorted the other way, carries the next later o
 one shuffle and two sorts, never (left rows x observations) pairs. Two running frames are used
 on purpose: a frame that looks at all following rows is re-evaluated per row.
 
-A key may hold a large part of all rows. The number of rows of the largest key is measured first
-(one aggregate over key columns). If it is too much for one task, the stacked rows are cut into
-slices of about equal size by a range partitioning on (key, time), written once to the shared
-checkpoint folder so the slice numbers are final, and each slice receives the last observation
-before it and the first one after it as two extra rows. The result is the same.
+A key may hold a large part of all rows. The number of rows of the largest key is measured first:
+one count per key, over the key columns alone. If it is too much for one task, the stacked rows
+are cut into slices of about equal size by a range partitioning on (key, time), written once to
+the shared checkpoint folder so the slice numbers are final, and each slice receives the last
+observation before it and the first one after it as two extra rows. The result is the same.
 
 Ties: the earlier observation wins; among observations of one instant the smallest id wins.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from math import ceil
 
 from pyspark.sql import Column, DataFrame
@@ -41,16 +42,21 @@ def nearest_join(
     matched_time: str | None = None,
     tolerance_hours: int | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
+    group_sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Left join to the nearest observation.
 
     ``payload`` maps observation column -> output column. Rows of ``left`` without key, time or
     any observation get nulls. With ``tolerance_hours`` a match further away (closed bound) is
     dropped to null, which is exact: the nearest overall is the nearest within the bound.
+
+    ``group_sizes`` is the result of :func:`measure_groups` if the caller has it already; give it
+    when ``left`` is itself the outcome of an expensive join, which measuring would run twice.
     """
     points = _stack(left, observations, left_key, left_time, key, time, row_id, payload)
-    slices = _slices_needed(points, max_group_rows)
-    if slices > 1:
+    largest, total = group_sizes or measure_groups((left, left_key), (observations, key))
+    if largest > max_group_rows:
+        slices = min(MAX_SLICES, max(2, ceil(total / max_group_rows)))
         points = _cut_into_slices(points, slices)
     chosen = _carry_both_ways(points)
 
@@ -65,9 +71,22 @@ def nearest_join(
     return picked.select("row.*", *out)
 
 
+def measure_groups(*sides: tuple[DataFrame, str]) -> tuple[int, int]:
+    """(rows of the largest key, rows of all keys) over several frames and their key columns.
+
+    Each side is counted per key before the counts meet, so this moves one row per key and task.
+    """
+    counts = [
+        df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.count("*").alias("n")) for df, key in sides
+    ]
+    per_key = reduce(DataFrame.unionByName, counts).groupBy("k").agg(F.sum("n").alias("n"))
+    largest, total = per_key.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    return largest, total
+
+
 def _stack(left, observations, left_key, left_time, key, time, row_id, payload) -> DataFrame:
     """Both inputs in one shape: key k, instant t (microseconds), kind (0 observation, 1 left row),
-    slice s, and either an observation struct or the left row."""
+    slice s, observation id and payload, left row."""
     micros = lambda name: F.unix_micros(F.col(name).cast("timestamp"))
     seen = observations.where(F.col(key).isNotNull() & F.col(time).isNotNull()).select(
         F.col(key).alias("k"),
@@ -77,9 +96,6 @@ def _stack(left, observations, left_key, left_time, key, time, row_id, payload)
         F.col(row_id).alias("id"),
         F.struct(*[F.col(old).alias(new) for old, new in payload.items()]).alias("payload"),
     )
-    seen = seen.select(
-        "k", "t", "kind", "s", "id", F.struct("t", "id", "payload").alias("seen")
-    )
     # Left rows that cannot match must not pile up under one null key: they are spread over as
     # many groups as there are input partitions.
     matchable = F.col(left_key).isNotNull() & F.col(left_time).isNotNull()
@@ -93,6 +109,10 @@ def _stack(left, observations, left_key, left_time, key, time, row_id, payload)
     return asked.unionByName(seen, allowMissingColumns=True)
 
 
+def _seen() -> Column:
+    return F.when(F.col("kind") == 0, F.struct("t", "id", "payload"))
+
+
 def _earliest(seen: str) -> Column:
     """Sort key, smallest first: instant, then id. Null (and so ignored) without an observation."""
     return F.when(F.col(seen).isNotNull(), F.struct(F.col(f"{seen}.t"), F.col(f"{seen}.id")))
@@ -102,14 +122,6 @@ def _latest(seen: str) -> Column:
     return F.when(F.col(seen).isNotNull(), F.struct(-F.col(f"{seen}.t"), F.col(f"{seen}.id")))
 
 
-def _slices_needed(points: DataFrame, max_group_rows: int) -> int:
-    sizes = points.where("k is not null").groupBy("k").agg(F.count("*").alias("n"))
-    largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
-    if largest is None or largest <= max_group_rows:
-        return 1
-    return min(MAX_SLICES, max(2, ceil(total / max_group_rows)))
-
-
 def _cut_into_slices(points: DataFrame, slices: int) -> DataFrame:
     ordering = ["k", "t", "kind", F.col("id").desc(), "salt"]
     ranged = (
@@ -121,6 +133,7 @@ def _cut_into_slices(points: DataFrame, slices: int) -> DataFrame:
     stored = cut_lineage(ranged)
     edges = (
         stored.where("k is not null")
+        .select("k", "s", _seen().alias("seen"))
         .groupBy("k", "s")
         .agg(
             F.min_by("seen", _earliest("seen")).alias("first"),
@@ -137,7 +150,7 @@ def _cut_into_slices(points: DataFrame, slices: int) -> DataFrame:
         }
     ).select("k", "s", F.explode(F.array("from_before", "from_after")).alias("seen"))
     handed = handed.where("seen is not null")
-    extra = handed.select("k", "s", F.lit(0).alias("kind"), "seen.t", "seen.id", "seen")
+    extra = handed.select("k", "s", F.lit(0).alias("kind"), "seen.*")
     return stored.unionByName(extra, allowMissingColumns=True)
 
 
@@ -145,8 +158,8 @@ def _carry_both_ways(points: DataFrame) -> DataFrame:
     group = W.partitionBy("k", "s")
     up = group.orderBy("t", "kind", F.col("id").desc()).rowsBetween(W.unboundedPreceding, 0)
     down = group.orderBy(F.col("t").desc(), "kind", F.col("id").desc()).rowsBetween(W.unboundedPreceding, 0)
-    return points.withColumn("before", F.last("seen", ignorenulls=True).over(up)).withColumn(
-        "after", F.last("seen", ignorenulls=True).over(down)
+    return points.withColumn("before", F.last(_seen(), ignorenulls=True).over(up)).withColumn(
+        "after", F.last(_seen(), ignorenulls=True).over(down)
     )
 
 

@@ -13,21 +13,22 @@ from tarmac.sources.tables import save_run
 def schedule_features(schedules: DataFrame, identity: list[str] | None = None) -> DataFrame:
     """One feature row per schedule. The airline's code stands in for its name, the duration is
     passed through, weekdays count from 0 and unknown values stay null."""
-    instant = {
-        name: times.parse_minute(F.col(name))
-        for name in ("dep_time", "arr_time", "dep_actual", "arr_actual", "dep_estimated", "arr_estimated")
+    instants = ("dep_time", "arr_time", "dep_actual", "arr_actual", "dep_estimated", "arr_estimated")
+    parsed = schedules.withColumns({name: times.parse_minute(F.col(name)) for name in instants})
+    calendar = times.zero_based_calendar_fields(F.col("dep_time"))
+    minutes = {
+        "departure_delay_actual": ("dep_actual", "dep_time"),
+        "arrival_delay_actual": ("arr_actual", "arr_time"),
+        "departure_delay_estimated": ("dep_estimated", "dep_time"),
+        "arrival_delay_estimated": ("arr_estimated", "arr_time"),
     }
-    calendar = times.zero_based_calendar_fields(instant["dep_time"])
-    return schedules.select(
+    return parsed.select(
         *(identity or []),
         F.col("airline_iata").alias("airline_name"),
         F.col("dep_iata").alias("departure_iata"),
         F.col("arr_iata").alias("arrival_iata"),
         *[c.alias(n) for n, c in calendar.items()],
-        times.clamped_minutes(instant["dep_actual"], instant["dep_time"]).alias("departure_delay_actual"),
-        times.clamped_minutes(instant["arr_actual"], instant["arr_time"]).alias("arrival_delay_actual"),
-        times.clamped_minutes(instant["dep_estimated"], instant["dep_time"]).alias("departure_delay_estimated"),
-        times.clamped_minutes(instant["arr_estimated"], instant["arr_time"]).alias("arrival_delay_estimated"),
+        *[times.clamped_minutes(F.col(a), F.col(b)).alias(n) for n, (a, b) in minutes.items()],
         F.col("duration").alias("flight_duration_scheduled"),
     )
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tarmac.functions import times, weather as wx
 from tarmac.operators.lookup import lookup, sized
 from tarmac.operators.merge import last_rows
-from tarmac.schemas import FEATURE_COLUMNS, WEATHER_FIELDS
+from tarmac.plans.training import DELAYS
+from tarmac.schemas import FEATURE_COLUMNS, TARGET, WEATHER_FIELDS
 
 
 def latest_weather(weather: DataFrame, order: list[str], city_col: str = "city") -> DataFrame:
@@ -32,38 +33,37 @@ def serving_features(
     A flight is kept only if both airports are known and both cities have weather. Missing delays
     are 0.0, and hour and weekday are read from the clock as written.
     """
-    return _features(flights, sized(dimension), sized(latest_weather(weather, weather_order)), identity or [])
+    cities = sized(dimension)
+    snapshot = sized(latest_weather(weather, weather_order), store=True)
+    out = flight_fields(flights, identity or [])
+    for end, prefix in (("departure", "dep_"), ("arrival", "arr_")):
+        out = lookup(out, cities, f"{end}_iata", "iata", {"city": "here"}, "inner")
+        fields = {name: f"{prefix}{name}" for name in WEATHER_FIELDS}
+        out = lookup(out, snapshot, "here", "city", fields, "inner").drop("here")
+    return out.select(*(identity or []), "flight_iata", "airline_iata", *FEATURE_COLUMNS)
+
 
+def flight_fields(flights: DataFrame, identity: list[str]) -> DataFrame:
+    """The features a flight document gives on its own.
 
-def _features(flights: DataFrame, cities: DataFrame, snapshot: DataFrame, identity: list[str]) -> DataFrame:
-    dep, arr = F.col("departure"), F.col("arrival")
-    scheduled = times.wall_clock(dep["scheduled"])
-    calendar = times.calendar_fields(scheduled)
-    instant = {
-        (end, kind): times.parse_instant(side[kind])
-        for end, side in (("dep", dep), ("arr", arr))
+    Texts are parsed in a first projection and used in a second one, so each is parsed once.
+    """
+    ends = {
+        f"{end}_{kind}": times.parse_instant(F.col(f"{end}.{kind}"))
+        for end in ("departure", "arrival")
         for kind in ("scheduled", "estimated", "actual")
     }
-
-    def minutes(later, earlier):
-        return times.clamped_minutes(instant[later], instant[earlier], missing="zero")
-
-    base = flights.select(
+    parsed = flights.select(
         *identity,
         F.coalesce("flight.iata", F.lit("")).alias("flight_iata"),
         F.coalesce("airline.iata", F.lit("")).alias("airline_iata"),
         F.col("airline.name").alias("airline_name"),
-        dep["iata"].alias("departure_iata"),
-        arr["iata"].alias("arrival_iata"),
-        *[c.alias(n) for n, c in calendar.items()],
-        minutes(("dep", "actual"), ("dep", "scheduled")).alias("departure_delay_actual"),
-        minutes(("dep", "estimated"), ("dep", "scheduled")).alias("departure_delay_estimated"),
-        minutes(("arr", "estimated"), ("arr", "scheduled")).alias("arrival_delay_estimated"),
-        minutes(("arr", "scheduled"), ("dep", "scheduled")).alias("flight_duration_scheduled"),
+        F.col("departure.iata").alias("departure_iata"),
+        F.col("arrival.iata").alias("arrival_iata"),
+        times.wall_clock(F.col("departure.scheduled")).alias("clock"),
+        *[c.alias(n) for n, c in ends.items()],
     )
-    out = base
-    for end, prefix in (("departure", "dep_"), ("arrival", "arr_")):
-        out = lookup(out, cities, f"{end}_iata", "iata", {"city": "here"}, "inner")
-        fields = {name: f"{prefix}{name}" for name in WEATHER_FIELDS}
-        out = lookup(out, snapshot, "here", "city", fields, "inner").drop("here")
-    return out.select(*identity, "flight_iata", "airline_iata", *FEATURE_COLUMNS)
+    kept = [*identity, "flight_iata", "airline_iata", "airline_name", "departure_iata", "arrival_iata"]
+    calendar = times.calendar_fields(F.col("clock"))
+    minutes = {n: times.clamped_minutes(F.col(a), F.col(b), missing="zero") for n, (a, b) in DELAYS.items() if n != TARGET}
+    return parsed.select(*kept, *[c.alias(n) for n, c in (calendar | minutes).items()])

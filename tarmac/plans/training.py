@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tarmac.functions import times, weather as wx
 from tarmac.operators import shape
 from tarmac.operators.lookup import lookup, sized
-from tarmac.operators.nearest import nearest_join
+from tarmac.operators.nearest import measure_groups, nearest_join
 from tarmac.schemas import FEATURE_COLUMNS, TARGET, TIME_COLUMNS, WEATHER_FIELDS
 
 # Delay columns of a flattened flight: name -> (later instant, earlier instant).
@@ -80,6 +80,12 @@ def add_weather(
     """Ten ``dep_*`` / ``arr_*`` columns from the nearest observation of each end's city."""
     observations = weather_observations(weather, city_col)
     cities = sized(dimension)
+    # Both ends are measured on the bare flights, before the first join becomes part of the plan.
+    ends = {
+        end: lookup(flights.select(f"{end}_iata"), cities, f"{end}_iata", "iata", {"city": "ref_city"})
+        for end in ("departure", "arrival")
+    }
+    sizes = measure_groups(*[(df, "ref_city") for df in ends.values()], (observations, "obs_city"))
     out = flights
     for end, prefix in (("departure", "dep_"), ("arrival", "arr_")):
         located = lookup(out, cities, f"{end}_iata", "iata", {"city": "ref_city"})
@@ -94,6 +100,7 @@ def add_weather(
             row_id="obs_id",
             payload={name: f"{prefix}{name}" for name in WEATHER_FIELDS},
             tolerance_hours=tolerance_hours,
+            group_sizes=sizes,
             **limits,
         ).drop("ref_city", "ref_time")
     return out

@@ -1,13 +1,11 @@
-"""Declared schemas. Readers never infer: numbers arrive as a mix of ints and floats, and keys
-may be absent altogether, so every field is nullable and typed here."""
+"""Declared schemas, as DDL text. Readers never infer: numbers arrive as a mix of ints and floats,
+and keys may be absent altogether, so every field is nullable and typed here."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # ---- fixed values: field names and types of the document formats --------------------------
 
-FLIGHT_DDL = """
+FLIGHT = """
 flight_date STRING, flight_status STRING,
 departure STRUCT<airport:STRING, timezone:STRING, iata:STRING, icao:STRING, terminal:STRING,
   gate:STRING, delay:INT, scheduled:STRING, estimated:STRING, actual:STRING,
@@ -24,7 +22,7 @@ live STRUCT<updated:STRING, latitude:DOUBLE, longitude:DOUBLE, altitude:DOUBLE,
   speed_horizontal:DOUBLE, speed_vertical:DOUBLE, is_ground:BOOLEAN>
 """
 
-WEATHER_DDL = """
+WEATHER = """
 coord STRUCT<lon:DOUBLE, lat:DOUBLE>,
 weather ARRAY<STRUCT<id:INT, main:STRING, description:STRING, icon:STRING>>,
 base STRING,
@@ -37,12 +35,12 @@ timezone INT, id BIGINT, name STRING, cod INT,
 _id STRING, city STRING, role STRING, collected_at STRING
 """
 
-RAW_DATA_DDL = """
+RAW_DATA = """
 weather ARRAY<STRUCT<main:STRING>>, main STRUCT<temp:DOUBLE>, wind STRUCT<speed:DOUBLE>,
 visibility DOUBLE, rain STRUCT<`1h`:DOUBLE>
 """
 
-SCHEDULE_DDL = """
+SCHEDULE = """
 airline_iata STRING, airline_icao STRING, flight_iata STRING, flight_icao STRING,
 flight_number STRING,
 dep_iata STRING, dep_icao STRING, dep_terminal STRING, dep_gate STRING,
@@ -86,11 +84,6 @@ NUMERIC_FEATURES = CALENDAR_FEATURES + DELAY_FEATURES + DEPARTURE_WEATHER + ARRI
 FEATURE_COLUMNS = CATEGORICAL_FEATURES + NUMERIC_FEATURES
 REQUIRED_FEATURES = CATEGORICAL_FEATURES + CALENDAR_FEATURES + DELAY_FEATURES
 
-FLIGHT = T.StructType.fromDDL(FLIGHT_DDL)
-WEATHER = T.StructType.fromDDL(WEATHER_DDL)
-SCHEDULE = T.StructType.fromDDL(SCHEDULE_DDL)
-RAW_DATA = T.StructType.fromDDL(RAW_DATA_DDL)
-
 
 def feature_type(name: str) -> str:
     if name in CATEGORICAL_FEATURES:
@@ -100,4 +93,4 @@ def feature_type(name: str) -> str:
     return "double"
 
 
-FEATURES = T.StructType.fromDDL(", ".join(f"{name} {feature_type(name)}" for name in FEATURE_COLUMNS))
+FEATURES = ", ".join(f"{name} {feature_type(name)}" for name in FEATURE_COLUMNS)

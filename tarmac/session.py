@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Instants are compared across tables, so the session zone is
 # pinned; AQE resizes partitions, splits skewed join partitions and switches join strategies.
+# The JVM never compiles a method of more than 8000 bytes, so larger generated stages would run
+# interpreted; below that limit Spark falls back to one compiled expression per column.
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 

@@ -14,12 +14,12 @@ from pyspark.sql import types as T
 from tarmac.schemas import FEATURES, FLIGHT, WEATHER
 
 
-def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Files that each hold one JSON array of documents."""
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Files with one document per line; these split across tasks."""
     return spark.read.schema(schema).json(path)
 
@@ -36,9 +36,8 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     return read_json_array(spark, path, FEATURES)
 
 
-def _envelopes(spark: SparkSession, path: str, field: str, record: T.StructType) -> DataFrame:
-    schema = T.StructType([T.StructField(field, T.ArrayType(record))])
-    files = spark.read.schema(schema).option("multiLine", True).json(path)
+def _envelopes(spark: SparkSession, path: str, field: str, record: str) -> DataFrame:
+    files = spark.read.schema(f"{field} ARRAY<STRUCT<{record}>>").option("multiLine", True).json(path)
     return files.withColumn("source_file", F.col("_metadata.file_path"))
 
 
@@ -52,7 +51,7 @@ def unnest(df: DataFrame, field: str, keep: list[str] | None = None) -> DataFram
     return out
 
 
-def read_envelope(spark: SparkSession, path: str, record: T.StructType, field: str = "data") -> DataFrame:
+def read_envelope(spark: SparkSession, path: str, record: str, field: str = "data") -> DataFrame:
     """Records of ``{field: [...]}`` files with ``source_file`` and ``pos``.
 
     Folders named ``airport=CDG`` and the like become columns and prune the scan. Order within
@@ -61,12 +60,12 @@ def read_envelope(spark: SparkSession, path: str, record: T.StructType, field: s
     return unnest(_envelopes(spark, path, field, record), field)
 
 
-def files_without(spark: SparkSession, path: str, record: T.StructType, field: str = "response") -> DataFrame:
+def files_without(spark: SparkSession, path: str, record: str, field: str = "response") -> DataFrame:
     """Report of the files that do not hold ``field`` at all (a provider's error answer)."""
     return _envelopes(spark, path, field, record).where(F.col(field).isNull()).select("source_file")
 
 
-def as_frame(spark: SparkSession, data, schema: T.StructType) -> DataFrame:
+def as_frame(spark: SparkSession, data, schema: str) -> DataFrame:
     """A DataFrame as it is, or a list of dicts under a declared schema; anything else is refused."""
     if isinstance(data, DataFrame):
         return data

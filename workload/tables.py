@@ -7,7 +7,7 @@ checks, with instants as timestamps where the documents hold text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -15,12 +15,12 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _iso(ts: Column) -> Column:
-    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
+def _iso(ts: str) -> str:
+    return f"date_format({ts}, \"yyyy-MM-dd'T'HH:mm:ss\") || '+00:00'"
 
 
-def _plus(ts: Column, minutes: Column) -> Column:
-    return ts + F.make_dt_interval(mins=minutes.cast("int"))
+def _plus(ts: str, minutes: str) -> str:
+    return f"{ts} + make_dt_interval(0, 0, cast({minutes} AS INT))"
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,39 +30,29 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flights_from(o: DataFrame) -> DataFrame:
     """Nested flight documents, one per order. Landed flights have an actual arrival; some
     estimates are missing, some times are empty or unreadable text."""
-    priority, status, cust, key = (F.col(f"o_{c}") for c in ("orderpriority", "orderstatus", "custkey", "orderkey"))
-    dep = _plus(F.col("o_orderdate"), cust * 37 % 1440)
-    arr = _plus(dep, F.when(priority == "1-URGENT", 40 - cust % 90).otherwise(45 + cust % 700))
-    departure = F.struct(
-        F.concat(F.lit("A"), cust % 30).alias("iata"),
-        _iso(dep).alias("scheduled"),
-        F.when(priority != "4-NOT SPECIFIED", _iso(_plus(dep, key % 90 - 20))).alias("estimated"),
-        F.when(status == "P", F.lit(None))
-        .when(priority == "5-LOW", F.lit(""))
-        .otherwise(_iso(_plus(dep, key * 13 % 240 - 60)))
-        .alias("actual"),
+    timed = o.selectExpr("*", _plus("o_orderdate", "o_custkey * 37 % 1440") + " AS dep").selectExpr(
+        "*",
+        _plus("dep", "if(o_orderpriority = '1-URGENT', 40 - o_custkey % 90, 45 + o_custkey % 700)") + " AS arr",
     )
-    arrival = F.struct(
-        F.concat(F.lit("A"), key % 30).alias("iata"),
-        _iso(arr).alias("scheduled"),
-        F.when(priority != "2-HIGH", _iso(_plus(arr, cust % 120 - 40))).alias("estimated"),
-        F.when((status == "F") & (priority == "3-MEDIUM"), F.lit("unknown"))
-        .when(status == "F", _iso(_plus(arr, F.floor("o_totalprice") % 300 - 100)))
-        .alias("actual"),
-    )
-    return o.select(
-        key.alias("pos"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("flight_date"),
-        F.when(status == "F", "landed").when(status == "O", "active").otherwise("scheduled").alias("flight_status"),
-        departure.alias("departure"),
-        arrival.alias("arrival"),
-        F.struct(priority.alias("name"), F.substring(priority, 1, 1).alias("iata")).alias("airline"),
-        F.struct(
-            F.concat(F.lit("F"), cust).alias("iata"),
-            F.when(priority == "1-URGENT", F.struct(F.concat(F.lit("F"), key % 1000).alias("flight_iata"))).alias(
-                "codeshared"
-            ),
-        ).alias("flight"),
+    departure_estimated = _iso(_plus("dep", "o_orderkey % 90 - 20"))
+    departure_actual = _iso(_plus("dep", "o_orderkey * 13 % 240 - 60"))
+    arrival_estimated = _iso(_plus("arr", "o_custkey % 120 - 40"))
+    arrival_actual = _iso(_plus("arr", "floor(o_totalprice) % 300 - 100"))
+    return timed.selectExpr(
+        "o_orderkey AS pos",
+        "date_format(o_orderdate, 'yyyy-MM-dd') AS flight_date",
+        "CASE o_orderstatus WHEN 'F' THEN 'landed' WHEN 'O' THEN 'active' ELSE 'scheduled' END AS flight_status",
+        f"""named_struct('iata', 'A' || o_custkey % 30, 'scheduled', {_iso("dep")},
+            'estimated', CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN {departure_estimated} END,
+            'actual', CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_orderpriority = '5-LOW' THEN ''
+                      ELSE {departure_actual} END) AS departure""",
+        f"""named_struct('iata', 'A' || o_orderkey % 30, 'scheduled', {_iso("arr")},
+            'estimated', CASE WHEN o_orderpriority <> '2-HIGH' THEN {arrival_estimated} END,
+            'actual', CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '3-MEDIUM' THEN 'unknown'
+                      WHEN o_orderstatus = 'F' THEN {arrival_actual} END) AS arrival""",
+        "named_struct('name', o_orderpriority, 'iata', substring(o_orderpriority, 1, 1)) AS airline",
+        """named_struct('iata', 'F' || o_custkey, 'codeshared', CASE WHEN o_orderpriority = '1-URGENT'
+            THEN named_struct('flight_iata', 'F' || o_orderkey % 1000) END) AS flight""",
     )
 
 
@@ -94,32 +84,25 @@ flights AS (
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested weather documents, one per line item, spread over the nations' names as cities.
     Documents of one writer lack ``city``; several share a city and an instant."""
-    li = load(spark, sf_dir, "lineitem")
-    name = F.concat(F.lit("NATION_"), F.col("l_suppkey") % 25)
-    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
-    condition = (
-        F.when(flag == "A", F.array(F.struct(F.lit("Rain").alias("main"), F.lit("light rain").alias("description"))))
-        .when(flag == "R", F.array(F.struct(F.lit("Mist").alias("main"), F.lit("mist").alias("description"))))
-        .when(status == "O", F.expr("cast(array() as array<struct<main:string,description:string>>)"))
-        .otherwise(F.array(F.struct(F.lit("Light Snow").alias("main"), F.lit("light snow").alias("description"))))
-    )
-    collected = _plus(F.col("l_shipdate"), F.col("l_partkey") % 1440)
-    return li.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("_id"),
-        name.alias("name"),
-        F.when(flag != "N", name).alias("city"),
-        _iso(collected).alias("collected_at"),
-        condition.alias("weather"),
-        F.struct(F.col("l_quantity").alias("temp")).alias("main"),
-        F.struct(F.col("l_discount").alias("speed")).alias("wind"),
-        F.col("l_extendedprice").alias("visibility"),
-        F.when(status == "F", F.struct(F.nullif(F.col("l_tax"), F.lit(0.0)).alias("1h"))).alias("rain"),
+    return load(spark, sf_dir, "lineitem").selectExpr(
+        "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS _id",
+        "'NATION_' || l_suppkey % 25 AS name",
+        "CASE WHEN l_returnflag <> 'N' THEN 'NATION_' || l_suppkey % 25 END AS city",
+        f"cast({_plus('l_shipdate', 'l_partkey % 1440')} AS timestamp) AS collected_at",
+        """CASE WHEN l_returnflag = 'A' THEN array(named_struct('main', 'Rain', 'description', 'light rain'))
+            WHEN l_returnflag = 'R' THEN array(named_struct('main', 'Mist', 'description', 'mist'))
+            WHEN l_linestatus = 'O' THEN cast(array() AS array<struct<main: string, description: string>>)
+            ELSE array(named_struct('main', 'Light Snow', 'description', 'light snow')) END AS weather""",
+        "named_struct('temp', l_quantity) AS main",
+        "named_struct('speed', l_discount) AS wind",
+        "l_extendedprice AS visibility",
+        "CASE WHEN l_linestatus = 'F' THEN named_struct('1h', nullif(l_tax, 0.0D)) END AS rain",
     )
 
 
 WEATHER_SQL = """
 weather AS (
-  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS id,
+  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id,
     'NATION_' || (l_suppkey % 25) AS name,
     CASE WHEN l_returnflag <> 'N' THEN 'NATION_' || (l_suppkey % 25) END AS city,
     l_shipdate + to_minutes(l_partkey % 1440) AS collected_at,
@@ -153,28 +136,18 @@ codes AS (SELECT iata, arg_max(city, seq) AS city FROM entries GROUP BY iata)
 
 def schedules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat schedule rows, one per order, in the second provider's layout."""
-    flat = flights(spark, sf_dir)
-
-    def minute(column: str) -> Column:
-        text = F.col(column)
-        return F.when(text.startswith("1") | text.startswith("2"), F.substring(F.translate(text, "T", " "), 1, 16))
-
-    lost = (F.col("flight_status") == "scheduled") & (F.col("airline.name") == "5-LOW")
-    return flat.select(
-        "pos",
-        F.col("airline.iata").alias("airline_iata"),
-        F.when(~lost, F.col("flight.iata")).alias("flight_iata"),
-        F.col("flight.codeshared.flight_iata").alias("cs_flight_iata"),
-        F.col("departure.iata").alias("dep_iata"),
-        F.col("arrival.iata").alias("arr_iata"),
-        F.when(~lost, minute("departure.scheduled")).alias("dep_time"),
-        minute("departure.estimated").alias("dep_estimated"),
-        minute("departure.actual").alias("dep_actual"),
-        minute("arrival.scheduled").alias("arr_time"),
-        minute("arrival.estimated").alias("arr_estimated"),
-        minute("arrival.actual").alias("arr_actual"),
-        F.col("flight_status").alias("status"),
-        (F.col("pos") % 500).cast("int").alias("duration"),
+
+    def minute(column: str) -> str:
+        return f"CASE WHEN {column} RLIKE '^[12]' THEN substring(translate({column}, 'T', ' '), 1, 16) END"
+
+    flat = flights(spark, sf_dir).selectExpr("*", "flight_status = 'scheduled' AND airline.name = '5-LOW' AS lost")
+    return flat.selectExpr(
+        "pos", "airline.iata AS airline_iata", "if(lost, NULL, flight.iata) AS flight_iata",
+        "flight.codeshared.flight_iata AS cs_flight_iata", "departure.iata AS dep_iata", "arrival.iata AS arr_iata",
+        f"if(lost, NULL, {minute('departure.scheduled')}) AS dep_time",
+        f"{minute('departure.estimated')} AS dep_estimated", f"{minute('departure.actual')} AS dep_actual",
+        f"{minute('arrival.scheduled')} AS arr_time", f"{minute('arrival.estimated')} AS arr_estimated",
+        f"{minute('arrival.actual')} AS arr_actual", "flight_status AS status", "cast(pos % 500 AS INT) AS duration",
     )
 
 
