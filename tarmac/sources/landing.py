@@ -45,10 +45,11 @@ def unnest(df: DataFrame, field: str, keep: list[str] | None = None) -> DataFram
     """One row per array element with its position; rows with an empty or missing array vanish."""
     kept = [c for c in df.columns if c != field] if keep is None else keep
     element = df.schema[field].dataType.elementType
-    out = df.select(*kept, F.posexplode(field).alias("pos", "element"))
-    if isinstance(element, T.StructType):
-        return out.select(*kept, "pos", "element.*")
-    return out
+    if not isinstance(element, T.StructType):
+        return df.select(*kept, F.posexplode(field).alias("pos", "element"))
+    # A folder column that repeats a field of the record gives way to the record's own value.
+    kept = [c for c in kept if c not in element.fieldNames()]
+    return df.select(*kept, F.posexplode(field).alias("pos", "element")).select(*kept, "pos", "element.*")
 
 
 def read_envelope(spark: SparkSession, path: str, record: str, field: str = "data") -> DataFrame:
