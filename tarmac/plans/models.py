@@ -137,36 +137,43 @@ def as_doubles(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 # ---- estimators -----------------------------------------------------------------------------
 
 
-def label_spread(train: DataFrame, label: str) -> tuple[float, int]:
-    """Sample standard deviation and number of labels."""
-    spread, rows = train.agg(F.stddev_samp(label), F.count(label)).first()
+def label_spread(train: DataFrame, label: str, solver: str = "auto") -> tuple[float, int]:
+    """The standard deviation a solver divides the label by, and the number of labels.
+
+    The normal-equation solver (which ``auto`` takes up to 4096 features) uses the population
+    value, the iterative one the sample value.
+    """
+    deviation = F.stddev_samp(label) if solver == "l-bfgs" else F.stddev_pop(label)
+    spread, rows = train.agg(deviation, F.count(label)).first()
     spread = float(spread) if spread is not None and isfinite(spread) else 0.0
     return spread, rows
 
 
-def _linear(label: str, reg: float = 0.0, mix: float = 0.0) -> LinearRegression:
+def _linear(label: str, reg: float = 0.0, mix: float = 0.0, solver: str = "auto") -> LinearRegression:
     return LinearRegression(
         labelCol=label, featuresCol="features", regParam=reg, elasticNetParam=mix,
-        standardization=False, maxIter=1000, tol=1e-10,
+        standardization=False, maxIter=1000, tol=1e-10, solver=solver,
     )
 
 
-def elastic_net(train: DataFrame, label: str = TARGET, alpha: float = 0.1, l1_ratio: float = 0.2) -> LinearRegression:
+def elastic_net(
+    train: DataFrame, label: str = TARGET, alpha: float = 0.1, l1_ratio: float = 0.2, solver: str = "auto"
+) -> LinearRegression:
     """Minimises ``|y - Xw|^2 / 2n + alpha * l1_ratio * |w|_1 + alpha * (1 - l1_ratio) / 2 * |w|^2``.
 
     Spark fits on a label divided by its standard deviation, which scales the quadratic penalty
     but not the absolute one; the two are converted so that the objective above is the one solved.
     """
-    spread, _ = label_spread(train, label)
+    spread, _ = label_spread(train, label, solver)
     lasso, quadratic = alpha * l1_ratio, alpha * (1.0 - l1_ratio) * spread
     total = lasso + quadratic
-    return _linear(label, total, lasso / total) if total > 0 else _linear(label)
+    return _linear(label, total, lasso / total, solver) if total > 0 else _linear(label, solver=solver)
 
 
-def ridge(train: DataFrame, label: str = TARGET, alpha: float = RIDGE_ALPHA) -> LinearRegression:
+def ridge(train: DataFrame, label: str = TARGET, alpha: float = RIDGE_ALPHA, solver: str = "auto") -> LinearRegression:
     """Minimises ``|y - Xw|^2 + alpha * |w|^2``."""
-    spread, rows = label_spread(train, label)
-    return _linear(label, alpha * spread / rows if rows else 0.0, 0.0)
+    spread, rows = label_spread(train, label, solver)
+    return _linear(label, alpha * spread / rows if rows else 0.0, 0.0, solver)
 
 
 def least_squares(label: str = TARGET) -> LinearRegression:

@@ -7,6 +7,8 @@ as JSON lines or Parquet, which split.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,9 +69,13 @@ def files_without(spark: SparkSession, path: str, record: str, field: str = "res
 
 
 def as_frame(spark: SparkSession, data, schema: str) -> DataFrame:
-    """A DataFrame as it is, or a list of dicts under a declared schema; anything else is refused."""
+    """A DataFrame as it is, or a list of dicts under a declared schema; anything else is refused.
+
+    The dicts pass through JSON, so absent keys become null and whole numbers fit double fields.
+    """
     if isinstance(data, DataFrame):
         return data
     if isinstance(data, list) and all(isinstance(row, dict) for row in data):
-        return spark.createDataFrame(data, schema)
+        texts = [(json.dumps(row, default=lambda v: v.isoformat() if hasattr(v, "isoformat") else str(v)),) for row in data]
+        return spark.createDataFrame(texts, "doc string").select(F.from_json("doc", schema).alias("doc")).select("doc.*")
     raise TypeError("expected a DataFrame or a list of dicts")
