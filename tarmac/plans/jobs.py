@@ -121,7 +121,8 @@ def predict(
 ) -> DataFrame:
     """Serving features, validation and clamped predictions, numbered in input order. One invalid
     row rejects the batch."""
-    features = serving_features(flights, weather, dimension, weather_order, ordering)
+    # Written once: the check of the whole batch and the scoring both read it.
+    features = cut_lineage(serving_features(flights, weather, dimension, weather_order, ordering))
     scored = models.score(models.load_model(model_path), accepted_batch(features))
     return caps.numbered(scored, ordering, "prediction")
 

@@ -18,6 +18,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Folder values stay text: a day column must not turn into a date on the way through a table.
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 
@@ -38,13 +40,10 @@ def shared_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(configured)
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tarmac-")
-    spark.sparkContext.setCheckpointDir(folder)
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tarmac-"))
     return spark.sparkContext.getCheckpointDir()
 
 
@@ -53,7 +52,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably, so that re-reading it never re-runs the plan above it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, so that using it again never re-runs
+    the plan above it. The files are columnar, outlive any executor, and later steps read only
+    the columns they need."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

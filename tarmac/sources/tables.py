@@ -89,7 +89,14 @@ def _touched(target: DataFrame | None, batch: DataFrame, partition_by: str) -> D
     if target is None:
         return None
     values = [row[0] for row in batch.select(partition_by).distinct().collect()]
-    return target.where(F.col(partition_by).isin(values))
+    kind = dict(batch.dtypes)[partition_by]
+    return target.where(F.col(partition_by).isin(values)).withColumn(partition_by, F.col(partition_by).cast(kind))
+
+
+def _by_folder(df: DataFrame, partition_by: str) -> DataFrame:
+    """Rows gathered by target folder before the write: adaptive execution merges small folders
+    into one task and splits a folder that holds most of the rows, so file sizes stay even."""
+    return df.hint("rebalance", F.col(partition_by))
 
 
 def upsert_table(batch: DataFrame, path: str, key: str, order: list[str], partition_by: str) -> DataFrame:
@@ -102,7 +109,7 @@ def upsert_table(batch: DataFrame, path: str, key: str, order: list[str], partit
     target = _touched(read_if_exists(spark, path), batch, partition_by)
     merged = cut_lineage(merge_rows(target, batch, key, order))
     (
-        merged.drop("merge_action")
+        _by_folder(merged.drop("merge_action"), partition_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_by)
@@ -116,7 +123,7 @@ def insert_if_absent(batch: DataFrame, path: str, key: str, order: list[str], pa
     spark = batch.sparkSession
     target = _touched(read_if_exists(spark, path), batch, partition_by)
     fresh = cut_lineage(absent_rows(target, batch, key, order))
-    fresh.write.mode("append").partitionBy(partition_by).parquet(path)
+    _by_folder(fresh, partition_by).write.mode("append").partitionBy(partition_by).parquet(path)
     offered = batch.agg(F.count("*").alias("offered"))
     saved = fresh.agg(F.count("*").alias("saved"))
     return saved.select("saved", (offered.scalar() - F.col("saved")).alias("skipped"))
