@@ -1,4 +1,4 @@
-"""Time the headline queries: one warm-up on the smallest tables, then the median of RUNS runs.
+"""Time the headline queries: one warm-up, then the median of BENCH_RUNS runs, all on the same tables.
 
 Prints one JSON line. BENCH_SF_DIR, BENCH_CPUS, BENCH_RUNS and BENCH_QUERIES (comma-separated)
 override the defaults.
@@ -53,11 +53,9 @@ def main() -> None:
             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="bench-warehouse-"),
         },
     )
-    warm = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
     times = {}
     for name in chosen:
-        if os.path.isdir(warm):
-            run(spark, name, warm)
+        run(spark, name, sf_dir)
         times[name] = round(statistics.median(run(spark, name, sf_dir) for _ in range(runs)), 3)
         print(f"{name}: {times[name]}", file=sys.stderr)
     spark.stop()

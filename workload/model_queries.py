@@ -97,6 +97,37 @@ def elastic_net_strong(spark, sf):
     return _line(spark, models.elastic_net(rows, "y", alpha=40.0, l1_ratio=0.5).fit(rows))
 
 
+_FIT_SQL = """
+WITH d AS (SELECT l_orderkey, l_partkey, l_suppkey, l_quantity AS x, l_extendedprice / 1000 - 20 AS y FROM lineitem),
+m AS (SELECT avg(x) AS mx, avg(y) AS my, covar_pop(x, y) AS cxy, var_pop(x) AS vx FROM d),
+p AS (SELECT d.*, my + cxy / vx * (x - mx) AS p FROM d, m)
+"""
+
+
+def _fitted(spark, sf):
+    """Least squares on one numeric feature, saved and loaded again, with its rows."""
+    rows = load(spark, sf, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 1000 - 20).alias("y")
+    )
+    stages = models.preprocessing(rows, [], ["x"]) + [models.least_squares("y")]
+    path = scratch_path(spark, "model")
+    models.save_model(Pipeline(stages=stages).fit(rows), path)
+    return rows, models.load_model(path)
+
+
+@query(_FIT_SQL + "SELECT l_orderkey, l_partkey, l_suppkey, round(CASE WHEN p > 0 THEN p ELSE 0.0 END, 4) AS prediction FROM p")
+def score_rows(spark, sf):
+    rows, model = _fitted(spark, sf)
+    scored = models.score(model, rows)
+    return scored.select("l_orderkey", "l_partkey", "l_suppkey", F.round("prediction", 4).alias("prediction"))
+
+
+@query(_FIT_SQL + "SELECT round(1.0 - sum((y - p) * (y - p)) / (var_pop(y) * count(y)), 6) AS r2, count(*) AS rows FROM p")
+def fit_quality(spark, sf):
+    rows, model = _fitted(spark, sf)
+    return models.r2(models.score(model, rows, clamp=False), "y", "prediction").select(F.round("r2", 6).alias("r2"), "rows")
+
+
 # ---- the feature set ----------------------------------------------------------------------
 
 
