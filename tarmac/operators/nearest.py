@@ -60,7 +60,7 @@ def nearest_join(
         points = _cut_into_slices(points, slices)
     chosen = _carry_both_ways(points)
 
-    pick = _closer(F.col("t"), F.col("before"), F.col("after"))
+    pick = _closer()
     if tolerance_hours is not None:
         limit = F.lit(tolerance_hours * 3_600_000_000)
         pick = F.when(F.abs(pick.getField("t") - F.col("t")) <= limit, pick)
@@ -87,7 +87,10 @@ def measure_groups(*sides: tuple[DataFrame, str]) -> tuple[int, int]:
 def _stack(left, observations, left_key, left_time, key, time, row_id, payload) -> DataFrame:
     """Both inputs in one shape: key k, instant t (microseconds), kind (0 observation, 1 left row),
     slice s, observation id and payload, left row."""
-    micros = lambda name: F.unix_micros(F.col(name).cast("timestamp"))
+
+    def micros(name: str) -> Column:
+        return F.unix_micros(F.col(name).cast("timestamp"))
+
     seen = observations.where(F.col(key).isNotNull() & F.col(time).isNotNull()).select(
         F.col(key).alias("k"),
         micros(time).alias("t"),
@@ -109,10 +112,6 @@ def _stack(left, observations, left_key, left_time, key, time, row_id, payload)
     return asked.unionByName(seen, allowMissingColumns=True)
 
 
-def _seen() -> Column:
-    return F.when(F.col("kind") == 0, F.struct("t", "id", "payload"))
-
-
 def _earliest(seen: str) -> Column:
     """Sort key, smallest first: instant, then id. Null (and so ignored) without an observation."""
     return F.when(F.col(seen).isNotNull(), F.struct(F.col(f"{seen}.t"), F.col(f"{seen}.id")))
@@ -133,7 +132,7 @@ def _cut_into_slices(points: DataFrame, slices: int) -> DataFrame:
     stored = cut_lineage(ranged)
     edges = (
         stored.where("k is not null")
-        .select("k", "s", _seen().alias("seen"))
+        .select("k", "s", F.when(F.col("kind") == 0, F.struct("t", "id", "payload")).alias("seen"))
         .groupBy("k", "s")
         .agg(
             F.min_by("seen", _earliest("seen")).alias("first"),
@@ -158,11 +157,22 @@ def _carry_both_ways(points: DataFrame) -> DataFrame:
     group = W.partitionBy("k", "s")
     up = group.orderBy("t", "kind", F.col("id").desc()).rowsBetween(W.unboundedPreceding, 0)
     down = group.orderBy(F.col("t").desc(), "kind", F.col("id").desc()).rowsBetween(W.unboundedPreceding, 0)
-    return points.withColumn("before", F.last(_seen(), ignorenulls=True).over(up)).withColumn(
-        "after", F.last(_seen(), ignorenulls=True).over(down)
+    # The windows take columns the rows carry anyway; a struct built here would be shuffled too.
+    instant = F.when(F.col("kind") == 0, F.col("t"))
+    return points.select(
+        "kind",
+        "t",
+        "row",
+        F.last(instant, ignorenulls=True).over(up).alias("before_t"),
+        F.last("payload", ignorenulls=True).over(up).alias("before"),
+        F.last(instant, ignorenulls=True).over(down).alias("after_t"),
+        F.last("payload", ignorenulls=True).over(down).alias("after"),
     )
 
 
-def _closer(t: Column, before: Column, after: Column) -> Column:
-    use_before = after.isNull() | ((t - before.getField("t")) <= (after.getField("t") - t))
-    return F.when(before.isNotNull() & use_before, before).otherwise(after)
+def _closer() -> Column:
+    t, before, after = F.col("t"), F.col("before_t"), F.col("after_t")
+    use_before = before.isNotNull() & (after.isNull() | ((t - before) <= (after - t)))
+    return F.when(use_before, F.struct(before.alias("t"), F.col("before").alias("payload"))).otherwise(
+        F.struct(after.alias("t"), F.col("after").alias("payload"))
+    )

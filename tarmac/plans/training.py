@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions import times, weather as wx
 from tarmac.operators import shape
+from tarmac.operators.filters import with_target
 from tarmac.operators.lookup import lookup, sized
 from tarmac.operators.nearest import measure_groups, nearest_join
 from tarmac.schemas import FEATURE_COLUMNS, TARGET, TIME_COLUMNS, WEATHER_FIELDS
@@ -125,7 +126,7 @@ def training_rows(
     wanted = identity + ["airline_name", "departure_iata", "arrival_iata"] + TIME_COLUMNS
     flat = shape.keep_existing(shape.flatten(flights), wanted)
     flat = times.parse_time_columns(flat, TIME_COLUMNS)
-    delayed = add_calendar(add_delays(flat)).where(F.col(TARGET).isNotNull())
+    delayed = with_target(add_calendar(add_delays(flat)), TARGET)
     enriched = add_weather(delayed, weather, dimension, city_col=city_col, strict=strict, **limits)
     return enriched.select(*identity, *FEATURE_COLUMNS, TARGET)
 
