@@ -52,10 +52,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
+def cut_lineage(df: DataFrame, label: str = "stage", path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, so that using it again never re-runs
     the plan above it. The files are columnar, outlive any executor, and later steps read only
-    the columns they need."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    the columns they need. Repeating jobs give a ``path`` of their own, which each run replaces.
+    """
+    path = path or scratch_path(df.sparkSession, label)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -99,15 +99,18 @@ def _by_folder(df: DataFrame, partition_by: str) -> DataFrame:
     return df.hint("rebalance", F.col(partition_by))
 
 
-def upsert_table(batch: DataFrame, path: str, key: str, order: list[str], partition_by: str) -> DataFrame:
+def upsert_table(
+    batch: DataFrame, path: str, key: str, order: list[str], partition_by: str, stage: str | None = None
+) -> DataFrame:
     """Merge a batch into the table by ``key``; returns the number of rows per action.
 
     The last known value of each column wins; columns the batch leaves null keep their stored
     value; nested structs are replaced whole. ``partition_by`` must be a function of the key.
+    ``stage`` names the folder for the merged rows; a stream reuses one for all its batches.
     """
     spark = batch.sparkSession
     target = _touched(read_if_exists(spark, path), batch, partition_by)
-    merged = cut_lineage(merge_rows(target, batch, key, order))
+    merged = cut_lineage(merge_rows(target, batch, key, order), path=stage)
     (
         _by_folder(merged.drop("merge_action"), partition_by)
         .write.mode("overwrite")
@@ -118,11 +121,13 @@ def upsert_table(batch: DataFrame, path: str, key: str, order: list[str], partit
     return merged.groupBy("merge_action").agg(F.count("*").alias("rows"))
 
 
-def insert_if_absent(batch: DataFrame, path: str, key: str, order: list[str], partition_by: str) -> DataFrame:
+def insert_if_absent(
+    batch: DataFrame, path: str, key: str, order: list[str], partition_by: str, stage: str | None = None
+) -> DataFrame:
     """Append the rows whose key the table does not hold; returns saved and skipped counts."""
     spark = batch.sparkSession
     target = _touched(read_if_exists(spark, path), batch, partition_by)
-    fresh = cut_lineage(absent_rows(target, batch, key, order))
+    fresh = cut_lineage(absent_rows(target, batch, key, order), path=stage)
     _by_folder(fresh, partition_by).write.mode("append").partitionBy(partition_by).parquet(path)
     offered = batch.agg(F.count("*").alias("offered"))
     saved = fresh.agg(F.count("*").alias("saved"))

@@ -20,10 +20,19 @@ from workload.tables import load
 # ---- split and encoding -------------------------------------------------------------------
 
 
-@query()
+@query("SELECT count(*) AS rows, true AS near_three_quarters, CAST(2 AS BIGINT) AS splits, true AS stable FROM orders")
 def train_test_split(spark, sf):
-    rows = split_train_test(load(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"])
-    return rows.groupBy("split").agg(F.count("*").alias("rows"))
+    # Membership depends on the key alone: a second run over shuffled rows must agree everywhere.
+    orders = load(spark, sf, "orders").select("o_orderkey")
+    once = split_train_test(orders, ["o_orderkey"])
+    again = split_train_test(orders.repartition("o_orderkey"), ["o_orderkey"]).withColumnRenamed("split", "second")
+    share = F.avg((F.col("split") == "train").cast("double"))
+    return once.join(again, "o_orderkey").agg(
+        F.count("*").alias("rows"),
+        (F.abs(share - 0.75) < 0.05).alias("near_three_quarters"),
+        F.count_distinct("split").alias("splits"),
+        F.bool_and(F.col("split") == F.col("second")).alias("stable"),
+    )
 
 
 def _encoded(spark, sf, drop_first):
@@ -151,6 +160,16 @@ def model_comparison(spark, sf):
     return models.compare_models(_training_split(spark, sf))
 
 
+@query()
+def random_forest(spark, sf):
+    return models.compare_models(_training_split(spark, sf), names=["random_forest"])
+
+
+@query()
+def gradient_boosting(spark, sf):
+    return models.compare_models(_training_split(spark, sf), names=["gradient_boosting"])
+
+
 @query()
 def score_batch(spark, sf):
     # Train, save, load, then score the live flights.

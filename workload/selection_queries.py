@@ -251,3 +251,8 @@ def validate_rows(spark, sf):
 @query(_ROWS_SQL + "SELECT pos FROM damaged WHERE NOT EXISTS (SELECT 1 FROM damaged WHERE no_hour OR bad_month)")
 def validate_strict(spark, sf):
     return accepted_batch(_damaged(spark, sf)).select("pos")
+
+
+@query(f"SELECT pos FROM ({_SERVING_SQL})")
+def validate_strict_clean(spark, sf):
+    return accepted_batch(serving_set(spark, sf)).select("pos")
