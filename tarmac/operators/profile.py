@@ -24,12 +24,13 @@ def null_counts(df: DataFrame) -> DataFrame:
     return counts.select("total", F.explode(pairs).alias("p")).select("p.*", "total")
 
 
-def null_summary(df: DataFrame) -> DataFrame:
-    """Columns with nulls and their percentage, two decimals, highest first."""
+def null_summary(df: DataFrame, show: int | None = None) -> DataFrame:
+    """Columns with nulls and their percentage, two decimals, highest first; the first ``show``."""
     shares = null_counts(df).select(
         "column_name", "null_count", percent(F.col("null_count"), F.col("total")).alias("null_percent")
     )
-    return shares.where("null_percent > 0").orderBy(F.desc("null_percent"), "column_name")
+    ranked = shares.where("null_percent > 0").orderBy(F.desc("null_percent"), "column_name")
+    return ranked if show is None else ranked.limit(show)
 
 
 def sparse_columns(df: DataFrame, threshold: float = 30.0) -> list[str]:

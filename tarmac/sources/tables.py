@@ -20,14 +20,22 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None when nothing has been written there yet."""
+def read_if_exists(spark: SparkSession, path: str, folder: T.StructField | None = None) -> DataFrame | None:
+    """The table at ``path``, or None when nothing has been written there yet.
+
+    ``folder`` states the type of the folder column; otherwise a session may guess it and read
+    the text ``01`` as the number 1.
+    """
     try:
-        return spark.read.parquet(path)
+        df = spark.read.parquet(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
+    if folder is None:
+        return df
+    declared = T.StructType([folder if f.name == folder.name else f for f in df.schema.fields])
+    return spark.read.schema(declared).parquet(path)
 
 
 def stamp(df: DataFrame, at: Column | None = None) -> DataFrame:
@@ -83,14 +91,20 @@ def save_run(outputs: dict[str, DataFrame], folder: str) -> None:
 # ---- keyed writes -------------------------------------------------------------------------
 
 
-def _touched(target: DataFrame | None, batch: DataFrame, partition_by: str) -> DataFrame | None:
-    """The target's rows in the partitions the batch touches. The list of partition values is
-    metadata (one entry per folder), and as a literal list it prunes the scan."""
+def _touched(path: str, batch: DataFrame, partition_by: str) -> DataFrame | None:
+    """The stored rows of the folders the batch touches, or None without a table.
+
+    The list of folder values is metadata (one entry per folder), and as a literal list it prunes
+    the scan. Null and empty values share the default folder, which reads back as null.
+    """
+    target = read_if_exists(batch.sparkSession, path, batch.schema[partition_by])
     if target is None:
         return None
     values = [row[0] for row in batch.select(partition_by).distinct().collect()]
-    kind = dict(batch.dtypes)[partition_by]
-    return target.where(F.col(partition_by).isin(values)).withColumn(partition_by, F.col(partition_by).cast(kind))
+    named = [v for v in values if v not in (None, "")]
+    folder = F.col(partition_by)
+    touched = folder.isin(named) if len(named) == len(values) else folder.isin(named) | folder.isNull()
+    return target.where(touched)
 
 
 def _by_folder(df: DataFrame, partition_by: str) -> DataFrame:
@@ -108,8 +122,7 @@ def upsert_table(
     value; nested structs are replaced whole. ``partition_by`` must be a function of the key.
     ``stage`` names the folder for the merged rows; a stream reuses one for all its batches.
     """
-    spark = batch.sparkSession
-    target = _touched(read_if_exists(spark, path), batch, partition_by)
+    target = _touched(path, batch, partition_by)
     merged = cut_lineage(merge_rows(target, batch, key, order), path=stage)
     (
         _by_folder(merged.drop("merge_action"), partition_by)
@@ -125,8 +138,7 @@ def insert_if_absent(
     batch: DataFrame, path: str, key: str, order: list[str], partition_by: str, stage: str | None = None
 ) -> DataFrame:
     """Append the rows whose key the table does not hold; returns saved and skipped counts."""
-    spark = batch.sparkSession
-    target = _touched(read_if_exists(spark, path), batch, partition_by)
+    target = _touched(path, batch, partition_by)
     fresh = cut_lineage(absent_rows(target, batch, key, order), path=stage)
     _by_folder(fresh, partition_by).write.mode("append").partitionBy(partition_by).parquet(path)
     offered = batch.agg(F.count("*").alias("offered"))

@@ -127,3 +127,21 @@ def test_stamp_and_missing_tables(spark):
     fixed = F.lit("2026-01-01").cast("timestamp")
     assert tables.stamp(spark.range(1), fixed).first().collected_at == datetime(2026, 1, 1)
     assert shared_dir(spark).endswith("shared") or "shared/" in shared_dir(spark)
+
+
+@pytest.mark.parametrize("guessing", ["true", "false"])
+def test_folder_values_of_any_spelling(spark, guessing):
+    before = spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled")
+    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", guessing)
+    try:
+        path = scratch_path(spark, "t")
+        days = ["01", "2026-04-18", None, "", "1e3"]
+        for seq, half in enumerate((range(0, 10), range(5, 15))):
+            batch = spark.createDataFrame([(f"k{i}", days[i % 5], i, None, seq * 100 + i) for i in half], DDL)
+            tables.upsert_table(batch, path, "_id", ["seq"], "day")
+            assert tables.insert_if_absent(batch, path, "_id", ["seq"], "day").first().saved == 0
+        got = [(r._id, r.seq) for r in spark.read.parquet(path).collect()]
+        assert sorted(got) == sorted((f"k{i}", i if i < 5 else 100 + i) for i in range(15))
+        assert "day=01" in os.listdir(path.removeprefix("file:")) and "day=1" not in os.listdir(path.removeprefix("file:"))
+    finally:
+        spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", before)

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
-from workload.profile_queries import _TABLES
+from workload.profile_queries import TABLES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not there")
@@ -18,7 +18,7 @@ QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for table in _TABLES:
+    for table in TABLES:
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     return connection
 

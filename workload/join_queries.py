@@ -241,7 +241,7 @@ def training_features(spark, sf):
     return training_set(spark, sf).select("pos", *FEATURE_COLUMNS, TARGET)
 
 
-_SERVING_SQL = f"""
+SERVING_SQL = f"""
 WITH {FLIGHTS_SQL}, {WEATHER_SQL}, {CODES_SQL},
 latest AS (SELECT city AS at_city, arg_max(id, (collected_at, id)) AS last_id FROM weather WHERE city IS NOT NULL GROUP BY city),
 snap AS (SELECT at_city, {", ".join(WEATHER_FIELDS)} FROM latest JOIN weather ON last_id = id)
@@ -262,6 +262,6 @@ def serving_set(spark, sf):
     return serving_features(live, weather(spark, sf), codes, ["collected_at", "_id"], ["pos"])
 
 
-@query(_SERVING_SQL, name="serving_features")
+@query(SERVING_SQL, name="serving_features")
 def serving_feature_rows(spark, sf):
     return serving_set(spark, sf)

@@ -116,13 +116,13 @@ def mean_impute(spark, sf):
     return impute.fill_with_mean(events, ["value"]).select("event_id", F.round("value", 6).alias("value"))
 
 
-_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
            "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
-@query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in _TABLES))
+@query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in TABLES))
 def inventory_counts(spark, sf):
-    return profile.row_counts({t: load(spark, sf, t) for t in _TABLES})
+    return profile.row_counts({t: load(spark, sf, t) for t in TABLES})
 
 
 @query("SELECT count(*) AS rows, CAST(11 AS INTEGER) AS columns FROM lineitem")

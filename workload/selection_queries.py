@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tarmac.operators import caps, filters, profile, shape
 from tarmac.operators.validate import accepted_batch, check_rows
 from tarmac.plans.schedules import select_landed, select_live
-from workload.join_queries import _SERVING_SQL, serving_set
+from workload.join_queries import SERVING_SQL, serving_set
 from workload.registry import query
 from workload.tables import FLIGHTS_SQL, SCHEDULES_SQL, flights, load, schedules
 
@@ -219,7 +219,7 @@ def drop_by_name(spark, sf):
 # ---- validation ---------------------------------------------------------------------------
 
 _ROWS_SQL = f"""
-WITH served AS ({_SERVING_SQL}),
+WITH served AS ({SERVING_SQL}),
 damaged AS (SELECT *, airline_iata = '1' AS no_hour, airline_iata = '2' AS bad_month, airline_iata = '5' AS no_weather FROM served)
 """
 
@@ -253,6 +253,6 @@ def validate_strict(spark, sf):
     return accepted_batch(_damaged(spark, sf)).select("pos")
 
 
-@query(f"SELECT pos FROM ({_SERVING_SQL})")
+@query(f"SELECT pos FROM ({SERVING_SQL})")
 def validate_strict_clean(spark, sf):
     return accepted_batch(serving_set(spark, sf)).select("pos")
