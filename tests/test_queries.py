@@ -7,12 +7,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+import workload
 from workload.profile_queries import TABLES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not there")
 
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLES = workload.QUERIES, workload.ORACLES
 
 
 @pytest.fixture(scope="module")
