@@ -27,6 +27,16 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed once, replacing those of the same names.
+
+    A plain projection may be merged with what stands above it, and a filter on its columns is pushed
+    below it, each time with a copy of the expressions. Rows made by a generator are not.
+    """
+    one = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.drop(*columns).select("*", F.inline(F.array(one)))
+
+
 def worker_path(spark: SparkSession) -> None:
     """Let Python workers started by this session import this package.
 

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.llm import mixing
+from tarmac.llm import line_quality, mixing
+from tarmac.llm.common import WORD
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +62,39 @@ def op1_source_mix(spark, sf):
     mixed = mixing.assign(measured, mixing.plan(measured))
     taken = (F.col("size") * F.col("copies")).alias("taken")
     return mixed.select("doc_id", "size", "source_size", "target", taken)
+
+
+@query(rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '{WORD}') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS lines
+  FROM documents),
+p AS (SELECT r, unnest(words) AS w, unnest(range(len(words))) AS i FROM d),
+g AS (SELECT r, i, w AS a, lead(w) OVER s AS b, lead(w, 2) OVER s AS c FROM p WINDOW s AS (PARTITION BY r ORDER BY i)),
+n AS (SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS times FROM g WHERE c IS NOT NULL),
+x AS (SELECT r, count(DISTINCT i + k) AS covered FROM n, unnest([0, 1, 2]) AS u(k) WHERE times > 1 GROUP BY r),
+l AS (SELECT r, unnest(lines) AS line FROM d),
+f AS (SELECT r, sum(length(line)) AS lost FROM l
+  WHERE NOT regexp_matches(line, '{line_quality.SENTENCE_END.replace("'", "''")}')
+    OR len(regexp_extract_all(line, '[{line_quality.SEPARATORS}]')) >= 3
+    OR regexp_matches(line, '{line_quality.NAVIGATION}') OR regexp_matches(line, '{line_quality.BOILERPLATE}')
+    OR len(regexp_extract_all(line, '[{line_quality.SYMBOLS}]')) * 3 > len(regexp_extract_all(line, '{WORD}'))
+    OR len(regexp_extract_all(line, '!')) * 3 > len(regexp_extract_all(line, '{WORD}'))
+  GROUP BY r),
+q AS (
+  SELECT doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+    len(regexp_extract_all(text, '[{line_quality.SYMBOLS}]'))::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(covered, 0)::BIGINT AS n_repeat_words,
+    coalesce(lost, 0) AS lost, coalesce(list_sum(list_transform(lines, lambda y: length(y))), 0) AS total
+  FROM d LEFT JOIN x USING (r) LEFT JOIN f USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND lost * 100 <= total * 30 AS kept
+FROM q""".replace("\\\\x", "\\x"))
+def op4_line_quality(spark, sf):
+    """Line rules and base counts of every document."""
+    judged = line_quality.judge(_table(spark, sf, "documents", "doc_id", "text"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
