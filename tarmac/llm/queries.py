@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.llm import line_quality, mixing
+from tarmac.llm import bpe, line_quality, mixing
 from tarmac.llm.common import WORD
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,6 +65,20 @@ def op1_source_mix(spark, sf):
     return mixed.select("doc_id", "size", "source_size", "target", taken)
 
 
+@query()
+def op2_byte_bpe(spark, sf):
+    """Encode every text, decode the ids, and tell digests of both."""
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = bpe.encode(_table(spark, sf, "documents", "doc_id", "text"), *vocabulary).select("doc_id", "ids")
+    decoded = bpe.decode(encoded, *vocabulary)
+    return decoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 @query(rf"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
