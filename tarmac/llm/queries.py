@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.llm import bpe, line_quality, mixing
+from tarmac.llm import bpe, line_quality, mixing, warc
 from tarmac.llm.common import WORD
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,22 @@ def op4_line_quality(spark, sf):
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query("""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+b AS (SELECT page_id, html, strlen(html) AS payload_bytes, max(page_id) OVER (PARTITION BY html) AS largest FROM p)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, sha1(html) AS payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM largest THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM largest THEN largest END AS refers_to
+FROM b""")
+def op10_warc(spark, sf):
+    """Write an archive record per page, then read all records back through the index."""
+    index = warc.write(_table(spark, sf, "pages", "page_id", "url", "html"))
+    return warc.read(index, payload=False).select(
+        F.col("key").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
