@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.llm import bpe, line_quality, mixing, warc
+from tarmac.llm import bpe, line_quality, maxscore, mixing, warc
 from tarmac.llm.common import WORD
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,6 +115,20 @@ def op4_line_quality(spark, sf):
     )
 
 
+@query("""
+WITH v AS (SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id,
+    list_sum(list_transform(list_zip(q.e, c.e), lambda z: coalesce(z[1] * z[2], 0)))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.r <> c.r),
+t AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM t WHERE rank <= 5""")
+def op6_max_score(spark, sf):
+    """The five best other vectors for every fiftieth vector."""
+    vectors = _table(spark, sf, "embeddings", "vec_id", "embedding")
+    return maxscore.search(vectors, F.col("id") % 50 == 0, 5)
+
+
 @query("""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 b AS (SELECT page_id, html, strlen(html) AS payload_bytes, max(page_id) OVER (PARTITION BY html) AS largest FROM p)
