@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.llm import bpe, line_quality, maxscore, mixing, warc
+from tarmac.llm import bpe, line_quality, maxscore, mixing, order_minhash, warc
 from tarmac.llm.common import WORD
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,6 +129,13 @@ def op6_max_score(spark, sf):
     return maxscore.search(vectors, F.col("id") % 50 == 0, 5)
 
 
+@query()
+def op9_order_minhash(spark, sf):
+    """The class of near duplicates of every document."""
+    found = order_minhash.classes(_table(spark, sf, "documents", "doc_id", "text"))
+    return found.select("doc_id", "class_id", "class_size", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
 @query("""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 b AS (SELECT page_id, html, strlen(html) AS payload_bytes, max(page_id) OVER (PARTITION BY html) AS largest FROM p)
