@@ -38,6 +38,8 @@ LEAST = 0.8
 FUNCTIONS = 16
 SHORT, LONG = 4, 10
 MAX_WORDS_KEPT = 400_000
+#: Hashes made at once for one text, so that a very long one needs no more memory.
+MAX_HASHES = 2_000_000
 _WORDS = re.compile(r"\w+")
 _MEASURED = "doc_id long, raw binary, node binary, sketches array<long>, body binary"
 
@@ -90,17 +92,24 @@ def labelled(runs: np.ndarray) -> np.ndarray:
 
 
 def sketches(runs: np.ndarray, lengths: tuple[int, ...] = (SHORT, LONG)) -> list[int]:
-    """For each hash function and length: the hash of the runs with the least hashes, in the order of the text."""
+    """For each hash function and length: a hash of the runs with the least hashes, in the order of the text."""
     named = labelled(runs)
-    most, out = min(max(lengths), len(runs)), []
-    for f in range(FUNCTIONS):
-        hashed = _mix((named ^ _XORS[f]) * _TIMES[f])
-        least = np.argpartition(hashed, most - 1)[:most] if most < len(runs) else np.arange(len(runs))
-        least = least[np.argsort(hashed[least])]
+    most = min(max(lengths), len(runs))
+    at_once = max(1, MAX_HASHES // len(runs))
+    out = []
+    for f in range(0, FUNCTIONS, at_once):
+        xors, times = _XORS[f : f + at_once, None], _TIMES[f : f + at_once, None]
+        hashed = _mix((named[None, :] ^ xors) * times)
+        least = np.argpartition(hashed, most - 1, axis=1)[:, :most]
+        least = np.take_along_axis(least, np.argsort(np.take_along_axis(hashed, least, 1), axis=1), 1)
+        keys = []
         for n in lengths:
-            kept = runs[np.sort(least[:n])].tobytes()
-            key = hashlib.blake2b(kept, digest_size=8, salt=f"{f}/{n}".encode()).digest()
-            out.append(int.from_bytes(key, "little", signed=True))
+            kept = runs[np.sort(least[:, :n], axis=1)]
+            key = _mix(xors[:, 0] + np.uint64(n))
+            for column in kept.T:
+                key = _mix(key * _TIMES[0] + column)
+            keys.append(key)
+        out += np.stack(keys, axis=1).ravel().view(np.int64).tolist()
     return out
 
 
@@ -252,3 +261,27 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text", least: float
     )
     return named.join(sizes, "group").select("doc_id", "raw", "class_id", "class_size").unionByName(alone)
 
+
+
+def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", least: float = LEAST) -> DataFrame:
+    """The rows of ``df``, one of each class: the smallest id, then the smallest digest of the text.
+
+    Rows without words are in classes of their own and stay; of identical rows one stays.
+    """
+    measured = measure(df, key, text)
+    groups = cut_lineage(links(measured, least))
+    named = measured.select("doc_id", "raw", "node").join(groups, "node", "left")
+    named = named.select("doc_id", "raw", F.coalesce("least", "node").alias("group"))
+    rows = cut_lineage(named.groupBy("group", "doc_id", "raw").agg(F.count("*").alias("copies")))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "raw", "copies")
+    first = rows.where("group is not null").groupBy("group").agg(F.min(order).alias("first")).select("first.*")
+    wordless = rows.where("group is null").select("doc_id", "raw", F.lit(1).cast("long").alias("copies"))
+    stay = first.select("doc_id", "raw", "copies").unionByName(wordless)
+    stay = cut_lineage(stay.select(F.col("doc_id").alias("_id"), F.col("raw").alias("_raw"), F.col("copies").alias("_copies")))
+    same = F.col(key).cast("long").eqNullSafe(F.col("_id")) & (F.unhex(F.md5(text_of(text))) == F.col("_raw"))
+    names = [f"`{c}`" for c in df.columns]
+    single = df.join(stay.where("_copies = 1"), same, "left_semi").select(*names)
+    several = stay.where("_copies > 1")
+    if several.isEmpty():
+        return single
+    return single.union(df.join(several, same).dropDuplicates(["_id", "_raw"]).select(*names))
