@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.llm import bpe, line_quality, maxscore, mixing, order_minhash, warc
+from tarmac.llm import bpe, line_quality, maxscore, mixing, order_minhash, pii, warc
 from tarmac.llm.common import WORD
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,6 +129,17 @@ def op6_max_score(spark, sf):
     return maxscore.search(vectors, F.col("id") % 50 == 0, 5)
 
 
+@query()
+def op8_pii(spark, sf):
+    """Spans of personal data in every text: fixed patterns and learnt contexts."""
+    found = pii.find(_table(spark, sf, "documents", "doc_id", "text"))
+    counts = [
+        F.size(F.filter("base", lambda s, k=i: s["kind"] == k)).cast("long").alias(f"n_{name}") for i, name in enumerate(pii.KINDS)
+    ]
+    told = pii.told(F.col("base"))
+    return found.select("doc_id", *counts, F.sha2(told, 256).alias("base_sha256"), pii.told(F.col("spans")).alias("spans"))
+
+
 @query()
 def op9_order_minhash(spark, sf):
     """The class of near duplicates of every document."""
