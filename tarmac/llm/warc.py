@@ -35,6 +35,7 @@ ARCHIVE_BYTES = 1 << 30
 #: Index rows are gathered by so many bytes of an archive; requests less than the gap apart become one.
 BLOCK_BYTES = 4 << 20
 GAP_BYTES = 64 << 10
+TASK_BYTES = 128 << 20
 INDEX = "file string, offset long, length long, url string, digest string, key string, record_type string, refers_to string"
 RECORD = (
     "key string, url string, record_type string, refers_to string, payload_bytes long, payload_digest string, payload binary"
@@ -170,7 +171,11 @@ def read(index: DataFrame, payload: bool = True) -> DataFrame:
     worker_path(index.sparkSession)
     block = F.floor(F.col("offset") / BLOCK_BYTES)
     places = F.sort_array(F.collect_set(F.struct("offset", "length"))).alias("places")
-    blocks = index.groupBy("file", block.alias("block")).agg(places).select("file", "places")
+    # Index rows are tiny next to what they point to, so tasks are counted by the bytes to be read.
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(index.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    dealt = index.select("file", block.alias("block"), "offset", "length").repartition(tasks, "file", "block")
+    blocks = dealt.groupBy("file", "block").agg(places).select("file", "places")
     names = [c.split()[0] for c in RECORD.split(", ")]
 
     def fetch(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
