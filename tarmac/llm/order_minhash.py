@@ -172,17 +172,22 @@ def measure(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         packer = zstandard.ZstdCompressor(level=1)
         for part in parts:
             rows = []
-            for doc_id, raw, body in zip(part["doc_id"], part["raw"], part["text"], strict=True):
+            for doc_id, no_id, raw, body in zip(part["doc_id"], part["no_id"], part["raw"], part["text"], strict=True):
                 words = words_of(body)
                 joined = " ".join(words).encode()
                 node = hashlib.blake2b(joined, digest_size=16).digest() if words else None
+                doc_id = None if no_id else doc_id
                 rows.append((doc_id, raw, node, sketches(runs_of(words)) if words else [], packer.compress(joined)))
-            out = pd.DataFrame(rows, columns=names)
+            out = pd.DataFrame(rows, columns=names, dtype=object)
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
 
     body = F.make_valid_utf8(text_of(text))
-    rows = df.select(F.col(key).cast("long").alias("doc_id"), F.unhex(F.md5(text_of(text))).alias("raw"), body.alias("text"))
+    # A null among the ids would make pandas read them all as floats.
+    doc_id, raw = F.col(key).cast("long"), F.unhex(F.md5(text_of(text)))
+    rows = df.select(
+        F.coalesce(doc_id, F.lit(0)).alias("doc_id"), doc_id.isNull().alias("no_id"), raw.alias("raw"), body.alias("text")
+    )
     return cut_lineage(rows.mapInPandas(sketch, _MEASURED))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.llm import bpe, line_quality, maxscore, mixing, order_minhash, pii, warc
+from tarmac.llm import bpe, license_scan, line_quality, maxscore, mixing, order_minhash, packing, pii, warc
 from tarmac.llm.common import WORD
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,6 +115,18 @@ def op4_line_quality(spark, sf):
     )
 
 
+@query()
+def op5_packing(spark, sf):
+    """Pack the token ids of all documents into binary matrices and tell what every packed row holds."""
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = bpe.encode(_table(spark, sf, "documents", "doc_id", "text"), *vocabulary)
+    index = packing.write(encoded, end=50_256)
+    return index.select(
+        "n_tokens", F.size("segments").alias("n_segments"), "cumulative",
+        F.col("segments.doc_id").alias("doc_ids"), F.col("segments.first").alias("firsts"),
+    )
+
+
 @query("""
 WITH v AS (SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
   FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -129,6 +141,12 @@ def op6_max_score(spark, sf):
     return maxscore.search(vectors, F.col("id") % 50 == 0, 5)
 
 
+@query()
+def op7_license_scan(spark, sf):
+    """License notices in all documents."""
+    return license_scan.scan(_table(spark, sf, "documents", "doc_id", "text"))
+
+
 @query()
 def op8_pii(spark, sf):
     """Spans of personal data in every text: fixed patterns and learnt contexts."""
