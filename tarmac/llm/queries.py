@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.llm import bpe, license_scan, line_quality, maxscore, mixing, order_minhash, packing, pii, warc
+from tarmac.llm import bpe, license_scan, line_quality, maxscore, mixing, order_minhash, packing, paragraphs, pii, warc
 from tarmac.llm.common import WORD
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,6 +115,12 @@ def op4_line_quality(spark, sf):
     )
 
 
+@query()
+def op3_paragraphs(spark, sf):
+    """Passages of all documents that repeat across documents."""
+    return paragraphs.repeated(_table(spark, sf, "documents", "doc_id", "text"))
+
+
 @query()
 def op5_packing(spark, sf):
     """Pack the token ids of all documents into binary matrices and tell what every packed row holds."""
