@@ -1,13 +1,12 @@
 """Byte-level BPE as a finite-state transducer.
 
-The merges are given as ranks of byte strings. Each match of the split pattern is encoded by itself by a
-transducer that reads one byte at a time. A state holds every way to go on: the tokens not yet told, the
-last whole token and the bytes begun after it. A byte sequence is the BPE of its text exactly if every two
-neighbouring tokens are, and every prefix of a text has one encoding, so exactly one way at a time ends
-with a whole token. What all ways have in common is emitted; since no way can hold more bytes than the
-longest token, the lookahead is bounded by it. States and transitions are made when first needed and
-kept (a determinised transducer built as far as the texts ask for); the memo is emptied when it is full,
-which changes no result. Matches seen before come from a memo of the same kind.
+The merges are given as ranks of byte strings. Each match of the split pattern is encoded by itself by a transducer that reads one byte at a time.
+A token may begin at every byte, so the machine is a trie with a loop at its root. It is determinised as far as the
+texts ask for: a state stands for all tokens begun and not ended (each is a suffix of the longest, which names it), and its output
+are the tokens that end there. A byte sequence is the BPE of its text exactly if every two neighbouring tokens are, and
+every prefix of a text has one encoding, so exactly one token that ends at a byte goes with the token before it.
+A token is told as soon as all tokens begun lie beyond it or lead back to it; no token is longer than the longest of the vocabulary, which bounds
+the lookahead. Memos of neighbours and of matches seen lately are emptied when they are full, which changes no result.
 
 Decoding joins the tokens' bytes in blocks and turns them to text with a state machine that carries an
 unfinished UTF-8 sequence from block to block.
@@ -35,14 +34,14 @@ from tarmac.llm.common import text_of, worker_path
 
 #: Vocabulary files are broadcast to the workers; larger ones are refused.
 MAX_VOCABULARY_BYTES = 64 << 20
-MAX_STATES = 150_000
-MAX_MATCHES = 300_000
+MAX_PAIRS = 400_000
+MAX_MATCHES = 200_000
+#: Within one match, tokens are told every so many bytes.
+TOLD_BYTES = 1 << 12
 BLOCK_CHARS = 1 << 16
 BLOCK_IDS = 1 << 16
 
-Ids = tuple[int, ...]
-#: Tokens not yet emitted, the last whole token (None at the start of a match), bytes begun after it.
-Way = tuple[Ids, bytes | None, bytes]
+
 
 
 def parse_ranks(content: bytes) -> dict[bytes, int]:
@@ -71,10 +70,9 @@ class Seams:
     its parts; tokens for which it does not are merged in full.
     """
 
-    def __init__(self, ranks: dict[bytes, int], most: int):
-        self.ranks, self.most = ranks, most
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
         self.grown: dict[bytes, tuple[list[bytes], list[bytes]] | None] = {}
-        self.known: dict[tuple[bytes, bytes], bool] = {}
 
     def whole(self, token: bytes) -> bool:
         """Whether the token's bytes merge to the token."""
@@ -98,15 +96,6 @@ class Seams:
         return self.grown[token]
 
     def holds(self, left: bytes, right: bytes) -> bool:
-        pair = (left, right)
-        known = self.known.get(pair)
-        if known is None:
-            if len(self.known) >= self.most:
-                self.known.clear()
-            known = self.known[pair] = self._holds(left, right)
-        return known
-
-    def _holds(self, left: bytes, right: bytes) -> bool:
         ends, begins = self._growth(left), self._growth(right)
         if ends is None or begins is None:
             return merge(left + right, self.ranks) == [left, right]
@@ -129,65 +118,88 @@ class Seams:
 class Transducer:
     """Encodes the bytes of one match at a time."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES):
-        self.ranks = ranks
-        self.max_states = max_states
+    def __init__(self, ranks: dict[bytes, int], max_pairs: int = MAX_PAIRS):
+        self.ranks, self.max_pairs = ranks, max_pairs
+        self.tokens = {rank: token for token, rank in ranks.items()}
         self.prefixes = {token[:n] for token in ranks for n in range(1, len(token) + 1)}
-        self.seams = Seams(ranks, 4 * max_states)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.states: dict[tuple[Way, ...], int] = {}
-        self.ways: list[tuple[Way, ...]] = []
-        self.steps: list[dict[int, tuple[int, Ids]]] = []
-        self.ends: list[Ids | None] = []
-        self.start = self._state((((), None, b""),))
-
-    def _state(self, ways: tuple[Way, ...]) -> int:
-        known = self.states.get(ways)
-        if known is None:
-            known = self.states[ways] = len(self.ways)
-            self.ways.append(ways)
+        self.seams = Seams(ranks)
+        self.pairs: dict[tuple[int, int], bool] = {}
+        self.names: list[bytes] = [b""]
+        self.states: dict[bytes, int] = {b"": 0}
+        self.steps: list[dict[int, int]] = [{}]
+        #: (id, length) of the tokens that end in a state, the longest first.
+        self.ending: list[list[tuple[int, int]]] = [[]]
+
+    def _step(self, state: int, byte: int) -> int:
+        """Make the transition: of the tokens begun, those that take the byte go on; the longest names the state."""
+        name = self.names[state] + bytes((byte,))
+        while name not in self.prefixes:
+            if not name:
+                raise ValueError(f"byte {byte} is not in the vocabulary")
+            name = name[1:]
+        after = self.states.get(name)
+        if after is None:
+            after = self.states[name] = len(self.names)
+            self.names.append(name)
             self.steps.append({})
-            self.ends.append(next((told for told, _, begun in ways if not begun), None))
-        return known
-
-    def _step(self, state: int, byte: int) -> tuple[int, Ids]:
-        """Make the transition: every way takes the byte, the one that ends a token also goes on from there."""
-        ways: list[Way] = []
-        added, whole = bytes((byte,)), None
-        for told, last, begun in self.ways[state]:
-            begun += added
-            if begun in self.prefixes:
-                ways.append((told, last, begun))
-                if whole is None and begun in self.ranks:
-                    if self.seams.whole(begun) if last is None else self.seams.whole(begun) and self.seams.holds(last, begun):
-                        whole = ((*told, self.ranks[begun]), begun, b"")
-        ways.append(whole)
-        shortest = min(ways, key=lambda way: len(way[0]))[0]
-        common = 0
-        while common < len(shortest) and all(way[0][common] == shortest[common] for way in ways):
-            common += 1
-        after = self._state(tuple((told[common:], last, begun) for told, last, begun in ways))
-        self.steps[state][byte] = (after, shortest[:common])
-        return self.steps[state][byte]
+            ends = [(self.ranks[name[k:]], len(name) - k) for k in range(len(name)) if name[k:] in self.ranks]
+            self.ending.append([e for e in ends if self.seams.whole(self.tokens[e[0]])])
+        self.steps[state][byte] = after
+        return after
+
+    def _goes(self, pair: tuple[int, int]) -> bool:
+        """Whether a token stays whole after another, or at the start of a match (-1)."""
+        if len(self.pairs) >= self.max_pairs:
+            self.pairs.clear()
+        left, right = pair
+        self.pairs[pair] = goes = left < 0 or self.seams.holds(self.tokens[left], self.tokens[right])
+        return goes
 
     def encode(self, piece: bytes) -> list[int]:
         """Token ids of one match; a match that is a token by itself is that token."""
         if piece in self.ranks:
             return [self.ranks[piece]]
-        if len(self.ways) > self.max_states:
-            self._forget()
-        state, ids = self.start, []
+        ids: list[int] = []
+        # The token that ends at each place not yet told, and its length.
+        last, size, state = [-1], [0], 0
+        steps, ending, pairs = self.steps, self.ending, self.pairs
         for byte in piece:
-            state, emitted = self.steps[state].get(byte) or self._step(state, byte)
-            if emitted:
-                ids += emitted
-            if len(self.ways) > 2 * self.max_states:
-                here = self.ways[state]
-                self._forget()
-                state = self._state(here)
-        return ids + list(self.ends[state] or ())
+            state = steps[state].get(byte) or self._step(state, byte)
+            for token, n in ending[state]:
+                if n <= len(last):
+                    pair = (last[-n], token)
+                    goes = pairs.get(pair)
+                    if self._goes(pair) if goes is None else goes:
+                        last.append(token)
+                        size.append(n)
+                        break
+            else:
+                raise ValueError("the vocabulary does not hold all single bytes")
+            if len(last) > 2 * TOLD_BYTES:
+                self._tell(state, ids, last, size)
+        return ids + self._chain(last, size, len(last) - 1)
+
+    @staticmethod
+    def _chain(last: list[int], size: list[int], at: int) -> list[int]:
+        """The tokens up to a place, from the end back."""
+        out = []
+        while at > 0:
+            out.append(last[at])
+            at -= size[at]
+        return out[::-1]
+
+    def _tell(self, state: int, ids: list[int], last: list[int], size: list[int]) -> None:
+        """Tell the tokens that lie before all tokens begun, whichever of them goes on."""
+        end, name = len(last) - 1, self.names[state]
+        open_ = {end} | {end - n for n in range(1, len(name) + 1) if name[len(name) - n :] in self.prefixes and n <= end}
+        # Each place leads back to one before it; where all have met, nothing can change any more.
+        while len(open_) > 1:
+            latest = max(open_)
+            open_.remove(latest)
+            open_.add(latest - size[latest])
+        settled = open_.pop()
+        ids += self._chain(last, size, settled)
+        del last[:settled], size[:settled]
 
 
 class Matches(dict):
@@ -245,7 +257,7 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.matches = Matches(Transducer(ranks))
         self.pattern = regex.compile(pattern)
-        self.tokens = {rank: token for token, rank in ranks.items()}
+        self.tokens = self.matches.transducer.tokens
 
     def blocks(self, text: str) -> Iterator[str]:
         """Parts of about BLOCK_CHARS that begin at a space after a non-space, where a match always begins."""
