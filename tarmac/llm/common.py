@@ -12,6 +12,10 @@ from tarmac.session import cut_lineage
 #: Words everywhere in this folder: runs of anything but space and the five ASCII line and tab characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Rows that a Python worker gets at once: few enough for very long texts, enough to make up for the transfer.
+BATCH_ROWS = 500
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def text_of(column: str) -> Column:
     """The text, with a null read as empty."""
@@ -38,10 +42,14 @@ def computed(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 def worker_path(spark: SparkSession) -> None:
-    """Let Python workers started by this session import this package.
+    """Let Python workers of this session import this package, and give them batches that fit in memory.
 
-    Executors that do not see this folder need the package installed or sent with ``--py-files``.
+    Executors that do not see this folder need the package installed or sent with ``--py-files``. The limit on
+    the rows of a batch is a setting of the session; a lower one of the user's stays.
     """
+    rows = int(spark.conf.get(_ARROW_ROWS))
+    if rows <= 0 or rows > BATCH_ROWS:
+        spark.conf.set(_ARROW_ROWS, BATCH_ROWS)
     root = os.path.dirname(os.path.dirname(os.path.abspath(tarmac.__file__)))
     environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "").split(os.pathsep)
