@@ -44,5 +44,5 @@ def positive_or_zero(value: Column) -> Column:
 
 
 def percent(part: Column, total: Column) -> Column:
-    """``100 * part / total`` to two decimals, halves to even."""
-    return F.rint(part / total * F.lit(100.0) * F.lit(100.0)) / F.lit(100.0)
+    """``100 * part / total`` to two decimals, halves to even; null for a total of zero."""
+    return F.rint(F.try_divide(part, total) * F.lit(100.0) * F.lit(100.0)) / F.lit(100.0)

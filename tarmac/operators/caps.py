@@ -38,27 +38,33 @@ def cap_per_group(df: DataFrame, group: list[str], ordering: Ordering, cap: int)
     return ranked.where(F.col("rank_in_group") <= cap).drop("rank_in_group")
 
 
-def opening_cap(df: DataFrame, rank: str, ordering: Ordering, open_below: int, total: int) -> DataFrame:
+def opening_cap(
+    df: DataFrame, rank: str, ordering: Ordering, open_below: int | None = None, total: int | None = None
+) -> DataFrame:
     """Groups are taken in ``rank`` order; a group contributes only if fewer than ``open_below``
-    rows were taken before it. The result holds at most ``total`` rows.
+    rows were taken before it. The result holds at most ``total`` rows. Without a limit it does not apply.
 
     Each non-empty group adds at least one row, so only the first ``open_below`` groups can ever
     open: the running sum and the broadcast side hold at most that many rows.
     """
-    sizes = df.groupBy(rank).agg(F.count("*").alias("size")).orderBy(rank).limit(open_below)
-    before = W.orderBy(rank).rowsBetween(W.unboundedPreceding, -1)
-    opened = sizes.withColumn("taken_before", F.coalesce(F.sum("size").over(before), F.lit(0)))
-    opened = opened.where(F.col("taken_before") < open_below).select(rank)
-    return df.join(F.broadcast(opened), rank, "left_semi").orderBy(rank, *ordering).limit(total)
+    if open_below is not None:
+        sizes = df.groupBy(rank).agg(F.count("*").alias("size")).orderBy(rank).limit(open_below)
+        before = W.orderBy(rank).rowsBetween(W.unboundedPreceding, -1)
+        opened = sizes.withColumn("taken_before", F.coalesce(F.sum("size").over(before), F.lit(0)))
+        opened = opened.where(F.col("taken_before") < open_below).select(rank)
+        df = df.join(F.broadcast(opened), rank, "left_semi")
+    return df if total is None else df.orderBy(rank, *ordering).limit(total)
 
 
 def priority_cap(
-    df: DataFrame, request: list[str], ordering: Ordering, keep: Column, per_request: int, total: int
+    df: DataFrame, request: list[str], ordering: Ordering, keep: Column, per_request: int | None = None,
+    total: int | None = None,
 ) -> DataFrame:
     """Each request returns its first ``per_request`` rows; the filter applies afterwards, and
-    the first ``total`` survivors in (request order, position) are taken."""
-    answered = cap_per_group(df, request, ordering, per_request)
-    return answered.where(keep).orderBy(*request, *ordering).limit(total)
+    the first ``total`` survivors in (request order, position) are taken. Without a limit it does not apply."""
+    answered = df if per_request is None else cap_per_group(df, request, ordering, per_request)
+    kept = answered.where(keep)
+    return kept if total is None else kept.orderBy(*request, *ordering).limit(total)
 
 
 def numbered(df: DataFrame, ordering: list[str], value: str) -> DataFrame:

@@ -1,4 +1,9 @@
-"""Equality joins against dimensions and snapshots."""
+"""Equality joins against dimensions and snapshots.
+
+The other side is unique per key. Spark broadcasts it if its files or, at run time, its shuffled rows are small; otherwise
+the join shuffles and adaptive execution splits the partitions of hot keys, for which a unique other side is enough. No
+pass over the data is made to choose.
+"""
 
 from __future__ import annotations
 
@@ -6,29 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.times import each_day
-from tarmac.session import cut_lineage
-
-BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def sized(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES, store: bool = False
-) -> DataFrame:
-    """``df`` with a broadcast hint if it is measured to be small, without one otherwise.
-
-    The measurement is a two-number aggregate. ``store`` materialises ``df`` first: use it for a
-    side that is itself the result of a pass over a large table, which measuring and joining
-    would otherwise repeat. Beyond the limits the join shuffles, and adaptive execution splits
-    the partitions of hot keys: every side that goes through here is unique per key, so splitting
-    the other side is enough.
-    """
-    if store:
-        df = cut_lineage(df)
-    width = F.octet_length(F.to_json(F.struct(*df.columns)))
-    rows, size = df.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
-    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
-
 
 def lookup(
     facts: DataFrame,
@@ -40,7 +22,7 @@ def lookup(
 ) -> DataFrame:
     """Bring dimension columns to the facts: ``values`` maps dimension column -> new name.
 
-    ``dimension`` must be unique per ``dim_key``; pass it through :func:`sized` first.
+    ``dimension`` must be unique per ``dim_key``.
     """
     side = dimension.select(
         F.col(dim_key).alias("lookup_key"), *[F.col(old).alias(new) for old, new in values.items()]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 
 def _order(columns: list[str]) -> Column:
+    # A single column stays bare, so that rows without a position are told apart from those with one.
     return F.struct(*columns) if len(columns) > 1 else F.col(columns[0])
 
 

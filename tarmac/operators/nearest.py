@@ -1,32 +1,25 @@
 """Nearest-in-time join: for every left row, the observation of the same key closest in time.
 
-Both sides are stacked and sorted by (key, time); one running window carries the latest earlier
+Both sides are stacked and sorted by (key, time bucket, time); one running window carries the latest earlier
 observation forward and a second, sorted the other way, carries the next later one back. Cost is
 one shuffle and two sorts, never (left rows x observations) pairs. Two running frames are used
 on purpose: a frame that looks at all following rows is re-evaluated per row.
 
-A key may hold a large part of all rows. The number of rows of the largest key is measured first:
-one count per key, over the key columns alone. If it is too much for one task, the stacked rows
-are cut into slices of about equal size by a range partitioning on (key, time), written once to
-the shared checkpoint folder so the slice numbers are final, and each slice receives the last
-observation before it and the first one after it as two extra rows. The result is the same.
+A key may hold a large part of all rows, so the unit of work is never the key but the key in one bucket of time. Every
+bucket is told the last observation of the buckets before it and the first one of those after it, as two extra rows. They come from
+a summary of one row per key and bucket, made from the keys and instants alone. Nothing is measured, stored or
+collected, and there is one plan for all sizes; a smaller bucket is the answer to a key with very many rows in one.
 
 Ties: the earlier observation wins; among observations of one instant the smallest id wins.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from math import ceil
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tarmac.session import cut_lineage
-
-MAX_GROUP_ROWS = 5_000_000
-MAX_SLICES = 20_000
+BUCKET_HOURS = 24
 
 
 def nearest_join(
@@ -41,24 +34,16 @@ def nearest_join(
     payload: dict[str, str],
     matched_time: str | None = None,
     tolerance_hours: int | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
-    group_sizes: tuple[int, int] | None = None,
+    bucket_hours: int = BUCKET_HOURS,
 ) -> DataFrame:
     """Left join to the nearest observation.
 
     ``payload`` maps observation column -> output column. Rows of ``left`` without key, time or
     any observation get nulls. With ``tolerance_hours`` a match further away (closed bound) is
     dropped to null, which is exact: the nearest overall is the nearest within the bound.
-
-    ``group_sizes`` is the result of :func:`measure_groups` if the caller has it already; give it
-    when ``left`` is itself the outcome of an expensive join, which measuring would run twice.
     """
-    points = _stack(left, observations, left_key, left_time, key, time, row_id, payload)
-    largest, total = group_sizes or measure_groups((left, left_key), (observations, key))
-    if largest > max_group_rows:
-        slices = min(MAX_SLICES, max(2, ceil(total / max_group_rows)))
-        points = _cut_into_slices(points, slices)
-    chosen = _carry_both_ways(points)
+    points = _stack(left, observations, left_key, left_time, key, time, row_id, payload, bucket_hours)
+    chosen = _carry_both_ways(_with_edges(points))
 
     pick = _closer()
     if tolerance_hours is not None:
@@ -71,31 +56,21 @@ def nearest_join(
     return picked.select("row.*", *out)
 
 
-def measure_groups(*sides: tuple[DataFrame, str]) -> tuple[int, int]:
-    """(rows of the largest key, rows of all keys) over several frames and their key columns.
-
-    Each side is counted per key before the counts meet, so this moves one row per key and task.
-    """
-    counts = [
-        df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.count("*").alias("n")) for df, key in sides
-    ]
-    per_key = reduce(DataFrame.unionByName, counts).groupBy("k").agg(F.sum("n").alias("n"))
-    largest, total = per_key.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    return largest, total
-
-
-def _stack(left, observations, left_key, left_time, key, time, row_id, payload) -> DataFrame:
+def _stack(left, observations, left_key, left_time, key, time, row_id, payload, bucket_hours) -> DataFrame:
     """Both inputs in one shape: key k, instant t (microseconds), kind (0 observation, 1 left row),
-    slice s, observation id and payload, left row."""
+    bucket s, observation id and payload, left row."""
 
     def micros(name: str) -> Column:
         return F.unix_micros(F.col(name).cast("timestamp"))
 
+    def bucket(name: str) -> Column:
+        return F.floor(micros(name) / F.lit(bucket_hours * 3_600_000_000)).cast("int")
+
     seen = observations.where(F.col(key).isNotNull() & F.col(time).isNotNull()).select(
         F.col(key).alias("k"),
         micros(time).alias("t"),
         F.lit(0).alias("kind"),
-        F.lit(0).alias("s"),
+        bucket(time).alias("s"),
         F.col(row_id).alias("id"),
         F.struct(*[F.col(old).alias(new) for old, new in payload.items()]).alias("payload"),
     )
@@ -106,7 +81,7 @@ def _stack(left, observations, left_key, left_time, key, time, row_id, payload)
         F.when(matchable, F.col(left_key)).alias("k"),
         F.when(matchable, micros(left_time)).alias("t"),
         F.lit(1).alias("kind"),
-        F.when(matchable, F.lit(0)).otherwise(-1 - F.spark_partition_id()).alias("s"),
+        F.when(matchable, bucket(left_time)).otherwise(-1 - F.spark_partition_id()).alias("s"),
         F.struct(*left.columns).alias("row"),
     )
     return asked.unionByName(seen, allowMissingColumns=True)
@@ -121,17 +96,10 @@ def _latest(seen: str) -> Column:
     return F.when(F.col(seen).isNotNull(), F.struct(-F.col(f"{seen}.t"), F.col(f"{seen}.id")))
 
 
-def _cut_into_slices(points: DataFrame, slices: int) -> DataFrame:
-    ordering = ["k", "t", "kind", F.col("id").desc(), "salt"]
-    ranged = (
-        points.withColumn("salt", F.spark_partition_id())
-        .repartitionByRange(slices, *ordering)
-        .withColumn("s", F.when(F.col("k").isNull(), F.col("s")).otherwise(F.spark_partition_id()))
-        .drop("salt")
-    )
-    stored = cut_lineage(ranged)
+def _with_edges(points: DataFrame) -> DataFrame:
+    """The points, and for each bucket with any the observations that bound it from outside."""
     edges = (
-        stored.where("k is not null")
+        points.where("k is not null")
         .select("k", "s", F.when(F.col("kind") == 0, F.struct("t", "id", "payload")).alias("seen"))
         .groupBy("k", "s")
         .agg(
@@ -141,16 +109,14 @@ def _cut_into_slices(points: DataFrame, slices: int) -> DataFrame:
     )
     earlier = W.partitionBy("k").orderBy("s").rowsBetween(W.unboundedPreceding, -1)
     later = W.partitionBy("k").orderBy(F.col("s").desc()).rowsBetween(W.unboundedPreceding, -1)
-    # One instant may straddle slices, so the extremes run over all slices on that side.
     handed = edges.withColumns(
         {
-            "from_before": F.min_by("last", _latest("last")).over(earlier),
-            "from_after": F.min_by("first", _earliest("first")).over(later),
+            "from_before": F.last("last", ignorenulls=True).over(earlier),
+            "from_after": F.last("first", ignorenulls=True).over(later),
         }
     ).select("k", "s", F.explode(F.array("from_before", "from_after")).alias("seen"))
-    handed = handed.where("seen is not null")
-    extra = handed.select("k", "s", F.lit(0).alias("kind"), "seen.*")
-    return stored.unionByName(extra, allowMissingColumns=True)
+    extra = handed.where("seen is not null").select("k", "s", F.lit(0).alias("kind"), "seen.*")
+    return points.unionByName(extra, allowMissingColumns=True)
 
 
 def _carry_both_ways(points: DataFrame) -> DataFrame:

@@ -112,10 +112,13 @@ def r2(df: DataFrame, label: str, prediction: str, by: list[str] | None = None)
     """Coefficient of determination, per group if ``by`` is given.
 
     One pass: the residual sum of squares and the label's central second moment, both of which
-    Spark merges from partial aggregates without cancellation.
+    Spark merges from partial aggregates without cancellation. A label without spread has nothing to
+    explain: 1.0 if every prediction is right, else 0.0.
     """
     y, p = F.col(label), F.col(prediction)
     both = df.where(y.isNotNull() & p.isNotNull())
     residual = F.sum((y - p) * (y - p))
     spread = F.var_pop(y) * F.count(y)
-    return both.groupBy(*(by or [])).agg((F.lit(1.0) - residual / spread).alias("r2"), F.count("*").alias("rows"))
+    flat = F.when(residual == 0, F.lit(1.0)).otherwise(F.lit(0.0))
+    share = F.when(spread == 0, flat).otherwise(F.lit(1.0) - F.try_divide(residual, spread))
+    return both.groupBy(*(by or [])).agg(share.alias("r2"), F.count("*").alias("rows"))

@@ -1,7 +1,9 @@
 """The jobs a user runs: collecting, backfilling, training, predicting and checking tables.
 
 Provider answers are read from a landing zone of envelope files; whatever fetches them writes one
-file per request below ``airport=XXX`` (and ``status=...`` or ``flight_date=...``) folders.
+file per request below ``airport=XXX`` (and ``status=...`` or ``flight_date=...``) folders. Day, status and airport are filtered
+first, by folder where there is one. A provider's limits are arguments: ``per_request`` counts records of one file, the others rows of the result;
+without them nothing is left out.
 """
 
 from __future__ import annotations
@@ -22,12 +24,10 @@ from tarmac.session import cut_lineage
 from tarmac.sources import landing, tables
 from tarmac.sources.dimension import read_dimension
 
-# ---- fixed values: collection limits ---------------------------------------------------------
+# ---- fixed values: airports and statuses --------------------------------------------------------
 HISTORY_AIRPORTS = ["CDG", "ORY", "AMS", "LHR", "MAD", "FRA", "MUC", "BCN", "FCO", "CPH"]
 LIVE_AIRPORTS = ["CDG", "ORY", "AMS", "LHR", "JFK"]
-HISTORY_REQUEST, HISTORY_OPEN_BELOW, HISTORY_TOTAL = 100, 50, 100
-LIVE_STATUSES, LIVE_REQUEST, LIVE_TOTAL = ["active", "scheduled"], 50, 10
-BACKFILL_PER_DAY = 2
+LIVE_STATUSES = ["active", "scheduled"]
 
 
 def _rank(column: str, order: list[str]) -> Column:
@@ -35,9 +35,13 @@ def _rank(column: str, order: list[str]) -> Column:
     return F.nullif(F.array_position(F.array(*[F.lit(v) for v in order]), F.col(column)), F.lit(0))
 
 
-def _landed(spark: SparkSession, path: str, airports: list[str]) -> DataFrame:
-    records = landing.read_envelope(spark, path, FLIGHT, "data")
-    return records.where(F.col("airport").isin(airports)).withColumn("airport_rank", _rank("airport", airports))
+def _landed(
+    spark: SparkSession, path: str, airports: list[str], per_request: int | None = None, **folders: list[str]
+) -> DataFrame:
+    records = landing.read_envelope(spark, path, FLIGHT, "data", {"airport": airports, **folders})
+    if per_request is not None:
+        records = caps.cap_per_group(records, ["source_file"], ["pos"], per_request)
+    return records.withColumn("airport_rank", _rank("airport", airports))
 
 
 def _keyed(flights: DataFrame, at: Column | None) -> DataFrame:
@@ -46,58 +50,72 @@ def _keyed(flights: DataFrame, at: Column | None) -> DataFrame:
 
 
 def collect_history(
-    spark: SparkSession, landing_path: str, table: str, day: str, airports: list[str] | None = None, at=None
+    spark: SparkSession, landing_path: str, table: str, day: str, airports: list[str] | None = None, at=None,
+    per_request: int | None = None, open_below: int | None = None, total: int | None = None,
 ) -> DataFrame:
-    """Upsert the day's finished flights; returns row counts per action."""
-    records = _landed(spark, landing_path, airports or HISTORY_AIRPORTS)
-    answered = caps.cap_per_group(records, ["airport_rank"], ["source_file", "pos"], HISTORY_REQUEST)
-    finished = filters.landed_flights(filters.on_day(answered, day), ["arrival.actual"])
-    taken = caps.opening_cap(finished, "airport_rank", ["source_file", "pos"], HISTORY_OPEN_BELOW, HISTORY_TOTAL)
+    """Upsert the day's finished flights; returns row counts per action.
+
+    With ``open_below`` an airport is left out once so many rows came from those before it.
+    """
+    records = _landed(spark, landing_path, airports or HISTORY_AIRPORTS, per_request, flight_date=[day])
+    finished = filters.landed_flights(filters.on_day(records, day), ["arrival.actual"])
+    taken = caps.opening_cap(finished, "airport_rank", ["source_file", "pos"], open_below, total)
     batch = _keyed(taken.drop("source_file", "airport"), at)
     ordered = batch.withColumnRenamed("pos", "batch_pos")
     return tables.upsert_table(ordered, table, "_id", ["airport_rank", "batch_pos"], "flight_date")
 
 
-def collect_weather(spark: SparkSession, landing_path: str, table: str, role: str | None = None) -> DataFrame:
-    """Upsert weather documents, one row per city and hour, the last write winning."""
+def collect_weather(spark: SparkSession, landing_path: str, table: str, role: str | None = None, at=None) -> DataFrame:
+    """Upsert weather documents, one row per city and hour, the last write winning.
+
+    Writes are ordered by their instant, whatever offset it is written with; a document without a
+    readable instant is stamped with the time of the run.
+    """
     documents = landing.read_weather(spark, landing_path)
-    at = times.instant_column(documents, "collected_at")
+    now = F.current_timestamp() if at is None else at
+    instant = F.coalesce(times.instant_column(documents, "collected_at"), now)
     named = F.coalesce("city", "name")
     batch = documents.withColumns(
-        {"_id": text.city_hour_key(named, at), "day": times.day_string(at)}
+        {"_id": text.city_hour_key(named, instant), "day": times.day_string(instant), "collected_instant": instant}
         | ({"role": F.lit(role)} if role else {})
     )
-    return tables.upsert_table(batch, table, "_id", ["collected_at"], "day")
+    return tables.upsert_table(batch, table, "_id", ["collected_instant"], "day")
+
+
+def weather_of(weather: DataFrame, cities: DataFrame, city: str = "city") -> DataFrame:
+    """Weather documents of the given cities, as :func:`arrival_cities` returns them."""
+    return weather.join(cities.select(F.col(city).alias("wanted")), F.coalesce("city", "name") == F.col("wanted"), "left_semi")
 
 
 def arrival_cities(flights: DataFrame, dimension: DataFrame, day: str) -> tuple[DataFrame, DataFrame]:
     """(cities that flights of the day arrive in, arrival codes the dimension lacks with counts)."""
     codes = filters.on_day(flights, day).select(F.col("arrival.iata").alias("code")).where(text.present(F.col("code")))
-    small = lookup.sized(dimension)
-    return lookup.cities_of(codes, small, ["code"], "iata", "city"), lookup.unknown_codes(codes, small, "code", "iata")
+    return lookup.cities_of(codes, dimension, ["code"], "iata", "city"), lookup.unknown_codes(codes, dimension, "code", "iata")
 
 
 def backfill(
-    spark: SparkSession, landing_path: str, table: str, airports: list[str] | None = None, at=None
+    spark: SparkSession, landing_path: str, table: str, airports: list[str] | None = None, at=None,
+    per_request: int | None = None, per_day: int | None = None,
 ) -> DataFrame:
-    """Insert the first finished flights of every (day, airport) that the table does not hold."""
-    records = _landed(spark, landing_path, airports or LIVE_AIRPORTS)
-    ordering = ["source_file", "pos"]
-    answered = caps.cap_per_group(records, ["flight_date", "airport_rank"], ordering, HISTORY_REQUEST)
-    finished = filters.landed_flights(answered, ["arrival.actual"])
-    taken = caps.cap_per_group(finished, ["flight_date", "airport_rank"], ordering, BACKFILL_PER_DAY)
+    """Insert the (first ``per_day``) finished flights of every (day, airport) that the table does not hold."""
+    records = _landed(spark, landing_path, airports or LIVE_AIRPORTS, per_request)
+    taken = filters.landed_flights(records, ["arrival.actual"])
+    if per_day is not None:
+        taken = caps.cap_per_group(taken, ["flight_date", "airport_rank"], ["source_file", "pos"], per_day)
     batch = _keyed(taken.drop("source_file", "airport"), at).withColumnRenamed("pos", "batch_pos")
     return tables.insert_if_absent(batch, table, "_id", ["airport_rank", "batch_pos"], "flight_date")
 
 
-def live_flights(spark: SparkSession, landing_path: str, day: str, airports: list[str] | None = None) -> DataFrame:
-    """The first active or scheduled flights of the day, in airport and status order."""
-    records = _landed(spark, landing_path, airports or LIVE_AIRPORTS)
+def live_flights(
+    spark: SparkSession, landing_path: str, day: str, airports: list[str] | None = None,
+    per_request: int | None = None, total: int | None = None,
+) -> DataFrame:
+    """The active or scheduled flights of the day; with ``total`` the first ones in airport and status order."""
+    folders = {"flight_date": [day], "status": LIVE_STATUSES}
+    records = _landed(spark, landing_path, airports or LIVE_AIRPORTS, per_request, **folders)
     records = records.withColumn("status_rank", _rank("status", LIVE_STATUSES)).where("status_rank is not null")
     keep = (F.col("flight_date") == day) & F.col("flight_status").isin(LIVE_STATUSES)
-    return caps.priority_cap(
-        records, ["airport_rank", "status_rank"], ["source_file", "pos"], keep, LIVE_REQUEST, LIVE_TOTAL
-    )
+    return caps.priority_cap(records, ["airport_rank", "status_rank"], ["source_file", "pos"], keep, total=total)
 
 
 def train(

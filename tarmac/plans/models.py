@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tarmac.functions.text import positive_or_zero
 from tarmac.operators.profile import modes, r2
 from tarmac.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
+from tarmac.session import cut_lineage
 
 # ---- fixed values: hyper-parameters ---------------------------------------------------------
 ELASTIC_NET = {"alpha": 0.1, "l1_ratio": 0.2}
@@ -137,11 +138,12 @@ def as_doubles(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 # ---- estimators -----------------------------------------------------------------------------
 
 
-def label_spread(train: DataFrame, label: str, solver: str = "auto") -> tuple[float, int]:
+def label_spread(train: DataFrame, label: str, solver: str = "normal") -> tuple[float, int]:
     """The standard deviation a solver divides the label by, and the number of labels.
 
-    The normal-equation solver (which ``auto`` takes up to 4096 features) uses the population
-    value, the iterative one the sample value.
+    The normal-equation solver uses the population value, the iterative one the sample value. The solver is
+    always named, since Spark's own choice depends on the number of features, which one-hot blocks can push up:
+    beyond 4,096 features the caller names ``l-bfgs``.
     """
     deviation = F.stddev_samp(label) if solver == "l-bfgs" else F.stddev_pop(label)
     spread, rows = train.agg(deviation, F.count(label)).first()
@@ -149,7 +151,7 @@ def label_spread(train: DataFrame, label: str, solver: str = "auto") -> tuple[fl
     return spread, rows
 
 
-def _linear(label: str, reg: float = 0.0, mix: float = 0.0, solver: str = "auto") -> LinearRegression:
+def _linear(label: str, reg: float = 0.0, mix: float = 0.0, solver: str = "normal") -> LinearRegression:
     return LinearRegression(
         labelCol=label, featuresCol="features", regParam=reg, elasticNetParam=mix,
         standardization=False, maxIter=1000, tol=1e-10, solver=solver,
@@ -157,7 +159,7 @@ def _linear(label: str, reg: float = 0.0, mix: float = 0.0, solver: str = "auto"
 
 
 def elastic_net(
-    train: DataFrame, label: str = TARGET, alpha: float = 0.1, l1_ratio: float = 0.2, solver: str = "auto"
+    train: DataFrame, label: str = TARGET, alpha: float = 0.1, l1_ratio: float = 0.2, solver: str = "normal"
 ) -> LinearRegression:
     """Minimises ``|y - Xw|^2 / 2n + alpha * l1_ratio * |w|_1 + alpha * (1 - l1_ratio) / 2 * |w|^2``.
 
@@ -170,7 +172,7 @@ def elastic_net(
     return _linear(label, total, lasso / total, solver) if total > 0 else _linear(label, solver=solver)
 
 
-def ridge(train: DataFrame, label: str = TARGET, alpha: float = RIDGE_ALPHA, solver: str = "auto") -> LinearRegression:
+def ridge(train: DataFrame, label: str = TARGET, alpha: float = RIDGE_ALPHA, solver: str = "normal") -> LinearRegression:
     """Minimises ``|y - Xw|^2 + alpha * |w|^2``."""
     spread, rows = label_spread(train, label, solver)
     return _linear(label, alpha * spread / rows if rows else 0.0, 0.0, solver)
@@ -208,23 +210,20 @@ def candidates(train: DataFrame, label: str = TARGET) -> dict:
 def compare_models(rows: DataFrame, label: str = TARGET, names: list[str] | None = None, **columns) -> DataFrame:
     """(model, split, r2, rows) for each candidate; ``rows`` carries ``split``.
 
-    Preprocessing is fitted and applied once; the assembled vectors are kept while the models
-    are fitted on them.
+    Preprocessing is fitted and applied once; the assembled vectors are written to the shared folder,
+    where the fits of all models read them.
     """
     train = rows.where("split = 'train'")
     prepared_by = Pipeline(stages=preprocessing(train, drop_first=True, **columns)).fit(train)
-    ready = prepared_by.transform(rows).select("split", "features", label).persist()
-    try:
-        fit_on = ready.where("split = 'train'")
-        chosen = {n: e for n, e in candidates(fit_on, label).items() if names is None or n in names}
-        # Each score is two numbers, so the finished table is tiny and safe to rebuild here.
-        scores = []
-        for name, estimator in chosen.items():
-            scored = estimator.fit(fit_on).transform(ready)
-            scores += [(name, r["split"], r["r2"], r["rows"]) for r in r2(scored, label, "prediction", ["split"]).collect()]
-        return rows.sparkSession.createDataFrame(scores, "model string, split string, r2 double, rows bigint")
-    finally:
-        ready.unpersist()
+    ready = cut_lineage(prepared_by.transform(rows).select("split", "features", label))
+    fit_on = ready.where("split = 'train'")
+    chosen = {n: e for n, e in candidates(fit_on, label).items() if names is None or n in names}
+    # Each score is two numbers, so the finished table is tiny and safe to rebuild here.
+    scores = []
+    for name, estimator in chosen.items():
+        scored = estimator.fit(fit_on).transform(ready)
+        scores += [(name, r["split"], r["r2"], r["rows"]) for r in r2(scored, label, "prediction", ["split"]).collect()]
+    return rows.sparkSession.createDataFrame(scores, "model string, split string, r2 double, rows bigint")
 
 
 # ---- persistence and scoring ----------------------------------------------------------------

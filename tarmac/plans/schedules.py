@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions import times
 from tarmac.operators import caps, filters, shape
+from tarmac.session import cut_lineage
 from tarmac.sources.tables import save_run
 
 
@@ -49,13 +50,7 @@ def select_live(schedules: DataFrame, pos: str, limit: int | None = None) -> Dat
 
 def run_schedules(chosen: DataFrame, folder: str) -> None:
     """The three outputs of a run: the chosen schedules, their delay map and their features."""
-    kept = chosen.persist()
-    try:
-        outputs = {
-            "schedules": kept,
-            "delays": shape.empty_delay_map(kept),
-            "features": schedule_features(kept),
-        }
-        save_run(outputs, folder)
-    finally:
-        kept.unpersist()
+    kept = cut_lineage(chosen)
+    save_run(
+        {"schedules": kept, "delays": shape.empty_delay_map(kept), "features": schedule_features(kept)}, folder
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions import times, weather as wx
-from tarmac.operators.lookup import lookup, sized
+from tarmac.operators.lookup import lookup
 from tarmac.operators.merge import last_rows
 from tarmac.plans.training import DELAYS
 from tarmac.schemas import FEATURE_COLUMNS, TARGET, WEATHER_FIELDS
@@ -33,11 +33,10 @@ def serving_features(
     A flight is kept only if both airports are known and both cities have weather. Missing delays
     are 0.0, and hour and weekday are read from the clock as written.
     """
-    cities = sized(dimension)
-    snapshot = sized(latest_weather(weather, weather_order), store=True)
+    snapshot = latest_weather(weather, weather_order)
     out = flight_fields(flights, identity or [])
     for end, prefix in (("departure", "dep_"), ("arrival", "arr_")):
-        out = lookup(out, cities, f"{end}_iata", "iata", {"city": "here"}, "inner")
+        out = lookup(out, dimension, f"{end}_iata", "iata", {"city": "here"}, "inner")
         fields = {name: f"{prefix}{name}" for name in WEATHER_FIELDS}
         out = lookup(out, snapshot, "here", "city", fields, "inner").drop("here")
     return out.select(*(identity or []), "flight_iata", "airline_iata", *FEATURE_COLUMNS)

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from tarmac.functions import times, weather as wx
 from tarmac.operators import shape
 from tarmac.operators.filters import with_target
-from tarmac.operators.lookup import lookup, sized
-from tarmac.operators.nearest import measure_groups, nearest_join
+from tarmac.operators.lookup import lookup
+from tarmac.operators.nearest import nearest_join
 from tarmac.schemas import FEATURE_COLUMNS, TARGET, TIME_COLUMNS, WEATHER_FIELDS
 
 # Delay columns of a flattened flight: name -> (later instant, earlier instant).
@@ -73,38 +73,41 @@ def add_weather(
     weather: DataFrame,
     dimension: DataFrame,
     *,
+    identity: list[str],
     city_col: str = "name",
     strict: bool = False,
     tolerance_hours: int | None = None,
+    fields: list[str] | None = None,
     **limits,
 ) -> DataFrame:
-    """Ten ``dep_*`` / ``arr_*`` columns from the nearest observation of each end's city."""
-    observations = weather_observations(weather, city_col)
-    cities = sized(dimension)
-    # Both ends are measured on the bare flights, before the first join becomes part of the plan.
-    ends = {
-        end: lookup(flights.select(f"{end}_iata"), cities, f"{end}_iata", "iata", {"city": "ref_city"})
-        for end in ("departure", "arrival")
-    }
-    sizes = measure_groups(*[(df, "ref_city") for df in ends.values()], (observations, "obs_city"))
-    out = flights
-    for end, prefix in (("departure", "dep_"), ("arrival", "arr_")):
-        located = lookup(out, cities, f"{end}_iata", "iata", {"city": "ref_city"})
-        located = located.withColumn("ref_time", reference_column(flights, end, strict))
-        out = nearest_join(
-            located,
-            observations,
-            left_key="ref_city",
-            left_time="ref_time",
-            key="obs_city",
-            time="obs_time",
-            row_id="obs_id",
-            payload={name: f"{prefix}{name}" for name in WEATHER_FIELDS},
-            tolerance_hours=tolerance_hours,
-            group_sizes=sizes,
-            **limits,
-        ).drop("ref_city", "ref_time")
-    return out
+    """``dep_*`` / ``arr_*`` columns from the nearest observation of each end's city.
+
+    Both ends of a flight are narrow points of one join, so weather is read, shuffled and sorted once; what
+    they find comes back to the flight by its ``identity``, which must be unique.
+    """
+    names = WEATHER_FIELDS if fields is None else fields
+    observations = weather_observations(weather, city_col).withColumn("obs_fields", F.struct(*names))
+    ends = {"departure": "dep_", "arrival": "arr_"}
+    points = F.array(
+        *[
+            F.struct(
+                F.lit(end).alias("end"), F.col(f"{end}_iata").alias("code"), reference_column(flights, end, strict).alias("ref_time")
+            )
+            for end in ends
+        ]
+    )
+    each = flights.select(*identity, F.explode(points).alias("point")).select(*identity, "point.*")
+    located = lookup(each, dimension, "code", "iata", {"city": "ref_city"}).drop("code")
+    matched = nearest_join(
+        located, observations, left_key="ref_city", left_time="ref_time", key="obs_city", time="obs_time", row_id="obs_id",
+        payload={"obs_fields": "found"}, tolerance_hours=tolerance_hours, **limits,
+    )
+    both = matched.groupBy(*identity).agg(
+        *[F.max(F.when(F.col("end") == end, F.col("found"))).alias(f"{prefix}found") for end, prefix in ends.items()]
+    )
+    out = flights.join(both, identity, "left")
+    found = [F.col(f"{prefix}found.{name}").alias(f"{prefix}{name}") for prefix in ends.values() for name in names]
+    return out.select(*flights.columns, *found)
 
 
 def training_rows(
@@ -122,12 +125,13 @@ def training_rows(
     The target filter is applied before the weather joins; they keep every left row exactly once,
     so the result is the same and fewer rows are shuffled.
     """
-    identity = identity or []
+    if not identity:
+        raise ValueError("name the columns that identify a flight")
     wanted = identity + ["airline_name", "departure_iata", "arrival_iata"] + TIME_COLUMNS
     flat = shape.keep_existing(shape.flatten(flights), wanted)
     flat = times.parse_time_columns(flat, TIME_COLUMNS)
     delayed = with_target(add_calendar(add_delays(flat)), TARGET)
-    enriched = add_weather(delayed, weather, dimension, city_col=city_col, strict=strict, **limits)
+    enriched = add_weather(delayed, weather, dimension, identity=identity, city_col=city_col, strict=strict, **limits)
     return enriched.select(*identity, *FEATURE_COLUMNS, TARGET)
 
 

@@ -38,8 +38,13 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     return read_json_array(spark, path, FEATURES)
 
 
-def _envelopes(spark: SparkSession, path: str, field: str, record: str) -> DataFrame:
+def _envelopes(
+    spark: SparkSession, path: str, field: str, record: str, folders: dict[str, list[str]] | None = None
+) -> DataFrame:
     files = spark.read.schema(f"{field} ARRAY<STRUCT<{record}>>").option("multiLine", True).json(path)
+    for folder, values in (folders or {}).items():
+        if folder in files.columns:
+            files = files.where(F.col(folder).isin(values))
     return files.withColumn("source_file", F.col("_metadata.file_path"))
 
 
@@ -54,13 +59,16 @@ def unnest(df: DataFrame, field: str, keep: list[str] | None = None) -> DataFram
     return df.select(*kept, F.posexplode(field).alias("pos", "element")).select(*kept, "pos", "element.*")
 
 
-def read_envelope(spark: SparkSession, path: str, record: str, field: str = "data") -> DataFrame:
+def read_envelope(
+    spark: SparkSession, path: str, record: str, field: str = "data", folders: dict[str, list[str]] | None = None
+) -> DataFrame:
     """Records of ``{field: [...]}`` files with ``source_file`` and ``pos``.
 
-    Folders named ``airport=CDG`` and the like become columns and prune the scan. Order within
+    Folders named ``airport=CDG`` and the like become columns; ``folders`` names the values to be read of
+    those that exist, so files of other folders are not opened. Order within
     the run is carried explicitly, because rows of a DataFrame have none.
     """
-    return unnest(_envelopes(spark, path, field, record), field)
+    return unnest(_envelopes(spark, path, field, record, folders), field)
 
 
 def files_without(spark: SparkSession, path: str, record: str, field: str = "response") -> DataFrame:

@@ -1,8 +1,8 @@
 """Table maintenance on plain files: snapshots, exports, copies and keyed writes.
 
-Keyed writes rewrite only the partitions a batch touches. The merged rows are materialised in
-the shared folder first, so the overwrite never reads the files it replaces and can be repeated
-if it is interrupted. One writer per table at a time.
+Keyed writes rewrite only the partitions a batch touches. The merged rows are first written below the table itself, in
+``_pending``, which no reader sees; the overwrite then never reads the files it replaces. A write that stopped while folders were being
+replaced is finished from there by the next one. Columns that came later are read from all files. One writer per table at a time.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from tarmac.session import cut_lineage
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The table with the columns of all its files; what a file lacks is null."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def read_if_exists(spark: SparkSession, path: str, folder: T.StructField | None = None) -> DataFrame | None:
@@ -27,7 +28,7 @@ def read_if_exists(spark: SparkSession, path: str, folder: T.StructField | None
     the text ``01`` as the number 1.
     """
     try:
-        df = spark.read.parquet(path)
+        df = read_table(spark, path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -91,26 +92,56 @@ def save_run(outputs: dict[str, DataFrame], folder: str) -> None:
 # ---- keyed writes -------------------------------------------------------------------------
 
 
+PENDING = "_pending"
+
+
+def _pending(spark: SparkSession, path: str):
+    """The file system and path of the folder for merged rows."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{PENDING}")
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def _is_complete(spark: SparkSession, path: str) -> bool:
+    system, place = _pending(spark, path)
+    return system.exists(place.suffix("/_SUCCESS"))
+
+
+def _drop_pending(spark: SparkSession, path: str) -> None:
+    system, place = _pending(spark, path)
+    system.delete(place, True)
+
+
+def _replace_folders(merged: DataFrame, path: str, partition_by: str) -> None:
+    """Rows are gathered by target folder before the write: adaptive execution merges small folders
+    into one task and splits a folder that holds most of the rows, so file sizes stay even."""
+    gathered = merged.drop("merge_action").hint("rebalance", F.col(partition_by))
+    writer = gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(partition_by).parquet(path)
+
+
+def recover(spark: SparkSession, path: str, partition_by: T.StructField) -> None:
+    """Finish a write that stopped: complete merged rows replace their folders, incomplete ones are dropped."""
+    if _is_complete(spark, path):
+        merged = spark.read.parquet(f"{path}/{PENDING}")
+        kinds = [partition_by if f.name == partition_by.name else f for f in merged.schema.fields]
+        _replace_folders(spark.read.schema(T.StructType(kinds)).parquet(f"{path}/{PENDING}"), path, partition_by.name)
+    _drop_pending(spark, path)
+
+
 def _touched(path: str, batch: DataFrame, partition_by: str) -> DataFrame | None:
     """The stored rows of the folders the batch touches, or None without a table.
 
-    The list of folder values is metadata (one entry per folder), and as a literal list it prunes
-    the scan. Null and empty values share the default folder, which reads back as null.
+    The batch's folder values meet the table in a semi-join on the folder column, by which Spark prunes the
+    scan; nothing is collected. Null and empty values share the default folder, which reads back as null.
     """
     target = read_if_exists(batch.sparkSession, path, batch.schema[partition_by])
     if target is None:
         return None
-    values = [row[0] for row in batch.select(partition_by).distinct().collect()]
-    named = [v for v in values if v not in (None, "")]
-    folder = F.col(partition_by)
-    touched = folder.isin(named) if len(named) == len(values) else folder.isin(named) | folder.isNull()
-    return target.where(touched)
-
-
-def _by_folder(df: DataFrame, partition_by: str) -> DataFrame:
-    """Rows gathered by target folder before the write: adaptive execution merges small folders
-    into one task and splits a folder that holds most of the rows, so file sizes stay even."""
-    return df.hint("rebalance", F.col(partition_by))
+    folder = batch.select(F.nullif(F.col(partition_by).cast("string"), F.lit("")).alias("text"), F.col(partition_by).alias("touched"))
+    named = folder.where("text is not null").select("touched").distinct()
+    nameless = folder.agg(F.bool_or(F.col("text").isNull()).alias("any")).scalar()
+    at_default = target.where(F.col(partition_by).isNull() & F.coalesce(nameless, F.lit(False)))
+    return target.join(named, F.col(partition_by) == F.col("touched"), "left_semi").unionByName(at_default)
 
 
 def upsert_table(
@@ -119,28 +150,33 @@ def upsert_table(
     """Merge a batch into the table by ``key``; returns the number of rows per action.
 
     The last known value of each column wins; columns the batch leaves null keep their stored
-    value; nested structs are replaced whole. ``partition_by`` must be a function of the key.
-    ``stage`` names the folder for the merged rows; a stream reuses one for all its batches.
+    value, and so do columns it does not have; nested structs are replaced whole. ``partition_by`` must be a function of the key.
+    The batch is evaluated once, into ``stage``; a stream reuses one folder for all its batches.
     """
-    target = _touched(path, batch, partition_by)
-    merged = cut_lineage(merge_rows(target, batch, key, order), path=stage)
-    (
-        _by_folder(merged.drop("merge_action"), partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
-        .parquet(path)
-    )
-    return merged.groupBy("merge_action").agg(F.count("*").alias("rows"))
+    spark, field = batch.sparkSession, batch.schema[partition_by]
+    recover(spark, path, field)
+    batch = cut_lineage(batch, path=stage)
+    merged = merge_rows(_touched(path, batch, partition_by), batch, key, order)
+    merged = cut_lineage(merged, path=f"{path}/{PENDING}")
+    _replace_folders(merged, path, partition_by)
+    # At most three rows; they are fetched here because the merged rows go.
+    counts = merged.groupBy("merge_action").agg(F.count("*").alias("rows")).collect()
+    _drop_pending(spark, path)
+    return spark.createDataFrame(counts, "merge_action string, rows long")
 
 
 def insert_if_absent(
     batch: DataFrame, path: str, key: str, order: list[str], partition_by: str, stage: str | None = None
 ) -> DataFrame:
-    """Append the rows whose key the table does not hold; returns saved and skipped counts."""
-    target = _touched(path, batch, partition_by)
-    fresh = cut_lineage(absent_rows(target, batch, key, order), path=stage)
-    _by_folder(fresh, partition_by).write.mode("append").partitionBy(partition_by).parquet(path)
+    """Append the rows whose key the table does not hold; returns saved and skipped counts.
+
+    The batch is evaluated once. An append is one commit of the file writer: a repeat after a stop adds what is missing.
+    """
+    recover(batch.sparkSession, path, batch.schema[partition_by])
+    batch = cut_lineage(batch, path=stage)
+    fresh = cut_lineage(absent_rows(_touched(path, batch, partition_by), batch, key, order), path=stage and f"{stage}-fresh")
+    gathered = fresh.hint("rebalance", F.col(partition_by))
+    gathered.write.mode("append").partitionBy(partition_by).parquet(path)
     offered = batch.agg(F.count("*").alias("offered"))
     saved = fresh.agg(F.count("*").alias("saved"))
     return saved.select("saved", (offered.scalar() - F.col("saved")).alias("skipped"))

@@ -160,11 +160,36 @@ def test_collect_history(spark, tmp_path, rows):
     table = scratch_path(spark, "flights")
     at = F.lit("2026-04-18 20:00:00").cast("timestamp")
     done = jobs.collect_history(spark, str(zone), table, "2026-04-18", at=at)
-    assert rows(done) == [("inserted", 60)]
+    assert rows(done) == [("inserted", 65)]
     stored = tables.read_table(spark, table)
     assert stored.where("_id = 'C7_2026-04-18'").first().arrival.iata == "HEL"
-    assert rows(jobs.collect_history(spark, str(zone), table, "2026-04-18", at=at)) == [("updated", 60)]
-    assert tables.read_table(spark, table).count() == 60
+    assert rows(jobs.collect_history(spark, str(zone), table, "2026-04-18", at=at)) == [("updated", 65)]
+    assert tables.read_table(spark, table).count() == 65
+    # A provider's limits apply only where they are asked for: CDG closes the door behind it.
+    few = jobs.collect_history(spark, str(zone), scratch_path(spark, "few"), "2026-04-18", at=at, per_request=52, open_below=50)
+    assert rows(few) == [("inserted", 52)]
+
+
+def test_old_answers_in_the_zone_hide_nothing(spark, tmp_path, rows):
+    zone = tmp_path / "zone"
+    put(zone / "airport=CDG", "r1.json", {"data": [flight(f"A{i}", "CDG", "HEL", "2026-04-17") for i in range(100)]})
+    put(zone / "airport=CDG", "r2.json", {"data": [flight(f"B{i}", "CDG", "HEL", "2026-04-18") for i in range(40)]})
+    done = jobs.collect_history(spark, str(zone), scratch_path(spark, "flights"), "2026-04-18")
+    assert rows(done) == [("inserted", 40)]
+    live = tmp_path / "live"
+    put(live / "airport=CDG" / "status=active", "r1.json", {"data": [flight(f"A{i}", "CDG", "HEL", "2026-04-17", "active") for i in range(60)]})
+    put(live / "airport=CDG" / "status=active", "r2.json", {"data": [flight(f"B{i}", "CDG", "HEL", "2026-04-18", "active") for i in range(8)]})
+    assert jobs.live_flights(spark, str(live), "2026-04-18").count() == 8
+    assert jobs.live_flights(spark, str(live), "2026-04-18", per_request=5).count() == 5
+
+
+def test_day_folders_prune_the_scan(spark, tmp_path):
+    for day in ("2026-04-17", "2026-04-18"):
+        put(tmp_path / "airport=CDG" / f"flight_date={day}", "1.json", {"data": [flight("F", "CDG", "HEL", day)]})
+    records = jobs._landed(spark, str(tmp_path), ["CDG"], flight_date=["2026-04-18"])
+    plan = records._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters"):].split("\n")[0]
+    assert "flight_date" in filters and "airport" in filters and records.count() == 1
 
 
 def test_backfill(spark, tmp_path, rows):
@@ -174,10 +199,11 @@ def test_backfill(spark, tmp_path, rows):
         answer += [flight(f"B{i}", "CDG", "HEL", day) for i in range(1, 5)]
         put(zone / "airport=CDG" / f"flight_date={day}", "1.json", {"data": answer})
     table = scratch_path(spark, "flights")
-    assert rows(jobs.backfill(spark, str(zone), table)) == [(4, 0)]
-    assert rows(jobs.backfill(spark, str(zone), table)) == [(0, 4)]
+    assert rows(jobs.backfill(spark, str(zone), table, per_day=2)) == [(4, 0)]
+    assert rows(jobs.backfill(spark, str(zone), table, per_day=2)) == [(0, 4)]
     keys = [r._id for r in tables.read_table(spark, table).orderBy("_id").collect()]
     assert keys == ["B1_2026-04-01", "B1_2026-04-02", "B2_2026-04-01", "B2_2026-04-02"]
+    assert rows(jobs.backfill(spark, str(zone), table)) == [(4, 4)]
 
 
 def test_weather_table_keeps_one_row_per_city_hour(spark, tmp_path, rows):
@@ -193,6 +219,23 @@ def test_weather_table_keeps_one_row_per_city_hour(spark, tmp_path, rows):
     ]
 
 
+def test_the_last_weather_write_is_told_by_its_instant(spark, tmp_path, rows):
+    table = scratch_path(spark, "weather")
+    put(tmp_path, "w.json", [
+        weather("Paris", "2026-04-18T10:10:00+02:00", temp=1.0), weather("Paris", "2026-04-18T08:50:00+00:00", temp=2.0),
+        weather("Oslo", None, temp=3.0),
+    ])
+    jobs.collect_weather(spark, str(tmp_path), table, at=F.lit("2026-04-18 12:00:00").cast("timestamp"))
+    assert rows(tables.read_table(spark, table), "_id", "main.temp") == [("Oslo_2026041812", 3.0), ("Paris_2026041808", 2.0)]
+
+
+def test_weather_of_the_arrival_cities(spark, codes, rows):
+    flights = landing.as_frame(spark, [flight("1", "CDG", "HEL")], FLIGHT)
+    observed = landing.as_frame(spark, [weather("Paris", "2026-04-18T10:00:00Z"), weather(None, "2026-04-18T10:00:00Z", name="Helsinki")], WEATHER)
+    cities, _ = jobs.arrival_cities(flights, codes, "2026-04-18")
+    assert rows(jobs.weather_of(observed, cities), "name") == [("Helsinki",)]
+
+
 def test_arrival_cities(spark, codes, rows):
     flights = landing.as_frame(
         spark, [flight("1", "CDG", "HEL"), flight("2", "CDG", "XXX"), flight("3", "CDG", "XXX"), flight("4", "HEL", "ORY", "2026-04-19")], FLIGHT
@@ -220,6 +263,8 @@ def test_train_then_predict(spark, tmp_path, codes, rows):
     planned = [flight(f"S{i}", "CDG", "HEL", status="scheduled", dep_times=("10:00", None, None), arr_times=("14:00", None, None)) for i in range(8)]
     put(zone / "airport=CDG" / "status=scheduled", "1.json", {"data": planned})
     chosen = jobs.live_flights(spark, str(zone), "2026-04-18")
+    assert chosen.count() == 16
+    chosen = jobs.live_flights(spark, str(zone), "2026-04-18", total=10)
     assert [r.iata for r in chosen.orderBy("status_rank", "pos").select("flight.iata").collect()] == [f"L{i}" for i in range(8)] + ["S0", "S1"]
     listing = jobs.predict(spark, chosen, observed, codes, path, ["collected_at"], ["status_rank", "pos"])
     got = rows(listing)

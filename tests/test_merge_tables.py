@@ -145,3 +145,46 @@ def test_folder_values_of_any_spelling(spark, guessing):
         assert "day=01" in os.listdir(path.removeprefix("file:")) and "day=1" not in os.listdir(path.removeprefix("file:"))
     finally:
         spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", before)
+
+
+def keyed(spark, rows, columns):
+    return spark.createDataFrame(rows, columns)
+
+
+def test_columns_that_come_later_stay(spark, rows):
+    path = scratch_path(spark, "t")
+    tables.upsert_table(keyed(spark, [("a1", "A", 1, 10)], "_id string, day string, seq int, x int"), path, "_id", ["seq"], "day")
+    tables.upsert_table(keyed(spark, [("b1", "B", 1, "ROLE")], "_id string, day string, seq int, y string"), path, "_id", ["seq"], "day")
+    assert rows(tables.read_table(spark, path), "_id", "x", "y") == [("a1", 10, None), ("b1", None, "ROLE")]
+    # A batch without the column leaves the stored value.
+    tables.upsert_table(keyed(spark, [("b1", "B", 2, 7)], "_id string, day string, seq int, x int"), path, "_id", ["seq"], "day")
+    tables.insert_if_absent(keyed(spark, [("a2", "A", 1, 2.5)], "_id string, day string, seq int, z double"), path, "_id", ["seq"], "day")
+    assert rows(tables.read_table(spark, path), "_id", "x", "y", "z") == [("a1", 10, None, None), ("a2", None, None, 2.5), ("b1", 7, "ROLE", None)]
+
+
+def test_a_stopped_write_is_finished_by_the_next(spark, rows, monkeypatch):
+    path, ddl = scratch_path(spark, "t"), "_id string, day string, seq int, x int"
+    tables.upsert_table(keyed(spark, [("a", "1", 1, 1), ("b", "2", 1, 1)], ddl), path, "_id", ["seq"], "day")
+
+    def stop(merged, path, partition_by):
+        # The folder is gone and its rows are only among the merged ones.
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/day=1")
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_replace_folders", stop)
+        with pytest.raises(RuntimeError):
+            tables.upsert_table(keyed(spark, [("c", "1", 2, 3)], ddl), path, "_id", ["seq"], "day")
+    assert rows(tables.read_table(spark, path), "_id") == [("b",)]
+    for _ in range(2):
+        tables.upsert_table(keyed(spark, [("c", "1", 2, 3)], ddl), path, "_id", ["seq"], "day")
+        assert rows(tables.read_table(spark, path), "_id", "x") == [("a", 1), ("b", 1), ("c", 3)]
+
+
+def test_null_and_empty_folders(spark, rows):
+    path, ddl = scratch_path(spark, "t"), "_id string, day string, seq int"
+    tables.upsert_table(keyed(spark, [("a", None, 1), ("b", "", 1), ("c", "1", 1)], ddl), path, "_id", ["seq"], "day")
+    counts = tables.upsert_table(keyed(spark, [("a", None, 2), ("d", "", 2)], ddl), path, "_id", ["seq"], "day")
+    assert rows(counts) == [("inserted", 1), ("kept", 1), ("updated", 1)]
+    assert rows(tables.read_table(spark, path), "_id", "seq") == [("a", 2), ("b", 1), ("c", 1), ("d", 2)]

@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from tarmac.operators.nearest import measure_groups, nearest_join
+from tarmac.operators.nearest import nearest_join
 
 T0 = datetime(2026, 1, 1)
 
@@ -48,27 +48,27 @@ def sample(seed, n=120, m=60, span=600, cities=("a", "b", "hot", None)):
 
 
 @pytest.mark.parametrize("seed", range(4))
-@pytest.mark.parametrize("limit", [10**6, 25])
-def test_equals_brute_force(spark, seed, limit):
+@pytest.mark.parametrize("hours", [24, 1])
+def test_equals_brute_force(spark, seed, hours):
     # The short span makes equal instants and equal distances common.
     left, obs = sample(seed, span=600 if seed % 2 else 40)
-    assert run(spark, left, obs, max_group_rows=limit) == brute(left, obs)
+    assert run(spark, left, obs, bucket_hours=hours) == brute(left, obs)
 
 
-@pytest.mark.parametrize("limit", [10**6, 10])
-def test_instants_that_straddle_slices(spark, limit):
-    # Sixty observations share two instants, so slices cut through a group of equal instants.
+@pytest.mark.parametrize("hours", [24, 1])
+def test_many_observations_of_one_instant(spark, hours):
+    # Sixty observations share two instants, hours apart; the buckets between hold flights only.
     obs = [(i, "hot", T0 + timedelta(hours=i % 2 * 4), float(i)) for i in range(60, 0, -1)]
     left = [(i, "hot", T0 + timedelta(minutes=10 * i - 100)) for i in range(60)]
-    assert run(spark, left, obs, max_group_rows=limit) == brute(left, obs)
+    assert run(spark, left, obs, bucket_hours=hours) == brute(left, obs)
 
 
-@pytest.mark.parametrize("limit", [10**6, 10])
-def test_tolerance_is_closed(spark, limit):
+@pytest.mark.parametrize("hours", [24, 1])
+def test_tolerance_is_closed(spark, hours):
     obs = [(1, "a", T0, 1.0)] + [(i, "hot", T0 + timedelta(days=i), 0.0) for i in range(2, 30)]
     left = [(1, "a", T0 + timedelta(hours=6)), (2, "a", T0 + timedelta(hours=6, seconds=1)), (3, "none", T0)]
     left += [(i, "hot", T0 + timedelta(days=i, hours=i % 9)) for i in range(4, 30)]
-    result = run(spark, left, obs, tolerance_hours=6, max_group_rows=limit)
+    result = run(spark, left, obs, tolerance_hours=6, bucket_hours=hours)
     assert result == brute(left, obs, 6)
     assert result[1][0] == 1 and result[2][0] is None
 
@@ -84,18 +84,11 @@ def test_copies_of_rows_are_kept(spark):
     l = spark.createDataFrame(left, "id long, city string, ts timestamp").repartition(8)
     o = spark.createDataFrame(obs, "oid long, name string, at timestamp, value double").repartition(8)
     joined = nearest_join(
-        l, o, left_key="city", left_time="ts", key="name", time="at", row_id="oid", payload={"value": "v"}, max_group_rows=8
+        l, o, left_key="city", left_time="ts", key="name", time="at", row_id="oid", payload={"value": "v"}, bucket_hours=1
     )
     assert [r.v for r in joined.collect()] == [1.0] * 50
 
 
-def test_measured_sizes(spark):
-    a = spark.createDataFrame([("x",), ("x",), ("y",), (None,)], "k string")
-    b = spark.createDataFrame([("x",), ("z",)], "j string")
-    assert measure_groups((a, "k"), (b, "j")) == (3, 5)
-    assert measure_groups((a.where("false"), "k")) == (0, 0)
-
-
 def test_one_shuffle_and_no_pairs(spark):
     left, obs = sample(1)
     l = spark.createDataFrame(left, "id long, city string, ts timestamp")
@@ -104,4 +97,6 @@ def test_one_shuffle_and_no_pairs(spark):
         l, o, left_key="city", left_time="ts", key="name", time="at", row_id="oid", payload={"value": "v"}
     )
     plan = joined._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    # One shuffle of the rows; the summary of keys and buckets has two small ones of its own.
+    assert plan.count("Exchange hashpartitioning") == 3 and "Join" not in plan
+    assert plan.count("Window") == 4

@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tarmac.operators.lookup import lookup, sized
+from tarmac.operators.lookup import lookup
 from tarmac.operators.merge import merge_rows
 from tarmac.session import cut_lineage, scratch_path
 from tarmac.sources import tables
@@ -15,15 +15,14 @@ def final_plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_small_sides_are_broadcast_and_large_ones_are_not(spark):
+def test_small_sides_are_broadcast_without_a_job(spark):
     facts = spark.range(100).withColumnRenamed("id", "k")
-    dim = spark.range(50).select(F.col("id").alias("d"), F.lit("x").alias("v"))
-    plan = lookup(facts, sized(dim), "k", "d", {"v": "v"})._jdf.queryExecution().toString()
-    assert "strategy=broadcast" in plan
-    plan = lookup(facts, sized(dim, max_rows=49), "k", "d", {"v": "v"})._jdf.queryExecution().toString()
-    assert "strategy=broadcast" not in plan
-    plan = lookup(facts, sized(dim, max_bytes=10), "k", "d", {"v": "v"})._jdf.queryExecution().toString()
-    assert "strategy=broadcast" not in plan
+    dim = cut_lineage(spark.range(50).select(F.col("id").alias("d"), F.lit("x").alias("v")))
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    joined = lookup(facts, dim, "k", "d", {"v": "v"})
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    assert len(tracker.getJobIdsForGroup(None)) == before
 
 
 def test_hot_key_of_an_unbroadcast_lookup_is_split(spark):
@@ -41,7 +40,7 @@ def test_hot_key_of_an_unbroadcast_lookup_is_split(spark):
             spark.conf.set(k, v)
         facts = spark.range(0, 30_000, 1, 8).select(F.when(F.col("id") % 10 < 8, -1).otherwise(F.col("id")).alias("k"), "id")
         dim = spark.range(-1, 30_000).select(F.col("id").alias("d"), (F.col("id") * 2).alias("v"))
-        joined = lookup(facts, sized(dim, max_rows=1), "k", "d", {"v": "v"})
+        joined = lookup(facts, dim, "k", "d", {"v": "v"})
         assert "skew=true" in final_plan(joined)
         assert joined.where("v <> k * 2").count() == 0 and joined.count() == 30_000
     finally:

@@ -33,7 +33,7 @@ WITH {FLIGHTS_SQL}, {CODES_SQL}
 SELECT pos, d.city AS departure_city, a.city AS arrival_city FROM flights
 LEFT JOIN codes d ON departure_iata = d.iata LEFT JOIN codes a ON arrival_iata = a.iata""")
 def dimension_last_wins(spark, sf):
-    codes = lk.sized(last_wins(code_entries(spark, sf)))
+    codes = last_wins(code_entries(spark, sf))
     f = flights(spark, sf).select("pos", F.col("departure.iata").alias("dep"), F.col("arrival.iata").alias("arr"))
     f = lk.lookup(f, codes, "dep", "iata", {"city": "departure_city"})
     return lk.lookup(f, codes, "arr", "iata", {"city": "arrival_city"}).drop("dep", "arr")
@@ -41,10 +41,10 @@ def dimension_last_wins(spark, sf):
 
 @query(f"""
 WITH {FLIGHTS_SQL}
-SELECT pos, CASE departure_iata WHEN 'A1' THEN 'Paris' WHEN 'A2' THEN 'Paris' WHEN 'A3' THEN 'Amsterdam'
-  WHEN 'A4' THEN 'London' WHEN 'A5' THEN 'New York' END AS city FROM flights""")
+SELECT pos, CASE departure_iata WHEN 'A0' THEN 'ALGERIA' WHEN 'A7' THEN 'GERMANY' WHEN 'A12' THEN 'JAPAN' END AS city
+FROM flights""")
 def inline_mapping(spark, sf):
-    mapping = {"A1": "Paris", "A2": "Paris", "A3": "Amsterdam", "A4": "London", "A5": "New York"}
+    mapping = {"A0": "ALGERIA", "A7": "GERMANY", "A12": "JAPAN"}
     f = flights(spark, sf).select("pos", F.col("departure.iata").alias("dep"))
     return lk.lookup(f, F.broadcast(inline_dimension(spark, mapping)), "dep", "iata", {"city": "city"}).drop("dep")
 
@@ -55,7 +55,7 @@ SELECT arrival_iata, count(*) AS rows FROM flights
 WHERE NOT EXISTS (SELECT 1 FROM codes WHERE iata = arrival_iata) GROUP BY 1""")
 def unknown_codes(spark, sf):
     f = flights(spark, sf).select(F.col("arrival.iata").alias("arrival_iata"))
-    return lk.unknown_codes(f, lk.sized(last_wins(code_entries(spark, sf))), "arrival_iata", "iata")
+    return lk.unknown_codes(f, last_wins(code_entries(spark, sf)), "arrival_iata", "iata")
 
 
 @query(f"""
@@ -63,7 +63,7 @@ WITH {FLIGHTS_SQL}, {CODES_SQL}
 SELECT pos, departure_iata FROM flights WHERE departure_iata IN (SELECT iata FROM codes)""")
 def known_codes(spark, sf):
     f = flights(spark, sf).select("pos", F.col("departure.iata").alias("departure_iata"))
-    return lk.known(f, lk.sized(last_wins(code_entries(spark, sf))), "departure_iata", "iata")
+    return lk.known(f, last_wins(code_entries(spark, sf)), "departure_iata", "iata")
 
 
 @query(f"""
@@ -72,7 +72,7 @@ SELECT DISTINCT city FROM codes
 WHERE iata IN (SELECT departure_iata FROM flights UNION SELECT arrival_iata FROM flights)""")
 def cities_to_collect(spark, sf):
     f = flights(spark, sf).select(F.col("departure.iata").alias("dep"), F.col("arrival.iata").alias("arr"))
-    return lk.cities_of(f, lk.sized(last_wins(code_entries(spark, sf))), ["dep", "arr"], "iata", "city")
+    return lk.cities_of(f, last_wins(code_entries(spark, sf)), ["dep", "arr"], "iata", "city")
 
 
 @query("""
@@ -82,8 +82,8 @@ def large_dimension_lookup(spark, sf):
     # The same lookup operator with a dimension that grows with the data: measured, then hinted
     # or left to a shuffle join.
     li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    o = lk.sized(load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"))
-    c = lk.sized(load(spark, sf, "customer").select("c_custkey", "c_mktsegment"))
+    o = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    c = load(spark, sf, "customer").select("c_custkey", "c_mktsegment")
     li = lk.lookup(li, o, "l_orderkey", "o_orderkey", {"o_custkey": "custkey", "o_orderpriority": "o_orderpriority"})
     return lk.lookup(li, c, "custkey", "c_custkey", {"c_mktsegment": "c_mktsegment"}).drop("custkey")
 
@@ -91,7 +91,7 @@ def large_dimension_lookup(spark, sf):
 # ---- nearest in time ----------------------------------------------------------------------
 
 
-def _nearest_sql(tolerance_hours: int | None) -> str:
+def nearest_sql(tolerance_hours: int | None) -> str:
     """Nearest view per error event of the same user: two as-of joins over distinct instants."""
     bound = "" if tolerance_hours is None else f" AND distance <= {tolerance_hours} * 3600000000"
     return f"""
@@ -121,12 +121,12 @@ def _nearest(spark, sf, **options):
     return matched.select("event_id", "view_id", "view_value", distance.alias("distance"))
 
 
-@query(_nearest_sql(None), name="nearest_join")
+@query(nearest_sql(None), name="nearest_join")
 def nearest_view(spark, sf):
     return _nearest(spark, sf)
 
 
-@query(_nearest_sql(6))
+@query(nearest_sql(6))
 def nearest_join_6h(spark, sf):
     return _nearest(spark, sf, tolerance_hours=6)
 
@@ -141,13 +141,13 @@ SELECT event_id, CASE WHEN b_ts IS NOT NULL AND (f_ts IS NULL OR ts - b_ts <= f_
 FROM n"""
 )
 def nearest_join_hot_key(spark, sf):
-    # One key holds every row, so the join takes the sliced path.
+    # One key holds every row; its buckets of time are what the tasks get.
     events = load(spark, sf, "events").withColumn("everywhere", F.lit("all"))
     return nearest_join(
         events.where("event_type = 'error'").select("event_id", "everywhere", "ts"),
         events.where("event_type = 'view'"),
         left_key="everywhere", left_time="ts", key="everywhere", time="ts", row_id="event_id",
-        payload={"event_id": "view_id"}, max_group_rows=500,
+        payload={"event_id": "view_id"}, bucket_hours=12,
     ).select("event_id", "view_id")
 
 
@@ -166,7 +166,7 @@ SELECT pos, CASE WHEN abs(epoch_us(ts) - epoch_us(m_ts)) <= 21600000000 THEN m_i
 
 @query(_MATCH_SQL)
 def departure_weather_6h(spark, sf):
-    codes = lk.sized(last_wins(code_entries(spark, sf)))
+    codes = last_wins(code_entries(spark, sf))
     f = flights(spark, sf)
     instants = [times.parse_instant(F.col(f"departure.{k}")) for k in ("actual", "estimated", "scheduled")]
     left = f.select("pos", F.col("departure.iata").alias("dep"), times.reference_time(*instants).alias("ref"))
@@ -192,7 +192,7 @@ def latest_snapshot_join(spark, sf):
     snapshot = last_rows(events.where("event_type <> 'signup'"), "user_id", ["event_id"], ["value", "event_type"])
     signups = events.where("event_type = 'signup'").select("event_id", "user_id")
     return lk.lookup(
-        signups, lk.sized(snapshot), "user_id", "user_id", {"value": "last_value", "event_type": "last_type"}, "inner"
+        signups, snapshot, "user_id", "user_id", {"value": "last_value", "event_type": "last_type"}, "inner"
     )
 
 
