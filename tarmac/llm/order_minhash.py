@@ -6,11 +6,10 @@ sketch is the hash of that sequence: texts share it if they share the runs and t
 sequence are used, a short one that finds every similar pair and a long one that only very similar texts share.
 
 Texts with the same words are one text from the start. All members of a short or long bucket meet the bucket's least
-member; then, in the buckets of the long sketch, members in different components meet further members, more of
-them in each round, until every pair there is compared or already joined. A pair is verified by aligning the
+member; then members of a long bucket that are still in different components meet each other, each pair once. A pair is verified by aligning the
 sequences of five-word runs, within the band that a similarity at the threshold can leave at most: runs
-matched in order over all runs must be ``least`` or more. Components of the verified pairs are the classes. No pair within a bucket is made
-that its components already answer, and no group is gathered in one task.
+matched in order over all runs must be ``least`` or more. Components of the verified pairs are the classes. No pair is made
+that the components already answer, and no group is gathered in one task.
 
 Defined results: a null or wordless text is in a class of its own; a text shorter than five words is one run;
 the class is the smallest id in it (null if no row of it has one); repeated rows share a class; an empty
@@ -208,47 +207,36 @@ def verified(pairs: DataFrame, bodies: DataFrame, least: float = LEAST) -> DataF
     return cut_lineage(pairs.join(first, "u").join(second, "v").mapInPandas(align, "u binary, v binary"))
 
 
-def links(measured: DataFrame, least: float = LEAST, leaders: int = 8) -> DataFrame:
+def links(measured: DataFrame, least: float = LEAST) -> DataFrame:
     """Components (``node``, ``least``) of the verified pairs of distinct texts; texts without a pair are left out."""
     texts = measured.where("node is not null").groupBy("node").agg(F.first("sketches").alias("sketches"))
+    texts = cut_lineage(texts)
     keyed = texts.select("node", F.posexplode("sketches").alias("at", "key"))
     buckets = keyed.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader <> last")
     shared = cut_lineage(buckets.select("key", "leader"))
     members = cut_lineage(keyed.join(shared, "key").select("key", "node", "leader", (F.col("at") % 2).alias("long")))
     stars = members.where("node <> leader").select(F.col("leader").alias("u"), F.col("node").alias("v")).distinct()
-    pairs = cut_lineage(stars)
-    wanted = cut_lineage(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
+    stars = cut_lineage(stars)
+    wanted = cut_lineage(stars.select(F.explode(F.array("u", "v")).alias("node")).distinct())
     held = measured.where("node is not null").join(wanted, "node", "left_semi")
     bodies = cut_lineage(held.groupBy("node").agg(F.min("body").alias("body")))
-    found = verified(pairs, bodies, least)
-    groups = components(found)
-    # Buckets of the long sketch go on until each holds one component or every pair has met.
-    rest = members.where("long = 1").select("key", "node", F.array("leader").alias("met"))
-    number = leaders
-    while True:
-        label = F.coalesce("least", "node").alias("label")
-        named = rest.join(groups, "node", "left").select("key", "node", label, "met")
-        # Members that have met all others of their bucket are done; buckets of one component are, too.
-        named = cut_lineage(named.where(~F.array_contains("met", F.col("node"))))
-        mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        mixed = cut_lineage(mixed.where("low <> high").select("key"))
-        if mixed.isEmpty():
-            return groups
-        named = cut_lineage(named.join(mixed, "key", "left_semi"))
-        picks = [F.min(F.struct(F.xxhash64(F.lit(i), "node").alias("hash"), "node", "label")) for i in range(number)]
-        led = named.groupBy("key").agg(F.array(*picks).alias("led"))
-        bare = F.transform("led", lambda x: F.struct(x["node"].alias("node"), x["label"].alias("label")))
-        led = cut_lineage(led.select("key", F.array_distinct(bare).alias("led")))
-        joined = named.join(led, "key")
-        other = F.filter("led", lambda x: x["label"] != F.col("label"))
-        meet = joined.select("node", F.explode(other["node"]).alias("with"))
-        fresh = meet.select(F.least("node", "with").alias("u"), F.greatest("node", "with").alias("v")).distinct()
-        fresh = cut_lineage(fresh.join(pairs, ["u", "v"], "left_anti"))
-        found = found.union(verified(fresh, bodies, least))
-        pairs = pairs.union(fresh)
-        groups = components(found)
-        rest = cut_lineage(joined.select("key", "node", F.array_distinct(F.col("led.node")).alias("met")))
-        number = min(2 * number, 32)
+    found = verified(stars, bodies, least)
+    groups = cut_lineage(components(found))
+    # Members of a long bucket that are still in different components meet, each pair in the first bucket it shares.
+    label = F.coalesce("least", "node").alias("label")
+    named = members.where("long = 1").join(groups, "node", "left").select("key", "node", "leader", label)
+    mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    open_ = cut_lineage(named.join(cut_lineage(mixed.select("key")), "key", "left_semi").where("node <> leader"))
+    long_keys = F.filter("sketches", lambda x, i: i % 2 == 1).alias("keys")
+    open_ = cut_lineage(open_.join(texts.select("node", long_keys), "node"))
+    one = open_.select("key", F.col("node").alias("u"), F.col("keys").alias("ku"), F.col("label").alias("lu"))
+    two = open_.select(F.col("key").alias("key2"), F.col("node").alias("v"), F.col("keys").alias("kv"), F.col("label").alias("lv"))
+    first = F.array_min(F.array_intersect("ku", "kv")) == F.col("key")
+    meet = one.join(two, (F.col("key") == F.col("key2")) & (F.col("u") < F.col("v")) & (F.col("lu") != F.col("lv")) & first)
+    fresh = cut_lineage(meet.select("u", "v").join(stars, ["u", "v"], "left_anti"))
+    if fresh.isEmpty():
+        return groups
+    return components(found.union(verified(fresh, bodies, least)))
 
 
 def classes(df: DataFrame, key: str = "doc_id", text: str = "text", least: float = LEAST) -> DataFrame:
