@@ -141,5 +141,6 @@ def split_train_test(df: DataFrame, key: list[str], train_share: float = 0.75, s
     The assignment depends on the key alone, not on partitioning or order, so it survives retries
     and re-runs; shares are approximate.
     """
-    bucket = F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(10_000))
+    digest = F.md5(F.concat_ws("|", *key, F.lit(seed)))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 10_000
     return df.withColumn("split", F.when(bucket < int(train_share * 10_000), "train").otherwise("test"))

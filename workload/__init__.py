@@ -2,6 +2,7 @@
 
 from workload import (  # noqa: F401
     join_queries,
+    landing_queries,
     model_queries,
     profile_queries,
     selection_queries,
