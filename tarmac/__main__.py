@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
+
 from tarmac.functions import times
 from tarmac.plans import jobs
 from tarmac.plans.schedules import run_schedules, select_landed
 from tarmac.schemas import SCHEDULE
-from tarmac.session import build_session
+from tarmac.session import build_session, clear_stages
 from tarmac.sources import landing
 from tarmac.sources.dimension import read_dimension
 from tarmac.sources.tables import copy_rows, export_json, read_table, replace_table
@@ -43,6 +45,13 @@ def _arguments() -> argparse.Namespace:
 def main() -> None:
     args = _arguments()
     spark = build_session(f"tarmac-{args.job}")
+    try:
+        run(spark, args)
+    finally:
+        clear_stages(spark)
+
+
+def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "collect-history":
         limits = {"per_request": args.per_request, "open_below": args.open_below, "total": args.total}
         jobs.collect_history(spark, args.landing, args.table, args.day, **limits).show()

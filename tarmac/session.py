@@ -52,11 +52,27 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+#: Folders this process has staged tables in, until the job that wrote them ends.
+_STAGES: list[str] = []
+
+
+def clear_stages(spark: SparkSession) -> int:
+    """Remove the staged tables of this process; returns how many. Results that still read them are gone, too."""
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    paths, _STAGES[:] = list(_STAGES), []
+    for path in paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(configuration).delete(place, True)
+    return len(paths)
+
+
 def cut_lineage(df: DataFrame, label: str = "stage", path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, so that using it again never re-runs
     the plan above it. The files are columnar, outlive any executor, and later steps read only
     the columns they need. Repeating jobs give a ``path`` of their own, which each run replaces.
     """
-    path = path or scratch_path(df.sparkSession, label)
+    if path is None:
+        path = scratch_path(df.sparkSession, label)
+        _STAGES.append(path)
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tarmac.operators.lookup import lookup
 from tarmac.operators.merge import merge_rows
-from tarmac.session import cut_lineage, scratch_path
+from tarmac.session import clear_stages, cut_lineage, scratch_path
 from tarmac.sources import tables
 
 
@@ -79,3 +79,11 @@ def test_versions_of_a_key_are_reduced_before_the_shuffle(spark):
     plan = merge_rows(None, batch, "_id", ["id"])._jdf.queryExecution().executedPlan().toString()
     below = plan[plan.index("Exchange"):]
     assert "partial_max_by" in below
+
+
+def test_stages_are_removed_with_the_job(spark, tmp_path):
+    staged = cut_lineage(spark.range(3))
+    file = staged.inputFiles()[0].removeprefix("file://")
+    kept = cut_lineage(spark.range(3), path=str(tmp_path / "own"))
+    assert os.path.exists(file) and clear_stages(spark) >= 1
+    assert not os.path.exists(file) and kept.count() == 3
