@@ -35,7 +35,7 @@ from tarmac.llm.common import text_of, worker_path
 #: Vocabulary files are broadcast to the workers; larger ones are refused.
 MAX_VOCABULARY_BYTES = 64 << 20
 MAX_PAIRS = 400_000
-MAX_MATCHES = 200_000
+MAX_MATCHES = 600_000
 #: Within one match, tokens are told every so many bytes.
 TOLD_BYTES = 1 << 12
 BLOCK_CHARS = 1 << 16
