@@ -36,6 +36,8 @@ RUN = 5
 LEAST = 0.8
 FUNCTIONS = 16
 SHORT, LONG = 4, 10
+#: Node names that may be sent to all tasks, about 64 MB.
+MAX_SENT = 1_000_000
 MAX_WORDS_KEPT = 400_000
 #: Hashes made at once for one text, so that a very long one needs no more memory.
 MAX_HASHES = 2_000_000
@@ -218,7 +220,9 @@ def links(measured: DataFrame, least: float = LEAST) -> DataFrame:
     stars = members.where("node <> leader").select(F.col("leader").alias("u"), F.col("node").alias("v")).distinct()
     stars = cut_lineage(stars)
     wanted = cut_lineage(stars.select(F.explode(F.array("u", "v")).alias("node")).distinct())
-    held = measured.where("node is not null").join(wanted, "node", "left_semi")
+    # Names of nodes are 16 bytes: up to a checked number of them go to all tasks, so that the texts need not be dealt out.
+    few = F.broadcast(wanted) if wanted.count() <= MAX_SENT else wanted
+    held = measured.where("node is not null").join(few, "node", "left_semi")
     bodies = cut_lineage(held.groupBy("node").agg(F.min("body").alias("body")))
     found = verified(stars, bodies, least)
     groups = cut_lineage(components(found))
