@@ -26,6 +26,7 @@ from tarmac.session import cut_lineage
 
 SHARD_ROWS = 4096
 QUERY_ROWS = 4096
+MOST_TASKS = 20_000
 _FOUND = "query long, query_id long, vec_id long, score long"
 _LONG = 2**63 - 1
 
@@ -141,6 +142,9 @@ def search(
         out = pd.DataFrame(found, columns=["query", "query_id", "vec_id", "score"], dtype=object)
         return out.astype({"query": "int64", "query_id": "Int64", "vec_id": "Int64", "score": "int64"})
 
+    # Rows say little about the work of a pair of blocks, so Spark is told the number of tasks instead of merging small ones.
+    tasks = min(shards * blocks, MOST_TASKS)
+    held, posed = (side.repartition(tasks, "block", "shard") for side in (held, posed))
     best = held.groupBy("block", "shard").cogroup(posed.groupBy("block", "shard")).applyInPandas(probe, _FOUND)
     order = W.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
