@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from tarmac.llm import components, order_minhash, paragraphs
@@ -156,3 +157,37 @@ def test_paragraphs_hold_every_word_once(text):
     assert sum(len(h) for _, _, h in found) == len(re.findall(r"\w+", text))
     assert all(len(re.findall(r"\w+", text[s:e])) == len(h) for s, e, h in found)
     assert all(a[1] <= b[0] for a, b in zip(found, found[1:]))
+
+
+def test_every_passage_of_51_words_is_found_whole(spark):
+    rng = random.Random(11)
+    word = lambda: f"{rng.choice('abcdefgh')}{rng.randrange(10**5)}"
+    rows, at = [], []
+    for p in range(40):
+        # Long sentences around and within the passage; marks and lines differ between its two places.
+        passage = [word() for _ in range(51)]
+        for _ in range(2):
+            before, after = ([word() for _ in range(33)] for _ in range(2))
+            marked = [w + rng.choice(["", "", "", "", ",", ".", "\n"]) for w in passage]
+            rows.append((len(rows), " ".join([*before, *marked, *after]) + "."))
+            at.append(passage)
+    found = {}
+    for r in paragraphs.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found.setdefault(r.doc_id, []).append(re.findall(r"\w+", rows[r.doc_id][1][r.start : r.end]))
+    assert found == {d: [passage] for d, passage in enumerate(at)}
+
+
+def test_equal_windows_against_all_windows():
+    rng = np.random.default_rng(5)
+    size, half = paragraphs.LEAST_WORDS, (paragraphs.LEAST_WORDS + 1) // 2
+    for n in (0, 24, 25, 40, 300):
+        ids = rng.integers(0, 9, n).astype(np.uint64)
+        hashed = paragraphs.windows(ids, size)
+        assert len(hashed) == max(0, n - size + 1)
+        by_words = {}
+        for i, h in enumerate(hashed.tolist()):
+            assert by_words.setdefault(tuple(ids[i : i + size].tolist()), h) == h
+        assert len(set(by_words.values())) == len(by_words)
+        begins = paragraphs.chosen(ids, size).tolist()
+        assert all(b - a <= half for a, b in zip(begins, begins[1:]))
+        assert n < size + half - 1 or begins[0] < half
