@@ -6,7 +6,8 @@ sketch is the hash of that sequence: texts share it if they share the runs and t
 sequence are used, a short one that finds every similar pair and a long one that only very similar texts share.
 
 Texts with the same words are one text from the start. All members of a short or long bucket meet the bucket's least
-member; then members of a long bucket that are still in different components meet each other, each pair once. A pair is verified by aligning the
+member; then members of a bucket that are still in different components meet each other, each pair once, if the counts of their
+labelled runs, by parts of the hashes, leave the similarity possible. A pair is verified by aligning the
 sequences of five-word runs, within the band that a similarity at the threshold can leave at most: runs
 matched in order over all runs must be ``least`` or more. Components of the verified pairs are the classes. No pair is made
 that the components already answer, and no group is gathered in one task.
@@ -42,7 +43,9 @@ MAX_WORDS_KEPT = 400_000
 #: Hashes made at once for one text, so that a very long one needs no more memory.
 MAX_HASHES = 2_000_000
 _WORDS = re.compile(r"\w+")
-_MEASURED = "doc_id long, raw binary, node binary, sketches array<long>, body binary"
+#: Labelled runs are counted by so many leading bits of their hashes.
+COUNT_BITS = 7
+_MEASURED = "doc_id long, raw binary, node binary, sketches array<long>, counts binary, body binary"
 
 
 def words_of(text: str) -> list[str]:
@@ -92,9 +95,21 @@ def labelled(runs: np.ndarray) -> np.ndarray:
     return _mix(runs + before * np.uint64(0xD1B54A32D192ED03))
 
 
-def sketches(runs: np.ndarray, lengths: tuple[int, ...] = (SHORT, LONG)) -> list[int]:
+def counts_of(named: np.ndarray) -> bytes:
+    """How many labelled runs there are by the leading bits of their hashes."""
+    return np.bincount((named >> np.uint64(64 - COUNT_BITS)).astype(np.int64), minlength=1 << COUNT_BITS).astype("<u4").tobytes()
+
+
+def may_match(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> np.ndarray:
+    """Whether rows of counts leave the similarity possible: equal labelled runs are in the same part, so no more can match."""
+    a, b = a.astype(np.int64), b.astype(np.int64)
+    total = a.sum(axis=1) + b.sum(axis=1)
+    return np.minimum(a, b).sum(axis=1) >= np.ceil(least * total / (1 + least) - 1e-9)
+
+
+def sketches(runs: np.ndarray, lengths: tuple[int, ...] = (SHORT, LONG), named: np.ndarray | None = None) -> list[int]:
     """For each hash function and length: a hash of the runs with the least hashes, in the order of the text."""
-    named = labelled(runs)
+    named = labelled(runs) if named is None else named
     most = min(max(lengths), len(runs))
     at_once = max(1, MAX_HASHES // len(runs))
     out = []
@@ -178,7 +193,12 @@ def measure(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
                 joined = " ".join(words).encode()
                 node = hashlib.blake2b(joined, digest_size=16).digest() if words else None
                 doc_id = None if no_id else doc_id
-                rows.append((doc_id, raw, node, sketches(runs_of(words)) if words else [], packer.compress(joined)))
+                keys, counts = [], b""
+                if words:
+                    runs = runs_of(words)
+                    named = labelled(runs)
+                    keys, counts = sketches(runs, named=named), counts_of(named)
+                rows.append((doc_id, raw, node, keys, counts, packer.compress(joined)))
             out = pd.DataFrame(rows, columns=names, dtype=object)
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
@@ -216,7 +236,7 @@ def links(measured: DataFrame, least: float = LEAST) -> DataFrame:
     keyed = texts.select("node", F.posexplode("sketches").alias("at", "key"))
     buckets = keyed.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader <> last")
     shared = cut_lineage(buckets.select("key", "leader"))
-    members = cut_lineage(keyed.join(shared, "key").select("key", "node", "leader", (F.col("at") % 2).alias("long")))
+    members = cut_lineage(keyed.join(shared, "key").select("key", "node", "leader"))
     stars = members.where("node <> leader").select(F.col("leader").alias("u"), F.col("node").alias("v")).distinct()
     stars = cut_lineage(stars)
     wanted = cut_lineage(stars.select(F.explode(F.array("u", "v")).alias("node")).distinct())
@@ -226,17 +246,29 @@ def links(measured: DataFrame, least: float = LEAST) -> DataFrame:
     bodies = cut_lineage(held.groupBy("node").agg(F.min("body").alias("body")))
     found = verified(stars, bodies, least)
     groups = cut_lineage(components(found))
-    # Members of a long bucket that are still in different components meet, each pair in the first bucket it shares.
+    # Members of a bucket that are still in different components meet, each pair in the first bucket it shares.
     label = F.coalesce("least", "node").alias("label")
-    named = members.where("long = 1").join(groups, "node", "left").select("key", "node", "leader", label)
+    named = cut_lineage(members.join(groups, "node", "left").select("key", "node", "leader", label))
     mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     open_ = cut_lineage(named.join(cut_lineage(mixed.select("key")), "key", "left_semi").where("node <> leader"))
-    long_keys = F.filter("sketches", lambda x, i: i % 2 == 1).alias("keys")
-    open_ = cut_lineage(open_.join(texts.select("node", long_keys), "node"))
-    one = open_.select("key", F.col("node").alias("u"), F.col("keys").alias("ku"), F.col("label").alias("lu"))
-    two = open_.select(F.col("key").alias("key2"), F.col("node").alias("v"), F.col("keys").alias("kv"), F.col("label").alias("lv"))
+    names = cut_lineage(open_.select("node").distinct())
+    few = F.broadcast(names) if names.count() <= MAX_SENT else names
+    counts = measured.where("node is not null").join(few, "node", "left_semi").groupBy("node").agg(F.min("counts").alias("counts"))
+    own = cut_lineage(counts.join(texts, "node").select("node", "counts", F.col("sketches").alias("keys")))
+    open_ = cut_lineage(open_.join(own, "node"))
+    one = open_.select("key", F.col("node").alias("u"), F.col("keys").alias("ku"), F.col("label").alias("lu"), F.col("counts").alias("cu"))
+    two = open_.select(
+        F.col("key").alias("key2"), F.col("node").alias("v"), F.col("keys").alias("kv"), F.col("label").alias("lv"), F.col("counts").alias("cv")
+    )
     first = F.array_min(F.array_intersect("ku", "kv")) == F.col("key")
     meet = one.join(two, (F.col("key") == F.col("key2")) & (F.col("u") < F.col("v")) & (F.col("lu") != F.col("lv")) & first)
+
+    def possible(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            a, b = (np.frombuffer(b"".join(part[c]), dtype="<u4").reshape(-1, 1 << COUNT_BITS) for c in ("cu", "cv"))
+            yield part.loc[may_match(a, b, least), ["u", "v"]]
+
+    meet = cut_lineage(meet.select("u", "v", "cu", "cv").mapInPandas(possible, "u binary, v binary"))
     fresh = cut_lineage(meet.select("u", "v").join(stars, ["u", "v"], "left_anti"))
     if fresh.isEmpty():
         return groups

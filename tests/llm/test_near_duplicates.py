@@ -1,10 +1,12 @@
 """Components, sketches, alignment, paragraphs and odd rows."""
 
+import hashlib
 import random
 import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tarmac.llm import components, order_minhash, paragraphs
 
@@ -207,3 +209,30 @@ def test_siblings_on_a_template_meet(spark):
     found = {r.doc_id: r.words for r in paragraphs.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     # At 0.81, 0.17 % of the paragraphs' pairs share no key.
     assert set(found.values()) == {46} and len(found) >= 0.97 * len(rows)
+
+
+def test_members_of_a_short_bucket_meet_without_its_least(spark):
+    rng = random.Random(13)
+    pair = [f"w{i}" for i in range(200)]
+    other = pair[:-4] + ["x", "y", "z", "end"]
+    node = lambda words: hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest()
+    unlike = pair
+    while node(unlike) >= min(node(pair), node(other)):
+        unlike = [f"u{rng.randrange(10**6)}" for _ in range(200)]
+    rows = [(i, " ".join(words)) for i, words in enumerate([pair, other, unlike])]
+    measured = order_minhash.measure(spark.createDataFrame(rows, "doc_id long, text string"))
+    # All three share the short key alone, and its least member is unlike the others.
+    keys = F.array(F.lit(1).cast("long"), F.xxhash64("node"))
+    found = order_minhash.links(measured.withColumn("sketches", keys)).collect()
+    assert [(bytes(r.node), bytes(r.least)) for r in found] == [tuple(sorted([node(pair), node(other)], reverse=True))]
+
+
+def test_counts_never_rule_out_similar_texts():
+    rng = random.Random(14)
+    for _ in range(300):
+        a = [f"w{rng.randrange(300)}" for _ in range(rng.randrange(1, 300))]
+        b = [w if rng.random() > 0.03 else "x" for w in a]
+        one, two = (
+            np.frombuffer(order_minhash.counts_of(order_minhash.labelled(order_minhash.runs_of(w))), dtype="<u4")[None, :] for w in (a, b)
+        )
+        assert order_minhash.similarity(a, b) < 0.8 or order_minhash.may_match(one, two)[0]
