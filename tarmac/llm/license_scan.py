@@ -9,6 +9,12 @@ Texts are not aligned as a whole: around every place of a template's rarest word
 template, and windows are aligned from left to right, each beyond the last hit. So the work
 grows with the text, however long it is, and a notice is found as often as it is there.
 
+Without templates of the caller, the customary notices below and the texts, conditions and headers of ``license_texts`` are
+looked for. Many of these share words, so of overlapping hits in them the one with most words matched counts, then the one that covers more.
+
+A template is aligned only in documents and windows that hold so many of its words, each as often as the template at most, that
+a hit is possible.
+
 Words are runs of letters and digits, lower case. Defined results: a null or empty text has no hits; identical texts
 have identical hits; templates without words are never found; an empty table gives no rows.
 """
@@ -24,6 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from tarmac.llm.common import text_of, worker_path
+from tarmac.llm.license_texts import TEXTS
 
 #: Customary short notices of public licenses.
 NOTICES = {
@@ -120,30 +127,36 @@ class Scanner:
         self.templates = {n: [w.lower() for w in _WORD.findall(t)] for n, t in templates.items()}
         self.templates = {n: w for n, w in self.templates.items() if w}
         times = Counter(w for words in self.templates.values() for w in set(words))
-        self.calls: dict[str, dict[str, int]] = {}
+        self.calls: dict[str, list[tuple[str, int]]] = {}
+        self.counts: dict[str, Counter] = {}
         for name, words in self.templates.items():
             # A hit may lack some words of the template, so one more than that many words call for it.
             missing = len(words) - _needed(words, least)
-            order = sorted(range(len(words)), key=lambda i: (times[words[i]], -len(words[i]), i))
+            own = Counter(words)
+            self.counts[name] = own
+            order = sorted(range(len(words)), key=lambda i: (times[words[i]], own[words[i]], -len(words[i]), i))
             for i in order[: missing + 1]:
-                self.calls.setdefault(words[i], {}).setdefault(name, i)
-        longest_first = sorted(map(re.escape, self.calls), key=len, reverse=True)
-        self.call = re.compile(rf"(?<![^\W_])(?:{'|'.join(longest_first)})(?![^\W_])", re.IGNORECASE) if self.calls else None
+                self.calls.setdefault(words[i], []).append((name, i))
 
     def scan(self, text: str) -> list[tuple[str, float, int, int]]:
-        if not text or self.call is None or not self.call.search(text):
+        words = [w.lower() for w in _WORD.findall(text)] if text else []
+        held = Counter(words)
+        open_ = {n for n in self.templates if self._possible(n, held, len(words))}
+        if not open_:
             return []
+        calls = {w: some for w, each in self.calls.items() if w in held and (some := [c for c in each if c[0] in open_])}
         found = list(_WORD.finditer(text))
-        words = [m.group().lower() for m in found]
         hits, free = [], dict.fromkeys(self.templates, 0)
         for at, word in enumerate(words):
-            for name, place in self.calls.get(word, {}).items():
+            for name, place in calls.get(word, ()):
                 template = self.templates[name]
                 slack = len(template) // 4 + 1
                 begin = max(free[name], at - place - slack)
                 end = min(len(words), at - place + len(template) + slack)
                 if at < free[name]:
                     continue
+                if not self._possible(name, words[begin:end], end - begin):
+                    continue
                 pairs = align(words[begin:end], template)
                 if len(pairs) >= _needed(template, self.least):
                     first, last = begin + pairs[0][0], begin + pairs[-1][0]
@@ -151,6 +164,23 @@ class Scanner:
                     free[name] = last + 1
         return sorted(hits, key=lambda h: (h[2], h[0]))
 
+    def _possible(self, name: str, words, size: int) -> bool:
+        """Whether so many words, with their counts or as a list, can hold a hit: each matches as often as it is in both at most."""
+        own, needed = self.counts[name], _needed(self.templates[name], self.least)
+        missing = len(self.templates[name]) - needed
+        if size < needed or len(own.keys() & (words.keys() if isinstance(words, Counter) else set(words))) < len(own) - missing:
+            return False
+        held = words if isinstance(words, Counter) else Counter(words)
+        return sum(min(n, held[w]) for w, n in own.items()) >= needed
+
+    def best(self, text: str) -> list[tuple[str, float, int, int]]:
+        """Hits by license, ``license:part`` being the names; of overlapping ones that with most words matched, then covered."""
+        kept: list[tuple[str, float, int, int]] = []
+        for hit in sorted(self.scan(text), key=lambda h: (-round(h[1] * len(self.templates[h[0]])), -h[1], h[2], h[0])):
+            if all(hit[3] <= k[2] or k[3] <= hit[2] for k in kept):
+                kept.append(hit)
+        return sorted(((name.partition(":")[0], *rest) for name, *rest in kept), key=lambda h: (h[2], h[0]))
+
 
 def _needed(words: list[str], least: float) -> int:
     return max(1, -int(-least * len(words) // 1))
@@ -161,14 +191,15 @@ def scan(
 ) -> DataFrame:
     """One row per notice: ``key``, ``license``, ``coverage``, ``start`` and ``end`` (code points, end exclusive)."""
     worker_path(df.sparkSession)
-    known = NOTICES if templates is None else templates
+    known = NOTICES | TEXTS if templates is None else templates
     fields = [c.split()[0] for c in _HIT.split(", ")]
 
     @F.pandas_udf(f"array<struct<{_HIT.replace(' ', ':').replace(',:', ',')}>>")
     def hits(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scanner = Scanner(known, least)
+        of = scanner.best if templates is None else scanner.scan
         for part in parts:
-            yield part.map(lambda body: [dict(zip(fields, hit, strict=True)) for hit in scanner.scan(body)])
+            yield part.map(lambda body: [dict(zip(fields, hit, strict=True)) for hit in of(body)])
 
     found = df.select(F.col(key).alias(key), hits(F.make_valid_utf8(text_of(text))).alias("_hits"))
     return found.select(key, F.inline("_hits"))

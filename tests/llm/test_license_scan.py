@@ -70,3 +70,12 @@ def test_odd_rows(spark):
     assert found == sorted([(None, "reserved", 0), (3, "MIT", 0), (3, "MIT", 32), (3, "MIT", 64)], key=str)
     assert license_scan.scan(df.limit(0)).collect() == []
     assert license_scan.scan(df, {"none": "", "dots": "..."}).collect() == []
+
+
+def test_every_license_text_is_found_once():
+    scanner = license_scan.Scanner(license_scan.NOTICES | license_scan.TEXTS)
+    for name, text in license_scan.TEXTS.items():
+        hits = scanner.best(f"some words before. Copyright 2020 somebody\n{text}\nand others behind it")
+        assert [h[0] for h in hits] == [name.partition(":")[0]], (name, hits)
+        assert hits[0][1] == 1
+    assert scanner.best("the software is provided to any person and this permission is granted " * 50) == []
