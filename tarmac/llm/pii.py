@@ -29,7 +29,6 @@ KINDS = ("email", "ip", "card", "phone")
 #: A pattern counts from so many known instances on, and an instance is known from this score on.
 LEAST_KNOWN = 3
 SURE = 0.8
-ROUNDS = 3
 
 # The same matches as the plain patterns, but a run that cannot match is not tried again from each of its characters.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -158,10 +157,8 @@ def mentions(df: DataFrame, text: str = "text", base: str = "_base", found: str
     return searched.withColumn(base, F.col("_searched.base")).withColumn(found, F.col("_searched.mentions")).drop("_searched")
 
 
-def bootstrap(
-    edges: DataFrame, rounds: int = ROUNDS, least: int = LEAST_KNOWN, sure: float = SURE
-) -> DataFrame:
-    """``instance``, ``kind``: what the rounds find. ``edges`` is stored: ``pattern``, ``instance`` and ``kind`` (-1: not known)."""
+def bootstrap(edges: DataFrame, least: int = LEAST_KNOWN, sure: float = SURE) -> DataFrame:
+    """``instance``, ``kind``: what the rounds find until one finds nothing new. ``edges`` is stored: ``pattern``, ``instance`` and ``kind`` (-1: not known)."""
     instances = edges.groupBy("pattern", "instance").agg(F.max("kind").alias("kind"))
     seeded = edges.where("kind >= 0").groupBy("instance").agg(F.min("kind").alias("known"))
     graph = cut_lineage(instances.where("pattern is not null").select("pattern", "instance"))
@@ -171,7 +168,7 @@ def bootstrap(
     found = cut_lineage(same)
     known = seeded.select("instance", F.col("known").alias("kind"))
     totals = cut_lineage(graph.groupBy("pattern").agg(F.count("*").alias("total")))
-    for _ in range(rounds):
+    while True:
         support = cut_lineage(graph.join(known, "instance").groupBy("pattern", "kind").agg(F.count("*").alias("n")))
         scored = support.where(F.col("n") >= least).join(totals, "pattern").withColumn("score", F.col("n") / F.col("total"))
         strong = cut_lineage(scored.where(F.col("score") >= sure).groupBy("pattern").agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind")))

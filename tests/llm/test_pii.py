@@ -93,3 +93,11 @@ def test_spans_are_told_in_order(spark):
     text = "+1 (310) 555-1001 a@b.co 4111 1111 1111 1111"
     row = pii.find(spark.createDataFrame([(1, text)], "doc_id long, text string")).select(pii.told("spans").alias("t")).first()
     assert row.t == "phone:0:17,email:18:24,card:25:44"
+
+
+def test_rounds_go_on_until_nothing_new_is_found(spark):
+    # Pattern k holds ten instances of level k and one of each ten of level k + 1, known a round later.
+    rows = [(f"p{k}-{j}", f"id{k}-{i}", 0 if k == 0 else -1) for k in range(6) for j in range(10) for i in range(10)]
+    rows += [(f"p{k}-{j}", f"id{k + 1}-{j}", -1) for k in range(5) for j in range(10)]
+    found = pii.bootstrap(spark.createDataFrame(rows, "pattern string, instance string, kind int")).collect()
+    assert {r.instance for r in found} == {f"id{k}-{i}" for k in range(1, 6) for i in range(10)}
