@@ -7,8 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.llm import bpe, license_scan, line_quality, maxscore, mixing, order_minhash, packing, paragraphs, pii, warc
+from tarmac.llm import (
+    bpe, hard_negatives, license_scan, line_quality, maxscore, mixing, order_minhash, packing, paragraphs, pii, prefix_trie, sharding, warc,
+)
 from tarmac.llm.common import WORD
+from tarmac.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -188,3 +191,65 @@ def op10_warc(spark, sf):
         "record_type",
         F.col("refers_to").cast("long").alias("refers_to"),
     )
+
+
+@query("""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS told, turn
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (
+  SELECT c, list({'told': told, 'chars': length(text)} ORDER BY turn NULLS FIRST, role, told) AS l,
+    -- CRC-32 of the decimal digits, bit by bit
+    xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1))))) % 6 AS h
+  FROM t GROUP BY c),
+r AS (SELECT o.c, list_concat(coalesce(b.l[1:o.h], []), o.l[o.h + 1:]) AS l FROM o LEFT JOIN o b ON b.c = o.c - o.c % 100),
+p AS (SELECT c, l, d, list_transform(l[1:d], lambda x: x.told) AS pre, CASE WHEN d > 0 THEN l[d].chars ELSE 0 END AS chars
+  FROM r, unnest(range(0, len(l) + 1)) u(d)),
+n AS (
+  SELECT pre, d, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(chars) AS saves,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE len(l) = d), '')) AS ends_sha256 FROM p GROUP BY pre, d),
+k AS (SELECT pre[1:d - 1] AS pre, d - 1 AS d, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k ON k.d = n.d AND k.pre = n.pre),
+s AS (SELECT a.d, a.pre, count(*) FILTER (WHERE b.n_children = 0) AS n_leaves, sum(b.saves) AS saved
+  FROM f a JOIN f b ON b.d >= a.d AND b.pre[1:a.d] = a.pre GROUP BY ALL)
+SELECT f.conv_id, f.d::BIGINT AS depth, u.conv_id AS parent_conv_id, f.n_convs::BIGINT AS n_convs, f.n_children::BIGINT AS n_children,
+  s.n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, f.ends_sha256
+FROM f JOIN s ON s.d = f.d AND s.pre = f.pre LEFT JOIN f u ON f.d > 0 AND u.d = f.d - 1 AND u.pre = f.pre[1:f.d - 1]""")
+def op11_prefix_trie(spark, sf):
+    """The trie of all rebuilt conversations: members, leaves, what sharing saves, and where conversations end."""
+    return prefix_trie.build(_table(spark, sf, "conversations", "conv_id", "turn", "role", "text")).drop("from_conv", "from_place")
+
+
+@query("""
+WITH v AS (
+  SELECT vec_id AS id, row_number() OVER () AS r, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r AS anchor, a.id AS anchor_id, b.r, b.id, a.label = b.label AS alike,
+    list_sum(list_transform(list_zip(a.e, b.e), lambda z: coalesce(z[1] * z[2], 0)))::BIGINT AS score
+  FROM v a JOIN v b ON a.id % 100 = 0 AND a.r <> b.r),
+p AS (SELECT anchor, anchor_id, r AS positive, id AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id NULLS LAST) <= 5),
+n AS (SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor, p.positive ORDER BY s.score DESC, s.id NULLS LAST)::INTEGER AS rank
+  FROM p JOIN s ON s.anchor = p.anchor AND NOT alike AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10""")
+def op12_hard_negatives(spark, sf):
+    """Ten rows of other labels for every hundredth vector and each of its five nearest of its own label."""
+    vectors = _table(spark, sf, "embeddings", "vec_id", "embedding", "label")
+    turned = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", turned), F.col("id") % 100 == 0)
+
+
+@query()
+def op13_virtual_slots(spark, sf):
+    """All documents in eight shards of near equal bytes, by a stored map of virtual slots."""
+    documents = _table(spark, sf, "documents", "doc_id", "text")
+    placed = sharding.assign(documents, scratch_path(spark, "slot-map"), 8)
+    grown = F.lit(None).cast("int").alias("grown_shard")
+    return placed.select(
+        F.col("key").alias("doc_id"), "size", "text_crc32", "law", "shard", "slot", grown, "virtual_slot", "map_version"
+    )

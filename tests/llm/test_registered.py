@@ -4,6 +4,7 @@ import base64
 import hashlib
 import os
 import re
+import zlib
 from array import array
 
 import duckdb
@@ -21,7 +22,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are n
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for table in ("documents", "embeddings", "pages"):
+    for table in ("documents", "embeddings", "pages", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     return connection
 
@@ -44,7 +45,7 @@ def test_equals_sql(spark, duck, name):
     )
 
 
-@pytest.mark.parametrize("name", ["op1_source_mix", "op4_line_quality"])
+@pytest.mark.parametrize("name", ["op1_source_mix", "op4_line_quality", "op13_virtual_slots"])
 def test_native(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     for unwanted in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
@@ -121,3 +122,19 @@ def test_classes_equal_all_pairs(spark, texts):
                 parent[max(x, y)] = min(x, y)
     assert got == {d: root(d) for d in ids}
     assert len(set(got.values())) < len(got)
+
+
+def test_shards_hold_every_document_once(spark, duck):
+    rows = QUERIES["op13_virtual_slots"](spark, SF).collect()
+    texts = duck.execute("SELECT doc_id, coalesce(text, '') FROM documents").fetchall()
+    want = sorted((d, len(t.encode()) + 1, zlib.crc32(t.encode())) for d, t in texts)
+    assert sorted((r.doc_id, r.size, r.text_crc32) for r in rows) == want
+    held = {}
+    for r in rows:
+        assert r.law == "bytes" and r.grown_shard is None
+        held.setdefault(r.shard, []).append(r)
+    assert sorted(held) == list(range(8))
+    assert all(sorted(r.slot for r in rs) == list(range(len(rs))) for rs in held.values())
+    # The largest document is larger than an equal share less the rest can even out.
+    share, largest = sum(w[1] for w in want) / 8, max(w[1] for w in want)
+    assert max(sum(r.size for r in rs) for rs in held.values()) < max(1.05 * share, largest + 1)
