@@ -82,32 +82,34 @@ def add_weather(
 ) -> DataFrame:
     """``dep_*`` / ``arr_*`` columns from the nearest observation of each end's city.
 
-    Both ends of a flight are narrow points of one join, so weather is read, shuffled and sorted once; what
-    they find comes back to the flight by its ``identity``, which must be unique.
+    Both ends of a flight are points of one join, so weather is read, shuffled and sorted once. The departure's point carries the
+    flight's row and the arrival's none; what both find is brought together by the flight's ``identity``, which must be unique.
     """
     names = WEATHER_FIELDS if fields is None else fields
     observations = weather_observations(weather, city_col).withColumn("obs_fields", F.struct(*names))
     ends = {"departure": "dep_", "arrival": "arr_"}
+    whole = F.struct(*[F.col(f"`{c}`") for c in flights.columns])
     points = F.array(
         *[
             F.struct(
-                F.lit(end).alias("end"), F.col(f"{end}_iata").alias("code"), reference_column(flights, end, strict).alias("ref_time")
+                F.lit(end).alias("end"), F.col(f"{end}_iata").alias("code"), reference_column(flights, end, strict).alias("ref_time"),
+                (whole if end == "departure" else F.lit(None).cast(flights.schema)).alias("flight"),
             )
             for end in ends
         ]
     )
-    each = flights.select(*identity, F.explode(points).alias("point")).select(*identity, "point.*")
+    each = flights.select(F.struct(*identity).alias("of"), F.explode(points).alias("point")).select("of", "point.*")
     located = lookup(each, dimension, "code", "iata", {"city": "ref_city"}).drop("code")
     matched = nearest_join(
         located, observations, left_key="ref_city", left_time="ref_time", key="obs_city", time="obs_time", row_id="obs_id",
         payload={"obs_fields": "found"}, tolerance_hours=tolerance_hours, **limits,
     )
-    both = matched.groupBy(*identity).agg(
-        *[F.max(F.when(F.col("end") == end, F.col("found"))).alias(f"{prefix}found") for end, prefix in ends.items()]
+    both = matched.groupBy("of").agg(
+        F.first("flight", ignorenulls=True).alias("flight"),
+        *[F.first(F.when(F.col("end") == end, F.col("found")), ignorenulls=True).alias(f"{prefix}found") for end, prefix in ends.items()],
     )
-    out = flights.join(both, identity, "left")
     found = [F.col(f"{prefix}found.{name}").alias(f"{prefix}{name}") for prefix in ends.values() for name in names]
-    return out.select(*flights.columns, *found)
+    return both.select("flight.*", *found)
 
 
 def training_rows(

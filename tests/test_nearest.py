@@ -2,6 +2,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tarmac.operators.nearest import nearest_join
 
@@ -48,11 +49,25 @@ def sample(seed, n=120, m=60, span=600, cities=("a", "b", "hot", None)):
 
 
 @pytest.mark.parametrize("seed", range(4))
-@pytest.mark.parametrize("hours", [24, 1])
-def test_equals_brute_force(spark, seed, hours):
+@pytest.mark.parametrize("options", [{}, {"bucket_hours": 1}, {"bucket_hours": 1, "spread": 3}])
+def test_equals_brute_force(spark, seed, options):
     # The short span makes equal instants and equal distances common.
     left, obs = sample(seed, span=600 if seed % 2 else 40)
-    assert run(spark, left, obs, bucket_hours=hours) == brute(left, obs)
+    assert run(spark, left, obs, **options) == brute(left, obs)
+
+
+def test_left_rows_of_one_instant_are_parted(spark):
+    l = spark.createDataFrame([(7, "hot", T0)] * 4000, "id long, city string, ts timestamp").repartition(4)
+    o = spark.createDataFrame([(i, "hot", T0 + timedelta(minutes=i - 30), 1.0) for i in range(20)], "oid long, name string, at timestamp, v double")
+    joined = nearest_join(
+        l, o, left_key="city", left_time="ts", key="name", time="at", row_id="oid", payload={"oid": "m"}, spread=16
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = joined.withColumn("part", F.spark_partition_id()).groupBy("part").agg(F.count("*").alias("n"), F.min("m").alias("m")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(p.n for p in parts) == 4000 and max(p.n for p in parts) < 2500 and {p.m for p in parts} == {19}
 
 
 @pytest.mark.parametrize("hours", [24, 1])
@@ -89,14 +104,17 @@ def test_copies_of_rows_are_kept(spark):
     assert [r.v for r in joined.collect()] == [1.0] * 50
 
 
-def test_one_shuffle_and_no_pairs(spark):
+def test_each_input_is_read_and_shuffled_once(spark, tmp_path):
     left, obs = sample(1)
-    l = spark.createDataFrame(left, "id long, city string, ts timestamp")
-    o = spark.createDataFrame(obs, "oid long, name string, at timestamp, value double")
+    spark.createDataFrame(left, "id long, city string, ts timestamp").write.parquet(f"{tmp_path}/left_rows")
+    spark.createDataFrame(obs, "oid long, name string, at timestamp, value double").write.parquet(f"{tmp_path}/observed_rows")
+    l, o = spark.read.parquet(f"{tmp_path}/left_rows"), spark.read.parquet(f"{tmp_path}/observed_rows")
     joined = nearest_join(
-        l, o, left_key="city", left_time="ts", key="name", time="at", row_id="oid", payload={"value": "v"}
+        l, o, left_key="city", left_time="ts", key="name", time="at", row_id="oid", payload={"value": "v"}, bucket_hours=1
     )
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    # One shuffle of the rows; the summary of keys and buckets has two small ones of its own.
-    assert plan.count("Exchange hashpartitioning") == 3 and "Join" not in plan
-    assert plan.count("Window") == 4
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # The summary reads the shuffle of the rows again; its own two shuffles hold one row per bucket.
+    assert "ReusedExchange" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    assert plan.count("FileScan") == 2
+    assert plan.count("REPARTITION_BY_COL") == 2 and plan.count("Exchange hashpartitioning") <= 4
