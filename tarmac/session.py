@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -52,6 +53,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def workers_import_package(spark: SparkSession) -> None:
+    """Let Python workers of this session import this package, wherever the driver was started.
+
+    Executors that do not see this folder need the package installed or sent with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 #: Folders this process has staged tables in, until the job that wrote them ends.
 _STAGES: list[str] = []
 
