@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from tarmac.functions import text, times
 from tarmac.operators import caps, filters, lookup, profile
 from tarmac.operators.validate import accepted_batch
-from tarmac.plans import models
+from tarmac.plans import linear, models
 from tarmac.plans.serving import serving_features
 from tarmac.plans.training import split_train_test, training_rows
-from tarmac.schemas import FLIGHT, TARGET
+from tarmac.schemas import FLIGHT
 from tarmac.session import cut_lineage
 from tarmac.sources import landing, tables
 from tarmac.sources.dimension import read_dimension
@@ -122,15 +122,15 @@ def train(
     spark: SparkSession, flights: DataFrame, weather: DataFrame, dimension: DataFrame, model_path: str,
     key: list[str] | None = None, **options,
 ) -> DataFrame:
-    """Build the training set, fit and save the production model; returns R2 and rows per split."""
+    """Build the training set, fit and save the production model; returns R2 and rows per split.
+
+    One pass over the set sums what the fit and the scores need, so the set is not stored.
+    """
     key = key or ["_id"]
     rows = split_train_test(training_rows(flights, weather, dimension, identity=key, **options), key)
-    # The set is written once: the fill values, the label spread, the fit and the scores all read it.
-    rows = models.as_doubles(cut_lineage(rows))
-    train_rows = rows.where("split = 'train'")
-    model = models.build_model(train_rows).fit(train_rows)
-    models.save_model(model, model_path)
-    return profile.r2(models.score(model, rows, clamp=False), TARGET, "prediction", ["split"])
+    model, scores = models.fit_production(rows)
+    model.save(spark, model_path)
+    return scores
 
 
 def predict(
@@ -141,7 +141,7 @@ def predict(
     row rejects the batch."""
     # Written once: the check of the whole batch and the scoring both read it.
     features = cut_lineage(serving_features(flights, weather, dimension, weather_order, ordering))
-    scored = models.score(models.load_model(model_path), accepted_batch(features))
+    scored = models.score(linear.load(spark, model_path), accepted_batch(features))
     return caps.numbered(scored, ordering, "prediction")
 
 

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from math import isfinite
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -15,6 +14,8 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.text import positive_or_zero
 from tarmac.operators.profile import modes, r2
+from tarmac.plans import compiled, linear
+from tarmac.plans.stages import DropFirst, MostFrequentModel
 from tarmac.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
 from tarmac.session import cut_lineage
 
@@ -29,21 +30,6 @@ BOOSTING = {"stepSize": 0.1, "maxDepth": 2, "maxIter": 50, "seed": 42}
 # ---- preprocessing --------------------------------------------------------------------------
 
 
-class MostFrequentModel(Transformer, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
-    """Fills nulls of text columns with the values learnt in training."""
-
-    fills = Param(Params._dummy(), "fills", "fill value per input column", TypeConverters.toListString)
-
-    def __init__(self, inputCols: list[str] | None = None, fills: list[str] | None = None):
-        super().__init__()
-        if inputCols is not None:
-            self._set(inputCols=inputCols, fills=fills)
-
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        pairs = zip(self.getInputCols(), self.getOrDefault(self.fills))
-        return dataset.withColumns({name: F.coalesce(name, F.lit(value)) for name, value in pairs})
-
-
 class MostFrequentImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
     """Learns the most frequent value of each text column (ties: smallest); one value per column
     reaches the driver. A column without any value is filled with the empty string."""
@@ -58,24 +44,6 @@ class MostFrequentImputer(Estimator, HasInputCols, DefaultParamsReadable, Defaul
         return MostFrequentModel(self.getInputCols(), [learnt.get(c, "") for c in self.getInputCols()])
 
 
-class DropFirst(Transformer, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
-    """Index columns from a descending indexer with a bucket for unseen values, re-coded so that
-    the encoder's dropped last category stands for both the first category and unseen values."""
-
-    sizes = Param(Params._dummy(), "sizes", "number of known categories per column", TypeConverters.toListInt)
-
-    def __init__(self, inputCols: list[str] | None = None, sizes: list[int] | None = None):
-        super().__init__()
-        if inputCols is not None:
-            self._set(inputCols=inputCols, sizes=sizes)
-
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        # ``least`` builds a new column: the indexer's metadata, which still counts the bucket for
-        # unseen values, does not reach the encoder.
-        pairs = zip(self.getInputCols(), self.getOrDefault(self.sizes))
-        return dataset.withColumns({c: F.least(F.col(c), F.lit(float(max(n - 1, 0)))) for c, n in pairs})
-
-
 class DropFirstFit(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
     """Reads the category counts off the indexers' column metadata."""
 
@@ -196,36 +164,45 @@ def build_model(train: DataFrame, estimator=None, label: str = TARGET, **columns
     return Pipeline(stages=preprocessing(train, **columns) + [estimator])
 
 
-def candidates(train: DataFrame, label: str = TARGET) -> dict:
-    """The five models that are compared."""
-    return {
-        "random_forest": random_forest(label),
-        "gradient_boosting": gradient_boosting(label),
-        "linear_regression": least_squares(label),
-        "ridge": ridge(train, label),
-        "elastic_net": elastic_net(train, label, **ELASTIC_NET_EXPLORATION),
-    }
+#: The five models that are compared, and those of them that are trees.
+CANDIDATES = ["random_forest", "gradient_boosting", "linear_regression", "ridge", "elastic_net"]
+TREES = {"random_forest": random_forest, "gradient_boosting": gradient_boosting}
 
 
 def compare_models(rows: DataFrame, label: str = TARGET, names: list[str] | None = None, **columns) -> DataFrame:
     """(model, split, r2, rows) for each candidate; ``rows`` carries ``split``.
 
-    Preprocessing is fitted and applied once; the assembled vectors are written to the shared folder,
-    where the fits of all models read them.
+    One pass over the rows sums what all linear candidates and their scores need. For the trees preprocessing is fitted and
+    applied once; the assembled vectors are written to the shared folder, where both fits read them.
     """
-    train = rows.where("split = 'train'")
-    prepared_by = Pipeline(stages=preprocessing(train, drop_first=True, **columns)).fit(train)
-    ready = cut_lineage(prepared_by.transform(rows).select("split", "features", label))
-    fit_on = ready.where("split = 'train'")
-    chosen = {n: e for n, e in candidates(fit_on, label).items() if names is None or n in names}
-    # Each score is two numbers, so the finished table is tiny and safe to rebuild here.
+    names = CANDIDATES if names is None else [n for n in CANDIDATES if n in names]
+    # Each score is two numbers, so the finished table is tiny and safe to build here.
     scores = []
-    for name, estimator in chosen.items():
-        scored = estimator.fit(fit_on).transform(ready)
-        scores += [(name, r["split"], r["r2"], r["rows"]) for r in r2(scored, label, "prediction", ["split"]).collect()]
+    if linear_names := [n for n in names if n not in TREES]:
+        categorical, numeric = columns.get("categorical", CATEGORICAL_FEATURES), columns.get("numeric", NUMERIC_FEATURES)
+        summed = linear.Moments(rows, categorical, numeric, label, "split")
+        scores += linear.compare(summed, linear_names, ridge=RIDGE_ALPHA, elastic_net=ELASTIC_NET_EXPLORATION)
+    if tree_names := [n for n in names if n in TREES]:
+        train = rows.where("split = 'train'")
+        prepared_by = Pipeline(stages=preprocessing(train, drop_first=True, **columns)).fit(train)
+        ready = cut_lineage(prepared_by.transform(rows).select("split", "features", label))
+        fit_on = ready.where("split = 'train'")
+        for name in tree_names:
+            scored = TREES[name](label).fit(fit_on).transform(ready)
+            scores += [(name, r["split"], r["r2"], r["rows"]) for r in r2(scored, label, "prediction", ["split"]).collect()]
     return rows.sparkSession.createDataFrame(scores, "model string, split string, r2 double, rows bigint")
 
 
+def fit_production(rows: DataFrame, label: str = TARGET, **columns) -> tuple[linear.LinearModel, DataFrame]:
+    """The production model of the rows of split ``train``, and (split, r2, rows); one pass over ``rows``."""
+    categorical, numeric = columns.get("categorical", CATEGORICAL_FEATURES), columns.get("numeric", NUMERIC_FEATURES)
+    summed = linear.Moments(rows, categorical, numeric, label, "split")
+    design = summed.design("train")
+    model = design.elastic_net(**ELASTIC_NET)
+    scores = [(part, *design.r2(model, part)) for part in sorted(summed.raw)]
+    return model, rows.sparkSession.createDataFrame(scores, "split string, r2 double, rows bigint")
+
+
 # ---- persistence and scoring ----------------------------------------------------------------
 
 
@@ -237,9 +214,11 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def score(model: PipelineModel, rows: DataFrame, clamp: bool = True) -> DataFrame:
-    """Rows with ``prediction``; predicted delays below zero become zero."""
-    scored = model.transform(as_doubles(rows))
-    helpers = [c for c in scored.columns if c not in rows.columns and c != "prediction"]
-    scored = scored.drop(*helpers)
+def score(model: PipelineModel | linear.LinearModel, rows: DataFrame, clamp: bool = True) -> DataFrame:
+    """Rows with ``prediction``; predicted delays below zero become zero.
+
+    The model becomes one expression over the rows' own columns, which stay as they are.
+    """
+    told = model.prediction() if isinstance(model, linear.LinearModel) else compiled.prediction(model)
+    scored = rows.withColumn("prediction", told)
     return scored.withColumn("prediction", positive_or_zero(F.col("prediction"))) if clamp else scored

@@ -12,6 +12,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from tarmac.plans.linear import LinearModel
 from tarmac.plans.models import score
 from tarmac.plans.serving import serving_features
 from tarmac.streaming.ingest import each_batch
@@ -24,14 +25,14 @@ def enrich_stream(
     return serving_features(flights, weather, dimension, weather_order, identity)
 
 
-def score_stream(model: PipelineModel, features: DataFrame) -> DataFrame:
+def score_stream(model: PipelineModel | LinearModel, features: DataFrame) -> DataFrame:
     """Clamped predictions for a stream of feature rows."""
     return score(model, features)
 
 
 def enrich_batches(
     flights: DataFrame, read_weather: Callable[[], DataFrame], dimension: DataFrame, weather_order: list[str],
-    identity: list[str], path: str, checkpoint: str, model: PipelineModel | None = None, available_now: bool = True,
+    identity: list[str], path: str, checkpoint: str, model: PipelineModel | LinearModel | None = None, available_now: bool = True,
 ) -> StreamingQuery:
     """Serving features (scored, if there is a model) of every micro-batch below ``path/batch_id=N``.
 

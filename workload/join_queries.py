@@ -216,7 +216,7 @@ _CALENDAR_SQL = """CAST(hour(departure_scheduled) AS INTEGER) AS scheduled_hour,
 
 _WEATHER_OUT = ", ".join(f"{p}{c}" for p in ("dep_", "arr_") for c in WEATHER_FIELDS)
 
-_TRAINING_SQL = f"""
+TRAINING_SQL = f"""
 WITH {FLIGHTS_SQL}, {WEATHER_SQL}, {CODES_SQL},
 obs AS (SELECT name, collected_at AS ts, min(id) AS id FROM weather GROUP BY ALL),
 landed AS (SELECT * FROM flights WHERE arrival_actual IS NOT NULL),
@@ -236,7 +236,7 @@ def training_set(spark, sf, **limits):
     return training_rows(flights(spark, sf), weather(spark, sf), codes, identity=["pos"], **limits)
 
 
-@query(_TRAINING_SQL)
+@query(TRAINING_SQL)
 def training_features(spark, sf):
     return training_set(spark, sf).select("pos", *FEATURE_COLUMNS, TARGET)
 

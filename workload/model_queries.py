@@ -8,11 +8,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tarmac.operators.caps import top_rows
-from tarmac.plans import models
+from tarmac.plans import linear, models
 from tarmac.plans.training import split_train_test
-from tarmac.schemas import TARGET
+from tarmac.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
 from tarmac.session import cut_lineage, scratch_path
-from workload.join_queries import serving_set, training_set
+from workload.join_queries import SERVING_SQL, TRAINING_SQL, serving_set, training_set
 from workload.registry import query
 from workload.tables import load
 
@@ -137,13 +137,110 @@ def _training_split(spark, sf):
     return models.as_doubles(cut_lineage(rows))
 
 
-@query()
+def _cells_sql(source: str) -> str:
+    """(pos, name, level, v): the filled features of every row, one row each; a number that is missing stays null."""
+    texts = [f"{{'name': '{c}', 'level': coalesce({c}, (SELECT mode FROM modes WHERE name = '{c}')), 'v': 1.0::DOUBLE}}" for c in CATEGORICAL_FEATURES]
+    numbers = [f"{{'name': '{c}', 'level': NULL::VARCHAR, 'v': {c}::DOUBLE}}" for c in NUMERIC_FEATURES]
+    return f"SELECT pos, c.name AS name, c.level AS level, c.v AS v FROM {source}, unnest([{', '.join(texts + numbers)}]) u(c)"
+
+
+def linear_sql(lasso: str, quadratic: str, drop_first: bool = False, sweeps: int = 80) -> str:
+    """CTEs that minimise ``|y - Xw|^2 / 2 + lasso * |w|_1 + quadratic / 2 * |w|^2`` over the training rows by coordinate descent
+    on X'X; they end in ``coef`` and ``inter``. The penalties may name ``n``, the number of rows."""
+    modes = " UNION ALL ".join(
+        f"""SELECT '{c}' AS name, (SELECT {c} FROM tr WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS mode"""
+        for c in CATEGORICAL_FEATURES
+    )
+    levels = " UNION ALL ".join(
+        f"""SELECT '{c}' AS name, {c} AS level FROM tr WHERE {c} {'>' if drop_first else '>='} (SELECT min({c}) FROM tr) GROUP BY 2"""
+        for c in CATEGORICAL_FEATURES
+    )
+    means = " UNION ALL ".join(f"SELECT '{c}' AS name, avg({c})::DOUBLE AS mean FROM tr" for c in NUMERIC_FEATURES)
+    return f"""
+t AS ({TRAINING_SQL}),
+s AS (SELECT *, CASE WHEN ('0x' || substr(md5(pos || '|42'), 1, 8))::BIGINT % 10000 < 7500 THEN 'train' ELSE 'test' END AS split FROM t),
+tr AS (SELECT * FROM s WHERE split = 'train'),
+modes AS ({modes}),
+lv AS ({levels}),
+means AS ({means}),
+f AS (SELECT row_number() OVER (ORDER BY kind, name, level) AS j, * FROM (
+  SELECT 'level' AS kind, name, level, NULL::DOUBLE AS mean FROM lv
+  UNION ALL SELECT 'number', name, NULL, mean FROM means WHERE mean IS NOT NULL)),
+c AS ({_cells_sql("tr")}),
+x AS (SELECT c.pos, f.j, coalesce(c.v, f.mean) AS v FROM c JOIN f ON c.name = f.name AND c.level IS NOT DISTINCT FROM f.level),
+n AS (SELECT count(*)::DOUBLE AS n, avg({TARGET}) AS my FROM tr),
+m AS (SELECT j, sum(v) / any_value(n.n) AS m FROM x, n GROUP BY j),
+p AS (SELECT a.j AS i, b.j AS j, sum(a.v * b.v) AS p FROM x a JOIN x b USING (pos) GROUP BY ALL),
+g AS (SELECT a.j AS i, b.j AS j, coalesce(p.p, 0) - n.n * a.m * b.m AS g FROM m a JOIN m b ON true JOIN n ON true
+      LEFT JOIN p ON p.i = a.j AND p.j = b.j),
+xy AS (SELECT x.j, sum(x.v * tr.{TARGET}) - any_value(n.n * m.m * n.my) AS b FROM x JOIN tr USING (pos) JOIN m USING (j) JOIN n ON true GROUP BY x.j),
+q AS (SELECT (SELECT list(r ORDER BY i) FROM (SELECT i, list(g ORDER BY j) AS r FROM g GROUP BY i)) AS g,
+        (SELECT list(b ORDER BY j) FROM xy) AS b, {lasso} AS lasso, {quadratic} AS quadratic FROM n),
+-- coordinate descent: each step renews one weight and what the others leave of X'y
+cd AS (SELECT list_reduce(
+  list_concat([{{'k': 0::BIGINT, 'w': list_transform(b, lambda v: 0.0::DOUBLE), 'r': b}}],
+    list_transform(range(0, {sweeps} * len(b)), lambda k: {{'k': 1 + k % len(b), 'w': NULL::DOUBLE[], 'r': NULL::DOUBLE[]}})),
+  lambda s, e: list_transform([{{'j': e.k, 'g': g[e.k], 'rho': s.r[e.k] + g[e.k][e.k] * s.w[e.k]}}], lambda o:
+    list_transform([CASE WHEN o.g[o.j] > 1e-6 THEN sign(o.rho) * greatest(abs(o.rho) - lasso, 0.0) / (o.g[o.j] + quadratic) ELSE 0.0 END], lambda z:
+      {{'k': o.j, 'w': list_transform(s.w, lambda v, i: CASE WHEN i = o.j THEN z ELSE v END),
+       'r': list_transform(s.r, lambda v, i: v - o.g[i] * (z - s.w[o.j]))}})[1])[1]).w AS w FROM q),
+coef AS (SELECT f.name, f.level, f.mean, cd.w[f.j] AS w FROM f, cd),
+inter AS (SELECT n.my - (SELECT sum(m.m * cd.w[m.j]) FROM m, cd) AS b0 FROM n)"""
+
+
+def _predicted_sql(source: str) -> str:
+    return f"""SELECT k.pos, any_value(b0) + coalesce(sum(coef.w * coalesce(k.v, coef.mean)), 0) AS p FROM ({_cells_sql(source)}) k
+  JOIN inter ON true LEFT JOIN coef ON coef.name = k.name AND coef.level IS NOT DISTINCT FROM k.level GROUP BY k.pos"""
+
+
+def _r2_sql(model: str, name: str) -> str:
+    return f"""WITH {model}, o AS ({_predicted_sql("s")}),
+e AS (SELECT split, {TARGET} AS y, p FROM o JOIN s USING (pos))
+SELECT {name}split, round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2, count(*) AS rows FROM e GROUP BY split"""
+
+
+def _elastic(alpha: float, l1_ratio: float) -> tuple[str, str]:
+    return f"n.n * {alpha * l1_ratio!r}", f"n.n * {alpha * (1 - l1_ratio)!r}"
+
+
+_PRODUCTION_SQL = linear_sql(*_elastic(**models.ELASTIC_NET))
+_COMPARED_SQL = {
+    "linear_regression": ("0.0", "0.0"),
+    "ridge": ("0.0", repr(models.RIDGE_ALPHA)),
+    "elastic_net": _elastic(**models.ELASTIC_NET_EXPLORATION),
+}
+
+
+def _production(spark, sf):
+    """The production model and its scores, from one pass over the training set."""
+    return models.fit_production(split_train_test(training_set(spark, sf), ["pos"]))
+
+
+@query(_r2_sql(_PRODUCTION_SQL, ""))
 def production_model(spark, sf):
-    rows = _training_split(spark, sf)
-    train = rows.where("split = 'train'")
-    model = models.build_model(train).fit(train)
-    scored = models.score(model, rows, clamp=False)
-    return models.r2(scored, TARGET, "prediction", ["split"])
+    _, scores = _production(spark, sf)
+    return scores.select("split", F.round("r2", 6).alias("r2"), "rows")
+
+
+@query(f"""WITH {_PRODUCTION_SQL}
+SELECT name, level, round(w, 4) + 0.0 AS coefficient FROM coef UNION ALL SELECT 'intercept', NULL, round(b0, 3) FROM inter""")
+def production_coefficients(spark, sf):
+    model, _ = _production(spark, sf)
+    terms = model.table(spark)
+    rounded = F.when(F.col("kind") == "intercept", F.round("coefficient", 3)).otherwise(F.round("coefficient", 4) + 0.0)
+    return terms.select(F.coalesce("name", F.lit("intercept")).alias("name"), "level", rounded.alias("coefficient"))
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT * FROM ({_r2_sql(linear_sql(*penalties, drop_first=True, sweeps=120 if any(p != "0.0" for p in penalties) else 400), f"'{name}' AS model, ")})"""
+        for name, penalties in _COMPARED_SQL.items()
+    )
+)
+def linear_comparison(spark, sf):
+    """The three linear candidates from one pass over the rows."""
+    rows = split_train_test(training_set(spark, sf), ["pos"])
+    return models.compare_models(rows, names=list(_COMPARED_SQL)).withColumn("r2", F.round("r2", 6))
 
 
 @query()
@@ -161,15 +258,21 @@ def gradient_boosting(spark, sf):
     return models.compare_models(_training_split(spark, sf), names=["gradient_boosting"])
 
 
-@query()
-def score_batch(spark, sf):
-    # Train, save, load, then score the live flights.
-    rows = _training_split(spark, sf)
-    train = rows.where("split = 'train'")
+SCORED_SQL = f"""WITH {_PRODUCTION_SQL}, live AS ({SERVING_SQL}), o AS ({_predicted_sql("live")})
+SELECT pos, flight_iata, round(greatest(p, 0), 4) AS prediction FROM o JOIN live USING (pos)"""
+
+
+def saved_production(spark, sf):
+    """The production model, saved and loaded again."""
     path = scratch_path(spark, "model")
-    models.save_model(models.build_model(train).fit(train), path)
-    scored = models.score(models.load_model(path), serving_set(spark, sf))
-    return scored.select("pos", "flight_iata", F.round("prediction", 6).alias("prediction"))
+    _production(spark, sf)[0].save(spark, path)
+    return linear.load(spark, path)
+
+
+@query(SCORED_SQL)
+def score_batch(spark, sf):
+    scored = models.score(saved_production(spark, sf), serving_set(spark, sf))
+    return scored.select("pos", "flight_iata", F.round("prediction", 4).alias("prediction"))
 
 
 @query()
