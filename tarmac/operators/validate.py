@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.schemas import FEATURE_COLUMNS, REQUIRED_FEATURES, feature_type
+from tarmac.session import cut_lineage
 
 
 def _typed(name: str, stored: str) -> tuple[Column, Column]:
@@ -53,7 +54,10 @@ def split_rows(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def accepted_batch(df: DataFrame) -> DataFrame:
-    """Strict mode: the whole batch if every row is valid, otherwise no row at all."""
-    checked = check_rows(df)
+    """Strict mode: the whole batch if every row is valid, otherwise no row at all.
+
+    The checked rows are stored, so that what made them runs once for the verdict and for the rows.
+    """
+    checked = cut_lineage(check_rows(df), "checked")
     flawed = checked.agg(F.count_if(F.size("reasons") > 0)).scalar()
     return checked.where(flawed == 0).drop("reasons")

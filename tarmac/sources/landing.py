@@ -76,6 +76,11 @@ def files_without(spark: SparkSession, path: str, record: str, field: str = "res
     return _envelopes(spark, path, field, record).where(F.col(field).isNull()).select("source_file")
 
 
+def parse_documents(df: DataFrame, column: str, schema: str) -> DataFrame:
+    """JSON texts of a column as rows under a declared schema; a text that is no document gives a row of nulls."""
+    return df.select(F.from_json(column, schema).alias("doc")).select("doc.*")
+
+
 def as_frame(spark: SparkSession, data, schema: str) -> DataFrame:
     """A DataFrame as it is, or a list of dicts under a declared schema; anything else is refused.
 
@@ -85,5 +90,5 @@ def as_frame(spark: SparkSession, data, schema: str) -> DataFrame:
         return data
     if isinstance(data, list) and all(isinstance(row, dict) for row in data):
         texts = [(json.dumps(row, default=lambda v: v.isoformat() if hasattr(v, "isoformat") else str(v)),) for row in data]
-        return spark.createDataFrame(texts, "doc string").select(F.from_json("doc", schema).alias("doc")).select("doc.*")
+        return parse_documents(spark.createDataFrame(texts, "doc string"), "doc", schema)
     raise TypeError("expected a DataFrame or a list of dicts")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tarmac.operators import profile, shape
 from tarmac.plans import jobs, models
@@ -84,11 +84,14 @@ def skipped_files(spark, sf):
     return skipped.select(F.regexp_extract("source_file", "(airport=[^/]*)", 1).alias("folder"))
 
 
-@query("SELECT n_nationkey AS key, n_name AS name, NULL::VARCHAR AS note FROM nation")
+@query("""SELECT o_orderkey AS key, o_orderpriority AS name, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice END AS price,
+  NULL::VARCHAR AS note FROM orders""")
 def rows_from_memory(spark, sf):
-    # The 25 nations as a list of dicts, as a caller hands them over.
-    held = [{"key": r.n_nationkey, "name": r.n_name} for r in load(spark, sf, "nation").collect()]
-    return landing.as_frame(spark, held, "key LONG, name STRING, note STRING")
+    # Documents made in the tasks, some without a price, all without a note.
+    price = F.when(F.col("o_orderkey") % 3 == 0, F.col("o_totalprice")).alias("price")
+    made = load(spark, sf, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_orderpriority").alias("name"), price)
+    documents = landing.as_frame(spark, made.select(F.to_json(F.struct("*")).alias("doc")), "doc STRING")
+    return landing.parse_documents(documents, "doc", "key LONG, name STRING, price DOUBLE, note STRING")
 
 
 _AIRPORTS = [f"A{i}" for i in range(30)]
@@ -169,6 +172,36 @@ def target_split(spark, sf):
     return counts[0].unionByName(counts[1])
 
 
+@query("""SELECT 'features' AS part, o_orderkey, o_custkey, NULL::DOUBLE AS target FROM orders
+UNION ALL SELECT 'target', NULL, NULL, o_totalprice FROM orders""")
+def target_split_rows(spark, sf):
+    features, target = shape.split_target(load(spark, sf, "orders"), "o_totalprice")
+    assert "o_totalprice" not in features.columns
+    left = features.select(F.lit("features").alias("part"), "o_orderkey", "o_custkey")
+    right = target.select(F.lit("target").alias("part"), F.col("o_totalprice").alias("target"))
+    return left.unionByName(right, allowMissingColumns=True)
+
+
+@query("SELECT o_orderpriority, o_orderstatus FROM orders")
+def text_columns(spark, sf):
+    orders = load(spark, sf, "orders")
+    return orders.select(*shape.columns_of(orders, T.StringType))
+
+
+@query(f"""WITH {WEATHER_SQL},
+m AS (SELECT coalesce(city, name) AS city, date_trunc('month', collected_at) + (collected_at - date_trunc('day', collected_at)) AS collected_at FROM weather)
+SELECT city || '_' || strftime(collected_at, '%Y%m%d%H') AS _id, strftime(max(collected_at), '%Y-%m-%d') AS day,
+  epoch_us(max(collected_at)) AS at, 'departure' AS role FROM m GROUP BY 1""")
+def collect_weather(spark, sf):
+    # Answers of the weather provider, landed page by page, upserted per city and hour; each month's fall on its first day.
+    at = F.col("collected_at")
+    documents = weather(spark, sf).withColumn("order", F.split("_id", "-")[0].cast("long")).drop("_id")
+    documents = documents.withColumn("collected_at", F.date_trunc("month", at) + (at - F.date_trunc("day", at)))
+    zone, table = _files(documents, scratch_path(spark, "land"), "order"), scratch_path(spark, "weather")
+    jobs.collect_weather(spark, zone, table, "departure", F.lit("2026-01-01").cast("timestamp"))
+    return tables.read_table(spark, table).select("_id", "day", F.unix_micros("collected_instant").alias("at"), "role")
+
+
 @query("SELECT event_id, 'k' AS name, CAST(json_extract(props, '$.k') AS BIGINT) AS value FROM events")
 def map_rows(spark, sf):
     events = load(spark, sf, "events").select("event_id", F.from_json("props", "map<string,bigint>").alias("m"))

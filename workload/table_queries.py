@@ -170,3 +170,27 @@ def schedule_run_outputs(spark, sf):
 
     written = {n: spark.read.schema("flight_iata string").json(f"{folder}/{n}") for n in ("schedules", "delays", "features")}
     return row_counts(written).select(F.col("table_name").alias("output"), "rows")
+
+
+@query(f"""
+WITH {SCHEDULES_SQL},
+reg AS (SELECT cs_flight_iata AS code, min(pos) AS first_pos FROM schedules
+        WHERE flight_iata IS NOT NULL AND cs_flight_iata IS NOT NULL GROUP BY 1),
+kept AS (SELECT s.* FROM schedules s LEFT JOIN reg ON s.flight_iata = reg.code
+  WHERE s.flight_iata IS NOT NULL AND s.cs_flight_iata IS NULL AND (first_pos IS NULL OR first_pos > s.pos) AND status = 'landed')
+SELECT 'schedules' AS output, flight_iata, airline_iata AS airline, dep_iata AS departure, duration FROM kept
+UNION ALL SELECT 'delays', flight_iata, NULL, NULL, NULL FROM kept GROUP BY flight_iata
+UNION ALL SELECT 'features', NULL, airline_iata, dep_iata, duration FROM kept""")
+def schedule_run_rows(spark, sf):
+    folder = scratch_path(spark, "run")
+    run_schedules(select_landed(schedules(spark, sf), "pos"), folder)
+    fields = {
+        "schedules": "flight_iata string, airline_iata string, dep_iata string, duration int",
+        "delays": "flight_iata string, airline_iata string, dep_iata string, duration int",
+        "features": "flight_iata string, airline_name string, departure_iata string, flight_duration_scheduled int",
+    }
+    parts = [
+        spark.read.schema(schema).json(f"{folder}/{name}").toDF("flight_iata", "airline", "departure", "duration").withColumn("output", F.lit(name))
+        for name, schema in fields.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
