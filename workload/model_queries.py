@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from tarmac.operators import encode
 from tarmac.operators.caps import top_rows
 from tarmac.plans import linear, models
 from tarmac.plans.training import split_train_test
@@ -26,13 +26,12 @@ def train_test_split(spark, sf):
     return split_train_test(load(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"])
 
 
-def _encoded(spark, sf, drop_first):
+def _encoded(spark, sf, **options):
     """One-hot codes of event types, learnt without the type 'view', as long rows."""
     events = load(spark, sf, "events").select("event_id", "event_type")
-    stages = models.preprocessing(events, ["event_type"], [], drop_first=drop_first)
-    fitted = Pipeline(stages=stages).fit(events.where("event_type <> 'view'"))
-    coded = fitted.transform(events).select("event_id", vector_to_array("features").alias("v"))
-    return coded.select("event_id", F.posexplode("v").alias("slot", "value")).where("value <> 0")
+    codes = encode.dictionary(events.where("event_type <> 'view'"), ["event_type"], **options)
+    slots = encode.one_hot(events, codes, ["event_type"]).select("event_id", F.explode("slots").alias("slot"))
+    return slots.select("event_id", F.col("slot").cast("int").alias("slot"), F.lit(1.0).alias("value"))
 
 
 @query("""
@@ -40,7 +39,7 @@ WITH c AS (SELECT event_type, CAST(row_number() OVER (ORDER BY event_type) - 1 A
            FROM (SELECT DISTINCT event_type FROM events WHERE event_type <> 'view'))
 SELECT event_id, slot, 1.0::DOUBLE AS value FROM events JOIN c ON events.event_type = c.event_type""")
 def one_hot(spark, sf):
-    return _encoded(spark, sf, drop_first=False)
+    return _encoded(spark, sf)
 
 
 @query("""
@@ -49,7 +48,20 @@ WITH c AS (SELECT event_type, row_number() OVER (ORDER BY event_type DESC) - 1 A
 SELECT event_id, CAST(slot AS INTEGER) AS slot, 1.0::DOUBLE AS value FROM events JOIN c ON events.event_type = c.event_type
 WHERE slot < n - 1""")
 def one_hot_drop_first(spark, sf):
-    return _encoded(spark, sf, drop_first=True)
+    return _encoded(spark, sf, drop_first=True, descending=True)
+
+
+@query("""
+WITH o AS (SELECT o_orderkey, o_custkey::VARCHAR AS customer, o_orderpriority AS priority, o_orderkey % 3 <> 0 AS known FROM orders),
+c AS (SELECT customer, row_number() OVER (ORDER BY customer) - 1 AS slot FROM o WHERE known GROUP BY customer),
+p AS (SELECT priority, row_number() OVER (ORDER BY priority) - 1 + (SELECT count(*) FROM c) AS slot FROM o WHERE known GROUP BY priority)
+SELECT o_orderkey, list_sort(list_filter([c.slot, p.slot], lambda x: x IS NOT NULL))::VARCHAR AS slots
+FROM o LEFT JOIN c USING (customer) LEFT JOIN p USING (priority)""")
+def one_hot_many(spark, sf):
+    """A column with a category per customer; customers of one third of the orders may be new."""
+    rows = load(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("customer"), F.col("o_orderpriority").alias("priority"))
+    codes = encode.dictionary(rows.where("o_orderkey % 3 <> 0"), ["customer", "priority"])
+    return encode.one_hot(rows, codes, ["customer", "priority"]).select("o_orderkey", F.col("slots").cast("string").alias("slots"))
 
 
 # ---- linear models on one feature ---------------------------------------------------------
