@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions.text import percent
+from tarmac.session import cut_lineage
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -54,24 +55,57 @@ def value_counts(df: DataFrame, column: str, nulls: bool = False) -> DataFrame:
     return rows.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.col(column).asc_nulls_last())
 
 
+#: Values a sketch tracks per column.
+TRACKED = 10_000
+
+
+def _pairs(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, value) of every non-null value, as text."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns])
+    return df.select(F.explode(pairs).alias("p")).select("p.*").where("value is not null")
+
+
+def _best(pairs: DataFrame) -> DataFrame:
+    """(column_name, mode, n) by counting every value of the pairs."""
+    counted = pairs.groupBy("column_name", "value").agg(F.count("*").alias("n"))
+    first = F.min(F.struct((-F.col("n")).alias("order"), "value"))
+    return counted.groupBy("column_name").agg(first.alias("first")).select("column_name", F.col("first.value").alias("mode"), (-F.col("first.order")).alias("n"))
+
+
 def modes(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column_name, mode): most frequent non-null value, the smallest on a tie.
 
     Values are counted with an ordinary grouped count, so a column with very many distinct values
     is spread over the cluster; only the counts are then reduced to one value per column.
     """
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns]
-    )
-    counted = (
-        df.select(F.explode(pairs).alias("p"))
-        .select("p.*")
-        .where("value is not null")
-        .groupBy("column_name", "value")
-        .agg(F.count("*").alias("n"))
-    )
-    best = F.min_by("value", F.struct(-F.col("n"), "value"))
-    return counted.groupBy("column_name").agg(best.alias("mode"))
+    return _best(_pairs(df, columns)).drop("n")
+
+
+def modes_of_many(df: DataFrame, columns: list[str], tracked: int = TRACKED, candidates: int = 100) -> DataFrame:
+    """What :func:`modes` gives, for columns with very many values of which a few stand out.
+
+    A sketch of frequent items, merged from all tasks, names candidates, those it is sure of beyond its error. The error is at most 2.7 times
+    the rows over ``tracked``, so a value it does not name counts at most twice that, or, with all ``candidates`` named, what it tells of
+    the last. Candidates alone are counted exactly. Where the best of them is beyond that bound, no other value can be the mode;
+    columns in which none stands out are counted in full. Nothing is shuffled by value but for those.
+    """
+    sketch = [F.expr(f"approx_top_k(cast(`{c}` AS string), {candidates}, {tracked})").alias(f"s{i}") for i, c in enumerate(columns)]
+    told = df.agg(*sketch, *[F.count(f"`{c}`").alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    wanted, limits = [], []
+    for i, c in enumerate(columns):
+        items = [r for r in told[f"s{i}"] or [] if r["item"] is not None]
+        last = items[-1]["count"] if len(items) >= candidates else 0
+        wanted += [(c, r["item"]) for r in items]
+        limits.append((c, float(max(8 * told[f"n{i}"] / tracked, last))))
+    spark = df.sparkSession
+    # At most ``candidates`` per column, and one limit.
+    named = F.broadcast(spark.createDataFrame(wanted, "column_name string, value string"))
+    bounds = F.broadcast(spark.createDataFrame(limits, "column_name string, bound double"))
+    best = _best(_pairs(df, columns).join(named, ["column_name", "value"], "left_semi"))
+    settled = cut_lineage(best.join(bounds, "column_name").where("n > bound").select("column_name", "mode"), "modes")
+    sure = {r["column_name"] for r in settled.collect()}
+    rest = [c for i, c in enumerate(columns) if c not in sure and told[f"n{i}"]]
+    return settled.unionByName(modes(df, rest)) if rest else settled
 
 
 def distinct_values(df: DataFrame, path: str, alias: str) -> DataFrame:

@@ -93,3 +93,32 @@ def test_distinct(spark, rows):
     assert rows(profile.distinct_union({"x": a, "y": b}, "v")) == [(1,), (2,), (3,)]
     nested = a.select(F.struct("x").alias("s"))
     assert rows(profile.distinct_values(nested, "s.x", "v")) == [(1,), (2,)]
+
+
+def many(spark, kinds):
+    return spark.createDataFrame([(k, None) for k in kinds], "c string, empty string")
+
+
+@pytest.mark.parametrize("tracked", [16, 10_000])
+def test_sketched_modes_equal_counted_ones(spark, rows, tracked):
+    hot = ["hot"] * 900 + [f"v{i}" for i in range(1500)]
+    even = [f"v{i % 700}" for i in range(2100)]
+    tied = ["b", "a"] * 50 + ["c"]
+    for kinds in (hot, even, tied, ["x"], []):
+        df = many(spark, kinds)
+        got = rows(profile.modes_of_many(df, ["c", "empty"], tracked=tracked, candidates=8))
+        assert got == rows(profile.modes(df, ["c", "empty"]))
+
+
+def test_a_mode_that_stands_out_is_found_without_counting_all(spark, monkeypatch):
+    df = spark.range(50_000).select(F.when(F.col("id") % 4 == 0, "hot").otherwise(F.col("id").cast("string")).alias("c"))
+    monkeypatch.setattr(profile, "modes", None)
+    assert profile.modes_of_many(df, ["c"]).collect() == [("c", "hot")]
+
+
+def test_counts_read_no_column(spark, tmp_path):
+    spark.range(100).select("id", F.col("id").alias("b")).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    for counted in (profile.row_counts({"t": df}), profile.shape(df)):
+        assert counted.first()["rows"] == 100
+        assert "ReadSchema: struct<>" in counted._jdf.queryExecution().executedPlan().toString()

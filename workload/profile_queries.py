@@ -109,6 +109,26 @@ def column_modes(spark, sf):
     return profile.modes(_marked(spark, sf), ["kind", "props"])
 
 
+_MANY_SQL = """
+WITH e AS (SELECT event_type AS kind, CASE WHEN event_id % 3 = 0 THEN 'often' ELSE 'e' || event_id END AS spread,
+  'u' || (event_id % 977) AS level FROM events)
+"""
+
+
+@query(_MANY_SQL + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, (SELECT {c} FROM e GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS mode" for c in ("kind", "spread", "level")
+))
+def modes_of_many_values(spark, sf):
+    """One column of few values, one with a value per row but for a frequent one, one in which none stands out."""
+    number = F.col("event_id").cast("string")
+    rows = load(spark, sf, "events").select(
+        F.col("event_type").alias("kind"),
+        F.when(F.col("event_id") % 3 == 0, F.lit("often")).otherwise(F.concat(F.lit("e"), number)).alias("spread"),
+        F.concat(F.lit("u"), (F.col("event_id") % 977).cast("string")).alias("level"),
+    )
+    return profile.modes_of_many(rows, ["kind", "spread", "level"], tracked=1000)
+
+
 @query(f"""WITH m AS (SELECT event_id, CASE WHEN kind IS NOT NULL THEN value END AS value FROM ({_MARKED}))
 SELECT event_id, round(coalesce(value, (SELECT avg(value) FROM m)), 6) AS value FROM m""")
 def mean_impute(spark, sf):
