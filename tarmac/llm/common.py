@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
@@ -41,6 +42,32 @@ def computed(df: DataFrame, **columns: Column) -> DataFrame:
     return df.drop(*columns).select("*", F.inline(F.array(one)))
 
 
+def shielded(operator):
+    """Keep input columns apart from an operator's own.
+
+    All helper columns of this folder begin with an underscore. Input columns that do are renamed on the way in, also where an argument
+    names them, and back on the way out; without such columns the operator runs as it is.
+    """
+
+    @wraps(operator)
+    def run(df: DataFrame, *args, **options) -> DataFrame:
+        taken = [c for c in df.columns if c.startswith("_")]
+        if not taken:
+            return operator(df, *args, **options)
+        prefix = "kept"
+        while any(c.lower().startswith(prefix) for c in df.columns):
+            prefix += "x"
+        safe = {c: f"{prefix}{i}" for i, c in enumerate(taken)}
+
+        def named(value):
+            return safe.get(value, value) if isinstance(value, str) else value
+
+        out = operator(df.withColumnsRenamed(safe), *map(named, args), **{k: named(v) for k, v in options.items()})
+        return out.withColumnsRenamed({new: old for old, new in safe.items()})
+
+    return run
+
+
 def worker_path(spark: SparkSession) -> None:
     """Let Python workers of this session import this package, and give them batches that fit in memory.
 

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tarmac.llm.common import WORD, computed, let, text_of
+from tarmac.llm.common import WORD, computed, let, shielded, text_of
 
 #: What counts in the base rule as a symbol.
 SYMBOLS = "#*$%&|<>"
@@ -93,6 +93,7 @@ def _cover(starts: Column, window: int) -> Column:
     return F.aggregate(steps, F.lit(0).cast("long"), lambda total, n: total + n)
 
 
+@shielded
 def judge(df: DataFrame, text: str = "text", rules: Rules = Rules(), cleaned: str | None = None) -> DataFrame:
     """Add counts, ``base_failed``, ``lost_chars`` and ``kept``; with ``cleaned``, also the text without failing lines."""
     added = ["n_words", "lost_chars", "base_failed", "kept", *([cleaned] if cleaned else [])]
@@ -125,9 +126,10 @@ def _chars(lines: Column) -> Column:
     return F.aggregate(lines, F.lit(0).cast("long"), lambda total, x: total + F.length(x))
 
 
+@shielded
 def clean(df: DataFrame, text: str = "text", length: str | None = None, rules: Rules = Rules()) -> DataFrame:
     """The kept rows of ``df`` with failing lines removed; ``length`` names a column that holds the text's length."""
     names = df.columns
-    kept = judge(df.select(text, F.struct(*[f"`{c}`" for c in names]).alias("_row")), text, rules, cleaned="_clean").where("kept")
+    kept = judge.__wrapped__(df.select(text, F.struct(*[f"`{c}`" for c in names]).alias("_row")), text, rules, cleaned="_clean").where("kept")
     fields = {text: F.col("_clean"), **({length: F.length("_clean").cast(df.schema[length].dataType)} if length in names else {})}
     return kept.select(*[fields.get(c, F.col("_row")[c]).alias(c) for c in names])

@@ -19,7 +19,7 @@ from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tarmac.llm.common import WORD, numbered, text_of
+from tarmac.llm.common import WORD, numbered, shielded, text_of
 from tarmac.session import cut_lineage
 
 HASH_BITS = 60
@@ -144,6 +144,7 @@ def assign(rows: DataFrame, planned: DataFrame, source: str = "source", hashed:
     return joined.withColumn("copies", copies).drop("_source", "rounds", "cut")
 
 
+@shielded
 def mix(
     df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
     weights: tuple[int, ...] = (3, 1, 2), share: Fraction = Fraction(3, 2), most: int = 2, seed: str = "",

@@ -29,7 +29,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from tarmac.llm.common import text_of, worker_path
+from tarmac.llm.common import shielded, text_of, worker_path
 from tarmac.llm.components import components
 from tarmac.session import cut_lineage
 
@@ -291,7 +291,7 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text", least: float
     return named.join(sizes, "group").select("doc_id", "raw", "class_id", "class_size").unionByName(alone)
 
 
-
+@shielded
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", least: float = LEAST) -> DataFrame:
     """The rows of ``df``, one of each class: the smallest id, then the smallest digest of the text.
 

@@ -22,7 +22,7 @@ from typing import NamedTuple
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tarmac.llm.common import text_of, worker_path
+from tarmac.llm.common import shielded, text_of, worker_path
 from tarmac.session import cut_lineage
 
 KINDS = ("email", "ip", "card", "phone")
@@ -207,6 +207,7 @@ def told(spans: Column) -> Column:
     )
 
 
+@shielded
 def find(df: DataFrame, text: str = "text", **options) -> DataFrame:
     """Add ``base`` and ``spans``, both ordered, to all rows; the text itself is not kept."""
     rest = [f"`{c}`" for c in df.columns if c not in (text, "base", "spans")]
@@ -219,6 +220,7 @@ def find(df: DataFrame, text: str = "text", **options) -> DataFrame:
     return joined.select(*rest, ordered(F.col("_base")).alias("base"), ordered(F.concat("_base", more)).alias("spans"))
 
 
+@shielded
 def redact(df: DataFrame, text: str = "text", length: str | None = None, **options) -> DataFrame:
     """The rows of ``df`` with every span replaced by its kind in brackets; overlapping spans become one."""
     worker_path(df.sparkSession)
