@@ -40,7 +40,7 @@ def same_day_live(spark, sf):
     return rows.select("pos", F.col("arrival.iata").alias("arrival_iata"))
 
 
-_OPERATING_SQL = f"""
+OPERATING_SQL = f"""
 WITH {SCHEDULES_SQL},
 reg AS (SELECT cs_flight_iata AS code, min(pos) AS first_pos FROM schedules
         WHERE flight_iata IS NOT NULL AND cs_flight_iata IS NOT NULL GROUP BY 1),
@@ -49,12 +49,12 @@ operating AS (SELECT s.pos, s.flight_iata, s.status FROM schedules s LEFT JOIN r
 """
 
 
-@query(_OPERATING_SQL + "SELECT pos, flight_iata FROM operating")
+@query(OPERATING_SQL + "SELECT pos, flight_iata FROM operating")
 def codeshare_filter(spark, sf):
     return filters.drop_codeshares(schedules(spark, sf), "pos").select("pos", "flight_iata")
 
 
-@query(_OPERATING_SQL + "SELECT pos, flight_iata, status FROM operating WHERE status = 'landed' OR NOT EXISTS (SELECT 1 FROM operating WHERE status = 'landed')")
+@query(OPERATING_SQL + "SELECT pos, flight_iata, status FROM operating WHERE status = 'landed' OR NOT EXISTS (SELECT 1 FROM operating WHERE status = 'landed')")
 def prefer_else_all(spark, sf):
     return select_landed(schedules(spark, sf), "pos").select("pos", "flight_iata", "status")
 
@@ -64,7 +64,7 @@ def prefer_without_match(spark, sf):
     return filters.prefer(load(spark, sf, "events"), F.col("event_type") == "landed").select("event_id")
 
 
-@query(_OPERATING_SQL + """SELECT pos, flight_iata, status FROM operating
+@query(OPERATING_SQL + """SELECT pos, flight_iata, status FROM operating
 WHERE status = (SELECT CASE WHEN bool_or(status = 'active') THEN 'active' WHEN bool_or(status = 'scheduled') THEN 'scheduled' END FROM operating)""")
 def priority_fallback(spark, sf):
     return select_live(schedules(spark, sf), "pos").select("pos", "flight_iata", "status")
@@ -76,7 +76,7 @@ def priority_fallback_second(spark, sf):
     return filters.first_available(events, "event_type", ["landed", "purchase", "view"]).select("event_id")
 
 
-@query(_OPERATING_SQL + "SELECT pos, flight_iata FROM operating WHERE status = 'landed' ORDER BY pos LIMIT 10")
+@query(OPERATING_SQL + "SELECT pos, flight_iata FROM operating WHERE status = 'landed' ORDER BY pos LIMIT 10")
 def limited_landed(spark, sf):
     return select_landed(schedules(spark, sf), "pos", 10).select("pos", "flight_iata")
 

@@ -136,11 +136,14 @@ codes AS (SELECT iata, arg_max(city, seq) AS city FROM entries GROUP BY iata)
 
 def schedules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat schedule rows, one per order, in the second provider's layout."""
+    return schedules_from(flights(spark, sf_dir))
 
+
+def schedules_from(documents: DataFrame) -> DataFrame:
     def minute(column: str) -> str:
         return f"CASE WHEN {column} RLIKE '^[12]' THEN substring(translate({column}, 'T', ' '), 1, 16) END"
 
-    flat = flights(spark, sf_dir).selectExpr("*", "flight_status = 'scheduled' AND airline.name = '5-LOW' AS lost")
+    flat = documents.selectExpr("*", "flight_status = 'scheduled' AND airline.name = '5-LOW' AS lost")
     return flat.selectExpr(
         "pos", "airline.iata AS airline_iata", "if(lost, NULL, flight.iata) AS flight_iata",
         "flight.codeshared.flight_iata AS cs_flight_iata", "departure.iata AS dep_iata", "arrival.iata AS arr_iata",
