@@ -44,4 +44,4 @@ def test_stages(spark, tmp_path):
 def test_registered():
     assert "pipeline" in entry_point.queries()
     numbers = {int(n[2:].split("_")[0]) for n in entry_point.queries() if n.startswith("op") and n[2].isdigit()}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
