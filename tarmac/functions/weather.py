@@ -70,6 +70,25 @@ def weather_struct(
     return picked
 
 
+#: The fields of a document that the five values come from.
+_DOCUMENT = "STRUCT<weather: ARRAY<STRUCT<main: STRING>>, main: STRUCT<temp: DOUBLE>, wind: STRUCT<speed: DOUBLE>, visibility: DOUBLE, rain: STRUCT<`1h`: DOUBLE>>"
+
+
+def weather_of_variant(doc: Column) -> Column:
+    """The five fields of a VARIANT document, whatever its form: a standard document, one wrapped in ``raw_data``, or one whose
+    ``weather`` is a plain text. A field of another type counts as missing; null without a document."""
+    named = F.struct(
+        *[
+            F.try_variant_get(doc, f"$.{name}", kind).alias(name)
+            for name, kind in (("weather", "ARRAY<STRUCT<main: STRING>>"), ("main", "STRUCT<temp: DOUBLE>"), ("wind", "STRUCT<speed: DOUBLE>"), ("visibility", "DOUBLE"), ("rain", "STRUCT<`1h`: DOUBLE>"))
+        ]
+    )
+    is_text = F.schema_of_variant(F.try_variant_get(doc, "$.weather", "VARIANT")) == "STRING"
+    text = F.when(is_text, F.try_variant_get(doc, "$.weather", "STRING"))
+    packed = weather_struct(standard=named, raw_data=F.try_variant_get(doc, "$.raw_data", _DOCUMENT), legacy_text=text)
+    return F.when(doc.isNotNull() & ~F.is_variant_null(doc), packed)
+
+
 def weather_columns(packed: Column, prefix: str) -> dict[str, Column]:
     """The packed struct as ``{prefix}temperature`` ... columns."""
     return {f"{prefix}{name}": packed.getField(name) for name in WEATHER_FIELDS}

@@ -26,6 +26,13 @@ def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+def read_variants(spark: SparkSession, path: str, into: str = "doc") -> DataFrame:
+    """JSON array files as one VARIANT per document: nothing has to be declared, and no field is lost. A file that holds no
+    array gives no rows."""
+    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    return files.select(F.explode(F.from_json("value", "ARRAY<VARIANT>", {"mode": "PERMISSIVE"})).alias(into))
+
+
 def read_flights(spark: SparkSession, path: str) -> DataFrame:
     return read_json_array(spark, path, FLIGHT)
 

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tarmac.functions import weather as wx
 from tarmac.operators import profile, shape
 from tarmac.plans import jobs, models
 from tarmac.session import scratch_path
@@ -202,6 +203,32 @@ def collect_weather(spark, sf):
     return tables.read_table(spark, table).select("_id", "day", F.unix_micros("collected_instant").alias("at"), "role")
 
 
+@query(f"""WITH {WEATHER_SQL}
+SELECT concat_ws('-', id, CAST(temperature AS INTEGER), epoch_us(collected_at)) AS _id, temperature, wind_speed, precipitation, weather_bad, CAST(split_part(id, '-', 3) AS BIGINT) AS station,
+  CASE WHEN split_part(id, '-', 2) = '1' THEN 2 ELSE 1 END AS version FROM weather""")
+def weather_variants(spark, sf):
+    # Documents with fields that no schema declares, landed, upserted twice, and read by typed paths.
+    part = F.split("_id", "-")
+    rows = weather(spark, sf).withColumns({"order": part[0].cast("long"), "station": F.struct(part[2].cast("long").alias("code"))})
+    rows = rows.withColumn("_id", F.concat_ws("-", "_id", F.col("main.temp").cast("int"), F.unix_micros("collected_at")))
+    table = scratch_path(spark, "variants")
+
+    def land(documents, version):
+        versioned = documents.withColumn("version", F.lit(version))
+        landed = landing.read_variants(spark, _files(versioned, scratch_path(spark, "land"), "order"))
+        keyed = {"_id": "$._id", "name": "$.name"}
+        batch = landed.select("doc", *[F.try_variant_get("doc", p, "string").alias(c) for c, p in keyed.items()], F.lit(version).alias("at"))
+        tables.upsert_table(batch, table, "_id", ["at"], "name")
+
+    land(rows, 1)
+    land(rows.where(part[1] == "1"), 2)
+    read = tables.read_table(spark, table)
+    packed = wx.weather_of_variant(F.col("doc"))
+    more = [F.try_variant_get("doc", "$.station.code", "long").alias("station"), F.try_variant_get("doc", "$.version", "int").alias("version")]
+    kept = ("temperature", "wind_speed", "precipitation", "weather_bad")
+    return read.select("_id", packed.alias("w"), *more).select("_id", *[f"w.{c}" for c in kept], "station", "version")
+
+
 @query("SELECT event_id, 'k' AS name, CAST(json_extract(props, '$.k') AS BIGINT) AS value FROM events")
 def map_rows(spark, sf):
     events = load(spark, sf, "events").select("event_id", F.from_json("props", "map<string,bigint>").alias("m"))
