@@ -15,6 +15,9 @@ looked for. Many of these share words, so of overlapping hits in them the one wi
 A template is aligned only in documents and windows that hold so many of its words, each as often as the template at most, that
 a hit is possible.
 
+Words that tell one license from another are few. A known text of up to ``WHOLE`` words, or one line that gives an identifier, must be there
+whole. In one of less than ``LONG`` words no number and no word that names a license may stand where the text has another.
+
 Words are runs of letters and digits, lower case. Defined results: a null or empty text has no hits; identical texts
 have identical hits; templates without words are never found; an empty table gives no rows.
 """
@@ -44,6 +47,19 @@ NOTICES = {
     "reserved": "All rights reserved",
 }
 LEAST = 0.8
+#: Known texts of up to so many words must be matched whole; in those below ``LONG`` words other numbers and names count against a hit.
+WHOLE = 5
+LONG = 100
+#: Words that name a license.
+NAMES = frozenset(
+    "affero apache attribution bsd cc commons creative general gnu isc lesser mit mozilla nc nd noncommercial noderivatives sa sharealike "
+    "agpl cc0 clause gpl identifier lgpl mpl reserved spdx".split()
+)
+#: One line that names a license, for every license with a known text.
+IDENTIFIERS = {
+    f"{name}:identifier": f"SPDX-License-Identifier: {name}"
+    for name in sorted({n.partition(":")[0] for n in NOTICES | TEXTS} - {"reserved", "BSD"})
+}
 _WORD = re.compile(r"[^\W_]+")
 _HIT = "license string, coverage double, start int, end int"
 
@@ -122,16 +138,22 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
 class Scanner:
     """Templates with the words that call for an alignment."""
 
-    def __init__(self, templates: dict[str, str], least: float = LEAST):
-        self.least = least
+    def __init__(self, templates: dict[str, str], least: float = LEAST, decisive: bool = False):
+        """``decisive``: very short templates must be matched whole, and others not against a number or name that is another."""
         self.templates = {n: [w.lower() for w in _WORD.findall(t)] for n, t in templates.items()}
         self.templates = {n: w for n, w in self.templates.items() if w}
+        whole = {n for n, w in self.templates.items() if decisive and (len(w) <= WHOLE or w[0] == "spdx")}
+        self.needed = {n: len(w) if n in whole else max(1, -int(-least * len(w) // 1)) for n, w in self.templates.items()}
+        self.musts = {
+            n: {i for i, x in enumerate(w) if x.isdigit() or x in NAMES} if decisive and len(w) < LONG else set()
+            for n, w in self.templates.items()
+        }
         times = Counter(w for words in self.templates.values() for w in set(words))
         self.calls: dict[str, list[tuple[str, int]]] = {}
         self.counts: dict[str, Counter] = {}
         for name, words in self.templates.items():
             # A hit may lack some words of the template, so one more than that many words call for it.
-            missing = len(words) - _needed(words, least)
+            missing = len(words) - self.needed[name]
             own = Counter(words)
             self.counts[name] = own
             order = sorted(range(len(words)), key=lambda i: (times[words[i]], own[words[i]], -len(words[i]), i))
@@ -158,15 +180,26 @@ class Scanner:
                 if not self._possible(name, words[begin:end], end - begin):
                     continue
                 pairs = align(words[begin:end], template)
-                if len(pairs) >= _needed(template, self.least):
+                if len(pairs) >= self.needed[name] and not self._another(name, words[begin:end], pairs):
                     first, last = begin + pairs[0][0], begin + pairs[-1][0]
                     hits.append((name, len(pairs) / len(template), found[first].start(), found[last].end()))
                     free[name] = last + 1
         return sorted(hits, key=lambda h: (h[2], h[0]))
 
+    def _another(self, name: str, words: list[str], pairs: list[tuple[int, int]]) -> bool:
+        """Whether a number or name of the template is missed and the text has another in its place."""
+        missed = self.musts[name] - {j for _, j in pairs}
+        for place in missed:
+            k = bisect.bisect([j for _, j in pairs], place)
+            after = pairs[k - 1][0] + 1 if k else 0
+            upto = pairs[k][0] if k < len(pairs) else after + 2
+            if any(w.isdigit() or w in NAMES for w in words[after if k else max(0, upto - 2) : upto]):
+                return True
+        return False
+
     def _possible(self, name: str, words, size: int) -> bool:
         """Whether so many words, with their counts or as a list, can hold a hit: each matches as often as it is in both at most."""
-        own, needed = self.counts[name], _needed(self.templates[name], self.least)
+        own, needed = self.counts[name], self.needed[name]
         missing = len(self.templates[name]) - needed
         if size < needed or len(own.keys() & (words.keys() if isinstance(words, Counter) else set(words))) < len(own) - missing:
             return False
@@ -182,21 +215,17 @@ class Scanner:
         return sorted(((name.partition(":")[0], *rest) for name, *rest in kept), key=lambda h: (h[2], h[0]))
 
 
-def _needed(words: list[str], least: float) -> int:
-    return max(1, -int(-least * len(words) // 1))
-
-
 def scan(
     df: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """One row per notice: ``key``, ``license``, ``coverage``, ``start`` and ``end`` (code points, end exclusive)."""
     worker_path(df.sparkSession)
-    known = NOTICES | TEXTS if templates is None else templates
+    known = NOTICES | TEXTS | IDENTIFIERS if templates is None else templates
     fields = [c.split()[0] for c in _HIT.split(", ")]
 
     @F.pandas_udf(f"array<struct<{_HIT.replace(' ', ':').replace(',:', ',')}>>")
     def hits(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scanner = Scanner(known, least)
+        scanner = Scanner(known, least, decisive=templates is None)
         of = scanner.best if templates is None else scanner.scan
         for part in parts:
             yield part.map(lambda body: [dict(zip(fields, hit, strict=True)) for hit in of(body)])

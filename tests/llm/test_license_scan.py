@@ -79,3 +79,36 @@ def test_every_license_text_is_found_once():
         assert [h[0] for h in hits] == [name.partition(":")[0]], (name, hits)
         assert hits[0][1] == 1
     assert scanner.best("the software is provided to any person and this permission is granted " * 50) == []
+
+
+@pytest.mark.parametrize(
+    "text, license",
+    [
+        ("Released under the MIT License.", "MIT"), ("Released under the BSD License.", None), ("released under the new license", None),
+        ("Released under the ISC license", None), ("Released under the GPL License", None),
+        ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+        ("This work is licensed under the GNU General Public License, version 2.", None),
+        ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "MPL-2.0"),
+        ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.", None),
+        ("// SPDX-License-Identifier: Apache-2.0", "Apache-2.0"), ("SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0"),
+        ("SPDX-License-Identifier: Zlib", None), ("Licensed under CC BY-NC 4.0", "CC-BY-NC-4.0"), ("Licensed under CC BY-NC 2.5", None),
+    ],
+)
+def test_names_and_versions_decide(text, license):
+    known = license_scan.NOTICES | license_scan.TEXTS | license_scan.IDENTIFIERS
+    scanner = license_scan.Scanner(known, decisive=True)
+    padded = f"Some words before it stand here. {text} And some words come after it."
+    assert [h[0] for h in scanner.best(padded)] == ([license] if license else [])
+
+
+def test_unchanged_notices_are_found_among_their_own_words():
+    rng = random.Random(7)
+    known = license_scan.NOTICES
+    scanner = license_scan.Scanner(known, decisive=True)
+    for _ in range(60):
+        body = [rng.choice(["the", "license", "river", "under", "work", "terms"]) for _ in range(60)]
+        names = rng.sample(sorted(known), 2)
+        for name, at in zip(names, (40, 20)):
+            body[at:at] = [*known[name].split(), "river"]
+        hits = scanner.best(" ".join(body))
+        assert {h[0] for h in hits} == set(names) and all(h[1] == 1.0 for h in hits)
