@@ -160,9 +160,12 @@ def op7_license_scan(spark, sf):
 def op8_pii(spark, sf):
     """Spans of personal data in every text: fixed patterns and learnt contexts."""
     found = pii.find(_table(spark, sf, "documents", "doc_id", "text"))
-    counts = [
-        F.size(F.filter("base", lambda s, k=i: s["kind"] == k)).cast("long").alias(f"n_{name}") for i, name in enumerate(pii.KINDS)
-    ]
+
+    def of(kind):
+        # A second parameter of the lambda, even one with a default, would be the place in the array.
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [of(i).alias(f"n_{name}") for i, name in enumerate(pii.KINDS)]
     told = pii.told(F.col("base"))
     return found.select("doc_id", *counts, F.sha2(told, 256).alias("base_sha256"), pii.told(F.col("spans")).alias("spans"))
 

@@ -1,5 +1,6 @@
 """Fixed patterns against plain regular expressions, learnt contexts, masking and odd rows."""
 
+import hashlib
 import random
 import re
 import time
@@ -7,6 +8,7 @@ import time
 import pytest
 
 from tarmac.llm import pii
+from tarmac.llm.queries import QUERIES
 
 #: The contract's patterns.
 PLAIN = [
@@ -101,3 +103,19 @@ def test_rounds_go_on_until_nothing_new_is_found(spark):
     rows += [(f"p{k}-{j}", f"id{k + 1}-{j}", -1) for k in range(5) for j in range(10)]
     found = pii.bootstrap(spark.createDataFrame(rows, "pattern string, instance string, kind int")).collect()
     assert {r.instance for r in found} == {f"id{k}-{i}" for k in range(1, 6) for i in range(10)}
+
+
+def test_the_query_counts_each_kind_wherever_it_stands(spark, tmp_path):
+    rng = random.Random(7)
+    parts = ["a.b@c.org", "x@y.example.com", "10.0.0.1", "300.1.1.1", "4111 1111 1111 1111", "4111111111111112", "+1 (310) 555-1001", "é 😀", "so"]
+    texts = ["two a@b.co and c@d.co", "+44 20 7946 0958 or 1.2.3.4", None, ""]
+    texts += [" ".join(rng.choices(parts, k=rng.randrange(1, 12))) for _ in range(60)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: tuple(r)[1:6] for r in QUERIES["op8_pii"](spark, str(tmp_path)).collect()}
+    want = {}
+    for i, text in enumerate(texts):
+        spans = plain(text or "")
+        told = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+        counts = [sum(k == kind for _, k, _ in spans) for kind in range(4)]
+        want[i] = (*counts, hashlib.sha256(told.encode()).hexdigest())
+    assert got == want
