@@ -6,8 +6,10 @@ sketch is the hash of that sequence: texts share it if they share the runs and t
 sequence are used, a short one that finds every similar pair and a long one that only very similar texts share.
 
 Texts with the same words are one text from the start. All members of a short or long bucket meet the bucket's least
-member; then members of a bucket that are still in different components meet each other, each pair once, if the counts of their
-labelled runs, by parts of the hashes, leave the similarity possible. A pair is verified by aligning the
+member; those of a bucket with more than ``MEET`` open members also meet its pivot, one with much company in such buckets. Then members
+of a bucket that are still in different components meet each other, each pair once: in smaller buckets if the counts of their
+labelled runs, by parts of the hashes, leave the similarity possible, in larger ones if their differences from the pivot do (see
+``_unlike_pivot``). A pair is verified by aligning the
 sequences of five-word runs, within the band that a similarity at the threshold can leave at most: runs
 matched in order over all runs must be ``least`` or more. Components of the verified pairs are the classes. No pair is made
 that the components already answer, and no group is gathered in one task.
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tarmac.llm.common import shielded, text_of, worker_path
 from tarmac.llm.components import components
@@ -45,6 +47,8 @@ MAX_HASHES = 2_000_000
 _WORDS = re.compile(r"\w+")
 #: Labelled runs are counted by so many leading bits of their hashes.
 COUNT_BITS = 7
+#: Open members of a bucket that meet pair by pair; those of larger ones are told apart by their differences from a pivot.
+MEET = 32
 _MEASURED = "doc_id long, raw binary, node binary, sketches array<long>, counts binary, body binary"
 
 
@@ -229,6 +233,95 @@ def verified(pairs: DataFrame, bodies: DataFrame, least: float = LEAST) -> DataF
     return cut_lineage(pairs.join(first, "u").join(second, "v").mapInPandas(align, "u binary, v binary"))
 
 
+def _still_open(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """Stored members, with ``label``, of buckets that hold several components, without the least members, which met all others."""
+    label = F.coalesce("least", "node").alias("label")
+    named = cut_lineage(members.join(groups, "node", "left").select("key", "node", "leader", label))
+    mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    return cut_lineage(named.join(cut_lineage(mixed.select("key")), "key", "left_semi").where("node <> leader"))
+
+
+def _pivots(open_: DataFrame, large: DataFrame) -> DataFrame:
+    """Stored pairs of a pivot ``u`` and each open member ``v`` of the large buckets it is the pivot of.
+
+    Every member knows the one with the most company in the buckets it is in, and the one that most members of a bucket know is
+    its pivot, so that buckets of one template share theirs.
+    """
+    inside = cut_lineage(open_.join(large, "key").select("key", "node", "n"))
+    company = cut_lineage(inside.groupBy("node").agg(F.sum("n").alias("company")))
+    most = inside.join(company, "node").groupBy("key").agg(F.max(F.struct("company", "node")).alias("most"))
+    known = inside.join(cut_lineage(most), "key").groupBy("node").agg(F.max("most").alias("most"))
+    votes = inside.join(cut_lineage(known.select("node", F.col("most.node").alias("u"))), "node").groupBy("key", "u").agg(F.count("*").alias("n"))
+    chosen = votes.groupBy("key").agg(F.max(F.struct("n", "u")).alias("most")).select("key", "most.u")
+    return cut_lineage(inside.join(cut_lineage(chosen), "key").select("u", F.col("node").alias("v")).distinct())
+
+
+def compared(pairs: DataFrame, bodies: DataFrame, least: float = LEAST) -> DataFrame:
+    """The stored pairs with ``alike``, ``size`` (labelled runs of ``v``) and ``diff``, the labelled runs that only one of the two has."""
+    fields = "u binary, v binary, alike boolean, size long, diff array<long>"
+
+    def differ(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        packer = zstandard.ZstdDecompressor()
+        for part in parts:
+            rows = []
+            for u, v, *packed in zip(part["u"], part["v"], part["a"], part["b"], strict=True):
+                a, b = (packer.decompress(x).decode().split(" ") for x in packed)
+                one, two = labelled(runs_of(a)), labelled(runs_of(b))
+                rows.append((u, v, u != v and similarity(a, b, least) >= least, len(two), np.setxor1d(one, two).view(np.int64)))
+            yield pd.DataFrame(rows, columns=[f.split()[0] for f in fields.split(", ")])
+
+    first = bodies.select(F.col("node").alias("u"), F.col("body").alias("a"))
+    second = bodies.select(F.col("node").alias("v"), F.col("body").alias("b"))
+    return cut_lineage(pairs.join(first, "u").join(second, "v").mapInPandas(differ, fields))
+
+
+def _leaves(size_u: Column, size_v: Column, least: float) -> Column:
+    """How many labelled runs only one of two similar texts may have at most."""
+    total = size_u + size_v
+    return total - 2 * F.ceil(total * F.lit(least / (1 + least)) - F.lit(1e-9))
+
+
+def _unlike_pivot(against: DataFrame, groups: DataFrame, least: float) -> DataFrame:
+    """Pairs ``u`` < ``v`` in different components that differ from a pivot in much the same runs; no similar pair with that pivot is missing.
+
+    What differs between two texts is what differs between their differences from a third. A pair with small differences
+    is possible by their sizes alone. Any other has a run in common in them, and with the rarest runs first the first one in common
+    is not behind more runs than the other text may lack. Members of the pivot's own component do not meet each other.
+    """
+    of_v = groups.select(F.col("node").alias("v"), F.col("least").alias("label"))
+    of_u = groups.select(F.col("node").alias("u"), F.col("least").alias("home"))
+    label, home = F.coalesce("label", "v"), F.coalesce("home", "u")
+    named = against.join(of_v, "v", "left").join(of_u, "u", "left")
+    each = cut_lineage(
+        named.select(
+            F.col("u").alias("pivot"), "v", "size", F.size("diff").alias("width"), label.alias("label"), (label != home).alias("stray"),
+            F.floor(F.col("size") * F.lit((1 - least) / least) + F.lit(1e-9)).alias("most"), "diff",
+        )
+    )
+    runs = each.select("pivot", "v", "size", "width", "label", "stray", "most", F.explode("diff").alias("run"))
+    # Runs that no pair to be told apart has in common stand first: those of one member, and those of the pivot's component alone.
+    often = runs.groupBy("pivot", "run").agg(F.count("*").alias("n"), F.max("stray").alias("met")).where("n > 1 and met")
+    shared = runs.join(cut_lineage(often.drop("met")), ["pivot", "run"])
+    own = W.partitionBy("pivot", "v")
+    at = F.row_number().over(own.orderBy("n", "run")) - 1 + F.col("width") - F.count("*").over(own)
+    placed = shared.withColumn("at", at).where("at <= most")
+    placed = cut_lineage(placed.select("pivot", "run", "v", "size", "width", "label", "stray", "at"))
+
+    def paired(rows: DataFrame, on: list[str], possible) -> DataFrame:
+        one = rows.where("stray").select(*[F.col(c).alias(f"{c}_1") for c in rows.columns])
+        two = rows.select(*[F.col(c).alias(f"{c}_2") for c in rows.columns])
+        same = [F.col(f"{c}_1") == F.col(f"{c}_2") for c in on]
+        leaves = _leaves(F.col("size_1"), F.col("size_2"), least)
+        met = one.join(two, [*same, F.col("label_1") != F.col("label_2"), possible(leaves)])
+        return met.select(F.least("v_1", "v_2").alias("u"), F.greatest("v_1", "v_2").alias("v"))
+
+    wider = F.col("width_1") - F.col("width_2")
+    near = each.where("width <= most").drop("diff", "most")
+    pairs = paired(placed, ["pivot", "run"], lambda k: (F.col("at_1") * 2 <= k + wider) & (F.col("at_2") * 2 <= k - wider))
+    pairs = pairs.union(paired(near, ["pivot"], lambda k: F.col("width_1") + F.col("width_2") <= k))
+    return cut_lineage(pairs.distinct())
+
+
 def links(measured: DataFrame, least: float = LEAST) -> DataFrame:
     """Components (``node``, ``least``) of the verified pairs of distinct texts; texts without a pair are left out."""
     texts = measured.where("node is not null").groupBy("node").agg(F.first("sketches").alias("sketches"))
@@ -246,11 +339,16 @@ def links(measured: DataFrame, least: float = LEAST) -> DataFrame:
     bodies = cut_lineage(held.groupBy("node").agg(F.min("body").alias("body")))
     found = verified(stars, bodies, least)
     groups = cut_lineage(components(found))
-    # Members of a bucket that are still in different components meet, each pair in the first bucket it shares.
-    label = F.coalesce("least", "node").alias("label")
-    named = cut_lineage(members.join(groups, "node", "left").select("key", "node", "leader", label))
-    mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    open_ = cut_lineage(named.join(cut_lineage(mixed.select("key")), "key", "left_semi").where("node <> leader"))
+    open_ = _still_open(members, groups)
+    large = cut_lineage(open_.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > MEET))
+    apart = None
+    if not large.isEmpty():
+        against = compared(_pivots(open_, large), bodies, least)
+        found = cut_lineage(found.union(against.where("alike").select("u", "v")))
+        groups = cut_lineage(components(found))
+        apart = _unlike_pivot(against, groups, least)
+        open_ = _still_open(members, groups).join(large, "key", "left_anti")
+    # In the other buckets each pair meets in the first bucket it shares.
     names = cut_lineage(open_.select("node").distinct())
     few = F.broadcast(names) if names.count() <= MAX_SENT else names
     counts = measured.where("node is not null").join(few, "node", "left_semi").groupBy("node").agg(F.min("counts").alias("counts"))
@@ -269,6 +367,7 @@ def links(measured: DataFrame, least: float = LEAST) -> DataFrame:
             yield part.loc[may_match(a, b, least), ["u", "v"]]
 
     meet = cut_lineage(meet.select("u", "v", "cu", "cv").mapInPandas(possible, "u binary, v binary"))
+    meet = meet if apart is None else meet.union(apart).distinct()
     fresh = cut_lineage(meet.select("u", "v").join(stars, ["u", "v"], "left_anti"))
     if fresh.isEmpty():
         return groups

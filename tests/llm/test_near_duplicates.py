@@ -236,3 +236,49 @@ def test_counts_never_rule_out_similar_texts():
             np.frombuffer(order_minhash.counts_of(order_minhash.labelled(order_minhash.runs_of(w))), dtype="<u4")[None, :] for w in (a, b)
         )
         assert order_minhash.similarity(a, b) < 0.8 or order_minhash.may_match(one, two)[0]
+
+
+def template(rng, n, length=150, edits=(1, 12, 15, 18)):
+    """Texts on one template, most of them too far from it and from each other, and pairs of siblings among these."""
+    base = [f"t{i}" for i in range(length)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        for at in rng.sample(range(length), edits[i % 4]):
+            words[at] = f"c{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+        if i % 10 == 1:
+            words[rng.randrange(length)] = "x"
+            rows.append((1000 + i, " ".join(words[: length - rng.randrange(15)])))
+    return rows
+
+
+def test_members_on_a_template_do_not_all_meet(spark, monkeypatch):
+    # So long that counts by parts of the hashes rule out nothing.
+    rows = template(random.Random(15), 80, 3000, (1, 75, 80, 85))
+    words = {d: t.split() for d, t in rows}
+    linked = [(a, b) for a in words for b in words if b < a and order_minhash.similarity(words[a], words[b]) >= 0.8]
+    want = roots(words, linked)
+    sizes = {r: list(want.values()).count(r) for r in want.values()}
+    met, verified = [], order_minhash.verified
+    monkeypatch.setattr(order_minhash, "verified", lambda pairs, *rest: met.append(pairs.count()) or verified(pairs, *rest))
+    got = {r.doc_id: (r.class_id, r.class_size) for r in order_minhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {d: (r, sizes[r]) for d, r in want.items()}
+    # After the stars, and with 8 pairs of siblings to find.
+    assert sum(met[1:]) < 2 * len(rows)
+
+
+def test_pairs_by_their_differences_from_a_pivot_equal_all_pairs(spark):
+    rows = template(random.Random(16), 60)
+    measured = order_minhash.measure(spark.createDataFrame(rows, "doc_id long, text string"))
+    bodies = measured.select("node", "body")
+    for pivot in (0, 1, 2):
+        u = measured.where(F.col("doc_id") == pivot).select(F.col("node").alias("u"))
+        against = order_minhash.compared(u.crossJoin(bodies.select(F.col("node").alias("v"))), bodies)
+        found = order_minhash._unlike_pivot(against, components.components(against.where("alike").select("u", "v")), order_minhash.LEAST)
+        texts = {bytes(r.node): rows_ for r in measured.collect() for rows_ in [dict(rows)[r.doc_id].split()]}
+        home = {bytes(r.v) for r in against.where("alike").collect()} | {bytes(u.first().u)}
+        pairs = {(bytes(r.u), bytes(r.v)) for r in found.collect()}
+        assert all(a < b and not {a, b} <= home for a, b in pairs)
+        want = {(a, b) for a in texts for b in texts if a < b and not {a, b} <= home and order_minhash.similarity(texts[a], texts[b]) >= 0.8}
+        assert want and want <= pairs
