@@ -1,6 +1,9 @@
 """Line rules and counts on odd texts; the query is compared with SQL elsewhere."""
 
 import random
+import time
+
+from pyspark.sql import functions as F
 
 from tarmac.llm import line_quality
 
@@ -44,3 +47,19 @@ def test_nulls_long_texts_and_no_rows(spark):
     assert (out[2].n_words, out[2].n_repeat_words, out[2].kept) == (200_000, 200_000, False)
     assert (out[None].n_words, out[None].n_dup_lines, out[None].word_chars) == (0, 0, 0)
     assert line_quality.judge(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_marks_are_counted_in_about_the_same_time(spark):
+    text = "Plain words » of a line | with marks • and é 😀 too <b>. " * 4000
+    df = spark.createDataFrame([(text,)] * 24, "text string").repartition(4).localCheckpoint()
+
+    def seconds(marks):
+        best = []
+        for _ in range(3):
+            began = time.time()
+            got = {r[0] for r in df.select(line_quality._count(F.col("text"), marks)).collect()}
+            best.append(time.time() - began)
+            assert got == {sum(c in marks for c in text)}
+        return min(best)
+
+    assert seconds(line_quality.SEPARATORS) < 4 * seconds(line_quality.SYMBOLS) + 0.1
