@@ -8,7 +8,7 @@ sequence are used, a short one that finds every similar pair and a long one that
 Texts with the same words are one text from the start. All members of a short or long bucket meet the bucket's least
 member; those of a bucket with more than ``MEET`` open members also meet its pivot, one with much company in such buckets. Then members
 of a bucket that are still in different components meet each other, each pair once: in smaller buckets if the counts of their
-labelled runs, by parts of the hashes, leave the similarity possible, in larger ones if their differences from the pivot do (see
+labelled runs, by parts of the hashes, leave the similarity possible, in larger ones if what they have beyond the pivot does (see
 ``_unlike_pivot``). A pair is verified by aligning the
 sequences of five-word runs, within the band that a similarity at the threshold can leave at most: runs
 matched in order over all runs must be ``least`` or more. Components of the verified pairs are the classes. No pair is made
@@ -25,11 +25,13 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tarmac.llm.common import shielded, text_of, worker_path
 from tarmac.llm.components import components
@@ -47,8 +49,11 @@ MAX_HASHES = 2_000_000
 _WORDS = re.compile(r"\w+")
 #: Labelled runs are counted by so many leading bits of their hashes.
 COUNT_BITS = 7
-#: Open members of a bucket that meet pair by pair; those of larger ones are told apart by their differences from a pivot.
+#: Open members of a bucket that meet pair by pair; those of larger ones are told apart by what they have beyond a pivot.
 MEET = 32
+#: One in so many members of a large bucket tells which runs are frequent, up to so many runs, about 16 MB.
+COUNTED = 4
+MAX_COUNTED = 1_000_000
 _MEASURED = "doc_id long, raw binary, node binary, sketches array<long>, counts binary, body binary"
 
 
@@ -257,8 +262,8 @@ def _pivots(open_: DataFrame, large: DataFrame) -> DataFrame:
 
 
 def compared(pairs: DataFrame, bodies: DataFrame, least: float = LEAST) -> DataFrame:
-    """The stored pairs with ``alike``, ``size`` (labelled runs of ``v``) and ``diff``, the labelled runs that only one of the two has."""
-    fields = "u binary, v binary, alike boolean, size long, diff array<long>"
+    """The stored pairs with ``alike``, ``size`` (labelled runs of ``v``) and ``own``, those of them that ``u`` lacks."""
+    fields = "u binary, v binary, alike boolean, size long, own array<long>"
 
     def differ(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         packer = zstandard.ZstdDecompressor()
@@ -267,7 +272,7 @@ def compared(pairs: DataFrame, bodies: DataFrame, least: float = LEAST) -> DataF
             for u, v, *packed in zip(part["u"], part["v"], part["a"], part["b"], strict=True):
                 a, b = (packer.decompress(x).decode().split(" ") for x in packed)
                 one, two = labelled(runs_of(a)), labelled(runs_of(b))
-                rows.append((u, v, u != v and similarity(a, b, least) >= least, len(two), np.setxor1d(one, two).view(np.int64)))
+                rows.append((u, v, u != v and similarity(a, b, least) >= least, len(two), np.setdiff1d(two, one).view(np.int64)))
             yield pd.DataFrame(rows, columns=[f.split()[0] for f in fields.split(", ")])
 
     first = bodies.select(F.col("node").alias("u"), F.col("body").alias("a"))
@@ -275,51 +280,90 @@ def compared(pairs: DataFrame, bodies: DataFrame, least: float = LEAST) -> DataF
     return cut_lineage(pairs.join(first, "u").join(second, "v").mapInPandas(differ, fields))
 
 
-def _leaves(size_u: Column, size_v: Column, least: float) -> Column:
-    """How many labelled runs only one of two similar texts may have at most."""
-    total = size_u + size_v
-    return total - 2 * F.ceil(total * F.lit(least / (1 + least)) - F.lit(1e-9))
+def _common(size_u: Column, size_v: Column, least: float) -> Column:
+    """How many labelled runs two similar texts have in common at least."""
+    return F.ceil((size_u + size_v) * F.lit(least / (1 + least)) - F.lit(1e-9))
+
+
+def _rarest_first(each: DataFrame) -> DataFrame:
+    """Stored rows of ``each`` with ``at`` and ``run``, for as many of their runs as the other text may lack, and one more: the rarest first.
+
+    Any order will do that all members of a pivot share, so it need not be exact: runs are counted over one in ``COUNTED`` members, and the
+    counts of the ``MAX_COUNTED`` most frequent ones are sent to the tasks. All others are of equal rank and stand by their hashes.
+    """
+
+    def named(pivot: bytes, own: np.ndarray) -> np.ndarray:
+        return _mix(own.astype(np.int64).view(np.uint64) ^ np.frombuffer(pivot[:8], dtype=np.uint64)).view(np.int64)
+
+    def listed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            runs = [named(p, own) for p, own in zip(part["pivot"], part["own"], strict=True)]
+            yield pd.DataFrame({"run": np.concatenate(runs) if runs else np.empty(0, dtype=np.int64)})
+
+    some = each.where(F.pmod(F.xxhash64("v"), F.lit(COUNTED)) == 0).select("pivot", "own").mapInPandas(listed, "run long")
+    often = some.groupBy("run").agg(F.count("*").alias("n")).where("n > 1")
+    often = often.orderBy(F.desc("n"), "run").limit(MAX_COUNTED).toPandas().sort_values("run")
+    told = each.sparkSession.sparkContext.broadcast((often["run"].to_numpy(dtype=np.int64), often["n"].to_numpy(dtype=np.int64)))
+    kept = ["pivot", "v", "size", "label", "stray"]
+
+    def place(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counted, counts = told.value
+        for part in parts:
+            places = []
+            for pivot, own, most in zip(part["pivot"], part["own"], part["most"], strict=True):
+                runs = named(pivot, own)
+                if len(counted) and len(runs):
+                    near = np.minimum(np.searchsorted(counted, runs), len(counted) - 1)
+                    often = np.where(counted[near] == runs, counts[near], 0)
+                    runs = runs[np.lexsort((runs, often))]
+                else:
+                    runs = np.sort(runs)
+                places.append(runs[: most + 1])
+            lengths = [len(x) for x in places]
+            out = part.loc[np.repeat(part.index, lengths), kept].reset_index(drop=True)
+            out["at"] = np.concatenate([np.arange(n) for n in lengths]) if lengths else np.empty(0, dtype=np.int64)
+            out["run"] = np.concatenate(places) if lengths else np.empty(0, dtype=np.int64)
+            yield out
+
+    fields = "pivot binary, v binary, size long, label binary, stray boolean, at long, run long"
+    return cut_lineage(each.select(*kept, "own", "most").mapInPandas(place, fields))
 
 
 def _unlike_pivot(against: DataFrame, groups: DataFrame, least: float) -> DataFrame:
-    """Pairs ``u`` < ``v`` in different components that differ from a pivot in much the same runs; no similar pair with that pivot is missing.
+    """Pairs ``u`` < ``v`` in different components that have much the same runs beyond a pivot; no similar pair with that pivot is missing.
 
-    What differs between two texts is what differs between their differences from a third. A pair with small differences
-    is possible by their sizes alone. Any other has a run in common in them, and with the rarest runs first the first one in common
-    is not behind more runs than the other text may lack. Members of the pivot's own component do not meet each other.
+    Of two similar texts neither has more runs that the other lacks than ``_common`` leaves it, and so it is with what each has
+    beyond a third text. A pair with so few runs beyond the pivot is possible by their numbers alone. Any other has one of these runs in
+    common, and in an order they share the first one in common is not behind more runs than the other text may lack. Runs that the
+    pivot alone has are not needed, nor those behind too many for every size there is. Members of the pivot's own component do not meet
+    each other.
     """
     of_v = groups.select(F.col("node").alias("v"), F.col("least").alias("label"))
     of_u = groups.select(F.col("node").alias("u"), F.col("least").alias("home"))
     label, home = F.coalesce("label", "v"), F.coalesce("home", "u")
-    named = against.join(of_v, "v", "left").join(of_u, "u", "left")
+    shortest = cut_lineage(against.groupBy("u").agg(F.min("size").alias("shortest")))
+    named = against.join(of_v, "v", "left").join(of_u, "u", "left").join(shortest, "u")
+    # A similar text has no fewer runs than this share of the own ones.
+    other = F.greatest("shortest", F.ceil(F.col("size") * F.lit(least) - F.lit(1e-9)))
     each = cut_lineage(
         named.select(
-            F.col("u").alias("pivot"), "v", "size", F.size("diff").alias("width"), label.alias("label"), (label != home).alias("stray"),
-            F.floor(F.col("size") * F.lit((1 - least) / least) + F.lit(1e-9)).alias("most"), "diff",
+            F.col("u").alias("pivot"), "v", "size", F.size("own").alias("width"), label.alias("label"), (label != home).alias("stray"),
+            (F.col("size") - _common(F.col("size"), other, least)).alias("most"), "own",
         )
     )
-    runs = each.select("pivot", "v", "size", "width", "label", "stray", "most", F.explode("diff").alias("run"))
-    # Runs that no pair to be told apart has in common stand first: those of one member, and those of the pivot's component alone.
-    often = runs.groupBy("pivot", "run").agg(F.count("*").alias("n"), F.max("stray").alias("met")).where("n > 1 and met")
-    shared = runs.join(cut_lineage(often.drop("met")), ["pivot", "run"])
-    own = W.partitionBy("pivot", "v")
-    at = F.row_number().over(own.orderBy("n", "run")) - 1 + F.col("width") - F.count("*").over(own)
-    placed = shared.withColumn("at", at).where("at <= most")
-    placed = cut_lineage(placed.select("pivot", "run", "v", "size", "width", "label", "stray", "at"))
-
-    def paired(rows: DataFrame, on: list[str], possible) -> DataFrame:
+
+    def paired(rows: DataFrame, on: list[str], lacks: str) -> DataFrame:
+        """Pairs of which neither lacks more runs of the other than it may."""
         one = rows.where("stray").select(*[F.col(c).alias(f"{c}_1") for c in rows.columns])
         two = rows.select(*[F.col(c).alias(f"{c}_2") for c in rows.columns])
         same = [F.col(f"{c}_1") == F.col(f"{c}_2") for c in on]
-        leaves = _leaves(F.col("size_1"), F.col("size_2"), least)
-        met = one.join(two, [*same, F.col("label_1") != F.col("label_2"), possible(leaves)])
+        common = _common(F.col("size_1"), F.col("size_2"), least)
+        possible = [F.col(f"size_{i}") - F.col(f"{lacks}_{i}") >= common for i in (1, 2)]
+        met = one.join(two, (F.col("label_1") != F.col("label_2")) & reduce(and_, same + possible))
         return met.select(F.least("v_1", "v_2").alias("u"), F.greatest("v_1", "v_2").alias("v"))
 
-    wider = F.col("width_1") - F.col("width_2")
-    near = each.where("width <= most").drop("diff", "most")
-    pairs = paired(placed, ["pivot", "run"], lambda k: (F.col("at_1") * 2 <= k + wider) & (F.col("at_2") * 2 <= k - wider))
-    pairs = pairs.union(paired(near, ["pivot"], lambda k: F.col("width_1") + F.col("width_2") <= k))
-    return cut_lineage(pairs.distinct())
+    few = each.where("width <= most").drop("own", "most")
+    return cut_lineage(paired(_rarest_first(each), ["pivot", "run"], "at").union(paired(few, ["pivot"], "width")).distinct())
 
 
 def links(measured: DataFrame, least: float = LEAST) -> DataFrame:

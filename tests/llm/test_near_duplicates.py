@@ -282,3 +282,36 @@ def test_pairs_by_their_differences_from_a_pivot_equal_all_pairs(spark):
         assert all(a < b and not {a, b} <= home for a, b in pairs)
         want = {(a, b) for a in texts for b in texts if a < b and not {a, b} <= home and order_minhash.similarity(texts[a], texts[b]) >= 0.8}
         assert want and want <= pairs
+
+
+def test_members_bring_no_more_runs_than_tell_them_apart(spark):
+    rng = random.Random(17)
+    word = lambda: f"o{rng.randrange(10**6)}"
+    # One long repeated passage, a part that half of the members share, then a text of their own; every fifth has a sibling.
+    passage, half, rows = ["is", "on"] * 60, [word() for _ in range(20)], [(0, " ".join(["is", "on"] * 60 + ["end", *(word() for _ in range(30))]))]
+    for i in range(1, 60):
+        words = passage + (half if i % 2 else []) + [word() for _ in range(50)]
+        rows.append((i, " ".join(words)))
+        if i % 5 == 0:
+            words[-rng.randrange(1, 9)] = "x"
+            rows.append((1000 + i, " ".join(words + [word()])))
+    texts = {d: t.split() for d, t in rows}
+    node = {d: hashlib.blake2b(t.encode(), digest_size=16).digest() for d, t in rows}
+    bodies = order_minhash.measure(spark.createDataFrame(rows, "doc_id long, text string")).select("node", "body")
+    pivot = bodies.where(F.col("node") == F.lit(node[0])).select(F.col("node").alias("u"))
+    against = order_minhash.compared(pivot.crossJoin(bodies.select(F.col("node").alias("v"))), bodies)
+    named = {d: set(order_minhash.labelled(order_minhash.runs_of(w)).view(np.int64).tolist()) for d, w in texts.items()}
+    assert {bytes(r.v): set(r.own) for r in against.collect()} == {node[d]: named[d] - named[0] for d in texts}
+    met, placed = [], order_minhash._rarest_first
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(order_minhash, "_rarest_first", lambda each: met.append(placed(each)) or met[0])
+        found = order_minhash._unlike_pivot(against, spark.createDataFrame([], "node binary, least binary"), order_minhash.LEAST)
+    pairs = {(bytes(r.u), bytes(r.v)) for r in found.collect()}
+    want = {
+        tuple(sorted((node[a], node[b]))) for a in texts for b in texts
+        if 0 < a < b and order_minhash.similarity(texts[a], texts[b]) >= 0.8
+    }
+    assert len(want) == 11 and want <= pairs and len(pairs) < 3 * len(rows)
+    brought = met[0].groupBy("v").agg(F.count("*").alias("n"), F.first("size").alias("size")).collect()
+    assert all(r.n <= 0.2 * r.size + 1 for r in brought)
+    assert sum(r.n for r in brought) < 0.7 * sum(len(named[d] - named[0]) for d in texts)
