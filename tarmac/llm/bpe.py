@@ -6,7 +6,8 @@ texts ask for: a state stands for all tokens begun and not ended (each is a suff
 are the tokens that end there. A byte sequence is the BPE of its text exactly if every two neighbouring tokens are, and
 every prefix of a text has one encoding, so exactly one token that ends at a byte goes with the token before it.
 A token is told as soon as all tokens begun lie beyond it or lead back to it; no token is longer than the longest of the vocabulary, which bounds
-the lookahead. Memos of neighbours and of matches seen lately are emptied when they are full, which changes no result.
+the lookahead. Unseen matches of several texts go through the machine together, a byte of each at a time. Memos of neighbours and of matches
+seen lately are emptied when they are full, which changes no result.
 
 Decoding joins the tokens' bytes in blocks and turns them to text with a state machine that carries an
 unfinished UTF-8 sequence from block to block.
@@ -22,10 +23,15 @@ replaced, all others are kept.
 from __future__ import annotations
 
 import base64
+import gc
+import re
 import sys
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import compress, repeat
+from operator import is_
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -38,6 +44,12 @@ MAX_PAIRS = 400_000
 MAX_MATCHES = 600_000
 #: Within one match, tokens are told every so many bytes.
 TOLD_BYTES = 1 << 12
+#: Pairs of neighbours whose answer an array holds, the last one asked for in each place; a power of two.
+PAIR_PLACES = 1 << 20
+#: Texts of so many characters are looked through for unseen matches at once; so few of these are encoded one by one.
+TEXT_CHARS = 1 << 21
+FEW_MATCHES = 200
+LONG_MATCH = 64
 BLOCK_CHARS = 1 << 16
 BLOCK_IDS = 1 << 16
 
@@ -129,6 +141,12 @@ class Transducer:
         self.steps: list[dict[int, int]] = [{}]
         #: (id, length) of the tokens that end in a state, the longest first.
         self.ending: list[list[tuple[int, int]]] = [[]]
+        #: The same as arrays: steps (-1: not made yet), and where a state's tokens begin among all, with length 0 behind the last.
+        self.table = np.full((64, 256), -1, dtype=np.int32)
+        self.first = np.zeros(64, dtype=np.int64)
+        self.end_token, self.end_size, self.listed = np.zeros(64, dtype=np.int64), np.zeros(64, dtype=np.int64), [0, 0]
+        self.asked = np.full(PAIR_PLACES, -1, dtype=np.int64)
+        self.answers = np.zeros(PAIR_PLACES, dtype=bool)
 
     def _step(self, state: int, byte: int) -> int:
         """Make the transition: of the tokens begun, those that take the byte go on; the longest names the state."""
@@ -179,6 +197,90 @@ class Transducer:
                 self._tell(state, ids, last, size)
         return ids + self._chain(last, size, len(last) - 1)
 
+    def _list(self) -> None:
+        """Bring the arrays of states up to date."""
+        states, tokens = self.listed
+        new = [t for state in self.ending[states:] for t in (*state, (0, 0))]
+        if len(self.names) > len(self.table):
+            more = max(len(self.names), 2 * len(self.table)) - len(self.table)
+            self.table = np.concatenate([self.table, np.full((more, 256), -1, dtype=np.int32)])
+            self.first = np.concatenate([self.first, np.zeros(more, dtype=np.int64)])
+        if tokens + len(new) > len(self.end_token):
+            more = np.zeros(tokens + len(new), dtype=np.int64)
+            self.end_token, self.end_size = np.concatenate([self.end_token, more]), np.concatenate([self.end_size, more])
+        self.end_token[tokens : tokens + len(new)] = [token for token, _ in new]
+        self.end_size[tokens : tokens + len(new)] = [n for _, n in new]
+        lengths = [len(state) + 1 for state in self.ending[states:]]
+        self.first[states : len(self.names)] = tokens + np.cumsum([0, *lengths])[:-1]
+        self.listed = [len(self.names), tokens + len(new)]
+
+    def _go(self, left: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """Whether tokens stay whole after others, given one higher, or at the start of a match (0)."""
+        asked = (left << 32) | token
+        at = ((asked.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).view(np.int64) & (PAIR_PLACES - 1)
+        goes = self.answers[at]
+        new = np.flatnonzero(self.asked[at] != asked)
+        if len(new):
+            different, which = np.unique(asked[new], return_inverse=True)
+            told = []
+            for key in different.tolist():
+                pair = ((key >> 32) - 1, key & 0xFFFFFFFF)
+                known = self.pairs.get(pair)
+                told.append(self._goes(pair) if known is None else known)
+            goes[new] = np.array(told, dtype=bool)[which]
+            # Of several pairs with one place any may stay, with its own answer.
+            self.asked[at[new]] = asked[new]
+            stays = self.asked[at[new]] == asked[new]
+            self.answers[at[new][stays]] = goes[new][stays]
+        return goes
+
+    def encode_all(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids of many matches, none of them empty: the machine reads a byte of each at a time."""
+        lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        order = np.argsort(-lengths, kind="stable")
+        text, starts, lengths = np.frombuffer(b"".join(pieces), dtype=np.uint8), (np.cumsum(lengths) - lengths)[order], lengths[order]
+        longest = int(lengths[0]) if len(lengths) else 0
+        # The token that ends at each place, one higher (0 at the start), and its length.
+        last, size = (np.zeros((longest + 1, len(pieces)), dtype=np.int32) for _ in range(2))
+        state = np.zeros(len(pieces), dtype=np.int64)
+        for place in range(1, longest + 1):
+            here = int(np.searchsorted(-lengths, -place, side="right"))
+            byte = text[starts[:here] + (place - 1)]
+            before, now = state[:here], self.table[state[:here], byte]
+            if len(new := np.flatnonzero(now < 0)):
+                for step in np.unique(before[new] * 256 + byte[new]).tolist():
+                    after = self._step(step // 256, step % 256)
+                    if len(self.names) > self.listed[0]:
+                        self._list()
+                    self.table[step // 256, step % 256] = after
+                now = self.table[before, byte]
+            state[:here] = now
+            open_, at = np.arange(here), self.first[now]
+            while len(open_):
+                token, n = self.end_token[at], self.end_size[at]
+                if not n.all():
+                    raise ValueError("the vocabulary does not hold all single bytes")
+                goes = self._go(last[place - n, open_].astype(np.int64), token)
+                done, left = open_[goes], ~goes
+                last[place, done], size[place, done] = token[goes] + 1, n[goes]
+                open_, at = open_[left], at[left] + 1
+        # From the end back.
+        told, open_, at = [], np.arange(len(pieces)), lengths
+        counts = np.zeros(len(pieces), dtype=np.int64)
+        while len(open_):
+            told.append((open_, last[at, open_] - 1))
+            counts[open_] += 1
+            at = at - size[at, open_]
+            open_, at = open_[at > 0], at[at > 0]
+        ends = np.cumsum(counts)
+        ids = np.empty(int(ends[-1]) if len(ends) else 0, dtype="<u4")
+        for i, (of, token) in enumerate(told):
+            ids[ends[of] - 1 - i] = token
+        packed, out = ids.tobytes(), [b""] * len(pieces)
+        for i, begin, end in zip(order.tolist(), (4 * (ends - counts)).tolist(), (4 * ends).tolist(), strict=True):
+            out[i] = packed[begin:end]
+        return out
+
     @staticmethod
     def _chain(last: list[int], size: list[int], at: int) -> list[int]:
         """The tokens up to a place, from the end back."""
@@ -216,13 +318,44 @@ class Matches(dict):
             if sys.byteorder == "big":
                 ids.byteswap()
             packed = ids.tobytes()
-        if len(match) <= 64:
+        if len(match) <= LONG_MATCH:
             if 2 * len(self) >= self.most:
                 self.before = dict(self)
                 self.clear()
             self[match] = packed
         return packed
 
+    def seen(self, matches: list[str]) -> tuple[list[bytes | None], list[int], list[str]]:
+        """Packed ids of the matches of a text, and the places and names of those not seen."""
+        parts = list(map(self.get, matches))
+        places = list(compress(range(len(parts)), map(is_, parts, repeat(None))))
+        return parts, places, [matches[i] for i in places]
+
+    def filled(self, texts: list[tuple[list[bytes | None], list[int], list[str]]]) -> Iterator[bytes]:
+        """Packed ids of several texts, whose unseen matches are encoded together."""
+        self._learn({m for _, _, unseen in texts for m in unseen})
+        for parts, places, unseen in texts:
+            for i, match in zip(places, unseen, strict=True):
+                parts[i] = self[match]
+            yield b"".join(parts)
+
+    def _learn(self, new: set[str]) -> None:
+        """Encode unseen matches together; a few, and very long ones, are left to be asked for."""
+        before = self.before
+        again = [m for m in new if m in before]
+        unseen = [m for m in new.difference(again) if len(m) <= LONG_MATCH]
+        if len(unseen) < FEW_MATCHES:
+            return
+        pieces = [m.encode("utf-8", "replace") for m in unseen]
+        whole = list(map(self.transducer.ranks.get, pieces))
+        parted = [rank is None for rank in whole]
+        packed = iter(self.transducer.encode_all(list(compress(pieces, parted))))
+        if 2 * (len(self) + len(new)) >= self.most:
+            self.before = dict(self)
+            self.clear()
+        self.update(zip(again, map(before.__getitem__, again), strict=True))
+        self.update(zip(unseen, [next(packed) if rank is None else rank.to_bytes(4, "little") for rank in whole], strict=True))
+
 
 class Utf8Stream:
     """Text of byte blocks; an unfinished sequence waits for the next block."""
@@ -249,6 +382,14 @@ class Utf8Stream:
         return rest.decode("utf-8", "replace")
 
 
+#: The customary split pattern, and its like for texts of ASCII characters only.
+ASCII_PATTERNS = {
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+": (
+        r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
+    )
+}
+
+
 class Codec:
     """Encoder and decoder of one vocabulary, with the memos of this worker."""
 
@@ -257,8 +398,13 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.matches = Matches(Transducer(ranks))
         self.pattern = regex.compile(pattern)
+        #: In ASCII texts the standard library's engine finds the same matches in less time.
+        self.ascii = re.compile(ASCII_PATTERNS[pattern]) if pattern in ASCII_PATTERNS else None
         self.tokens = self.matches.transducer.tokens
 
+    def _split(self, text: str) -> list[str]:
+        return (self.ascii if self.ascii and text.isascii() else self.pattern).findall(text)
+
     def blocks(self, text: str) -> Iterator[str]:
         """Parts of about BLOCK_CHARS that begin at a space after a non-space, where a match always begins."""
         at = 0
@@ -270,7 +416,23 @@ class Codec:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        return b"".join(b"".join(map(self.matches.__getitem__, self.pattern.findall(x))) for x in self.blocks(text))
+        return b"".join(b"".join(map(self.matches.__getitem__, self._split(x))) for x in self.blocks(text))
+
+    def encode_all(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """The same for many texts, in order; unseen matches of about ``TEXT_CHARS`` are encoded together."""
+        held = []
+        chars = 0
+        for text in texts:
+            long = text is not None and len(text) > BLOCK_CHARS
+            if chars >= TEXT_CHARS or long:
+                yield from self.matches.filled(held)
+                held, chars = [], 0
+            if long:
+                yield self.encode(text)
+            else:
+                held.append(self.matches.seen(self._split(text or "")))
+                chars += len(text or "")
+        yield from self.matches.filled(held)
 
     def decode(self, packed: bytes | None) -> str:
         ids = array("I", packed or b"")
@@ -292,6 +454,8 @@ def codec(content: bytes, pattern: str) -> Codec:
     if key not in _CODECS:
         _CODECS.clear()
         _CODECS[key] = Codec(parse_ranks(content), pattern)
+        # Vocabulary and memos have no cycles: the collector need not walk through them again and again.
+        gc.freeze()
     return _CODECS[key]
 
 
@@ -312,7 +476,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", into: str
     def ids(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = codec(vocabulary.value, pattern)
         for part in parts:
-            yield part.map(own.encode)
+            yield pd.Series(list(own.encode_all(part)), dtype=object)
 
     return df.withColumn(into, ids(F.make_valid_utf8(text_of(text))))
 

@@ -90,3 +90,46 @@ def test_bytes_that_are_not_utf8(spark):
 
 def test_ranks_are_parsed():
     assert bpe.parse_ranks(base64.b64encode(b"ab") + b" 7\n") == {b"ab": 7}
+
+
+def test_matches_together_equal_one_by_one(spark):
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choice("abcdeé漢 ") for _ in range(rng.randrange(12))) for _ in range(90)) for _ in range(60)]
+    texts += [None, "", "x", "z" * 100_000, "ab" * 40]
+    codec = bpe.Codec(RANKS, PATTERN)
+    asked, one = [], codec.matches.transducer.encode
+    codec.matches.transducer.encode = lambda piece: asked.append(piece) or one(piece)
+    got = [list(array("I", packed)) for packed in codec.encode_all(texts)]
+    assert got == [PLAIN.encode_ordinary(t or "") for t in texts]
+    # Unseen matches went through the machine together, but for very long ones.
+    assert {len(piece) > 64 for piece in asked} <= {True}
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: list(array("I", r.ids)) for r in bpe.encode(rows, PATH, PATTERN).collect()} == dict(enumerate(got))
+
+
+def test_matches_together_with_other_ranks_and_full_memos(monkeypatch):
+    """Vocabularies as above, with few places for pairs, so that they share them."""
+    monkeypatch.setattr(bpe, "PAIR_PLACES", 4)
+    rng = random.Random(4)
+    for _ in range(20):
+        tokens = [bytes((b,)) for b in range(256)]
+        while len(tokens) < 300:
+            joined = rng.choice(tokens[97:100] + tokens[256:]) + rng.choice(tokens[97:100] + tokens[256:])
+            if joined not in tokens:
+                tokens.append(joined)
+        rest = tokens[256:]
+        rng.shuffle(rest)
+        ranks = {t: i for i, t in enumerate(tokens[:256] + rest)}
+        machine = bpe.Transducer(ranks, max_pairs=5)
+        pieces = [bytes(rng.choice(b"abc") for _ in range(rng.randrange(1, 30))) for _ in range(40)]
+        pieces = [p for p in pieces if p not in ranks]
+        assert [list(array("I", p)) for p in machine.encode_all(pieces)] == [[ranks[t] for t in bpe.merge(p, ranks)] for p in pieces]
+        assert machine.encode_all([]) == []
+    with pytest.raises(ValueError, match="byte 100|single bytes"):
+        bpe.Transducer({b"a": 0, b"b": 1}).encode_all([b"abd"])
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(st.characters(max_codepoint=127), max_size=60))
+def test_ascii_texts_are_split_alike(text):
+    assert CODEC.ascii is not None and CODEC.ascii.findall(text) == CODEC.pattern.findall(text)
