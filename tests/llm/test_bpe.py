@@ -130,6 +130,15 @@ def test_matches_together_with_other_ranks_and_full_memos(monkeypatch):
 
 
 @settings(max_examples=500, deadline=None)
-@given(st.text(st.characters(max_codepoint=127), max_size=60))
-def test_ascii_texts_are_split_alike(text):
-    assert CODEC.ascii is not None and CODEC.ascii.findall(text) == CODEC.pattern.findall(text)
+@given(st.text(st.characters(max_codepoint=127), max_size=60), st.text(st.characters(max_codepoint=bpe.WRITTEN_OUT - 1), max_size=60))
+def test_patterns_written_out_split_alike(ascii, other):
+    for text in (ascii, other, ascii + other):
+        assert CODEC.written_out.findall(text) == CODEC.pattern.findall(text)
+
+
+def test_every_character_is_split_alike():
+    for i in range(0x110000):
+        if not 0xD800 <= i < 0xE000:
+            text = f"a {chr(i)}1{chr(i)}  {chr(i)}"
+            assert i >= bpe.WRITTEN_OUT or CODEC.written_out.findall(text) == CODEC.pattern.findall(text)
+            assert (CODEC._later.search(text) is not None) == (i >= bpe.WRITTEN_OUT)
