@@ -161,6 +161,81 @@ def test_paragraphs_hold_every_word_once(text):
     assert all(a[1] <= b[0] for a, b in zip(found, found[1:]))
 
 
+def test_texts_read_together_fall_into_the_same_paragraphs():
+    sentence = re.compile(r"[^\n.!?…]+(?:[.!?…](?![\x20\x09-\x0D]|\Z)[^\n.!?…]*)*[.!?…]*|[.!?…]+")
+    rng = random.Random(16)
+    texts = ["".join(rng.choice("ab. .!?…\n\t\x0b é9_Σ İ漢ǅ²") for _ in range(rng.randrange(0, 300))) for _ in range(300)]
+    texts += ["", prose(rng, 500), "x" * 10_000 + " " + "Y" * 9_000, "..a b", "4.0 is. five.\n\n...six"]
+
+    def expected(text):
+        out, held, start, end = [], 0, 0, 0
+        for m in sentence.finditer(text):
+            if not (n := len(re.findall(r"\w+", m.group()))):
+                continue
+            if held and (n > paragraphs.LONG_SENTENCE or "\n" in text[end : m.start()]):
+                out.append((start, end))
+                held = 0
+            if n > paragraphs.LONG_SENTENCE:
+                out.append((m.start(), m.end()))
+                continue
+            start = start if held else m.start()
+            held, end = held + n, m.end()
+            if n >= paragraphs.ENDING_WORDS:
+                out.append((start, end))
+                held = 0
+        return out + [(start, end)] * bool(held)
+
+    r = paragraphs.read(texts)
+    firsts, begins, ends = paragraphs.cut(r)
+    owner = np.searchsorted(r.firsts, firsts, "right") - 1
+    hashes = {}
+    for i, text in enumerate(texts):
+        words = [w.lower() for w in re.findall(r"\w+", text)]
+        for w, h in zip(words, r.ids[r.firsts[i] : r.firsts[i + 1]].tolist(), strict=True):
+            assert hashes.setdefault(w, h) == h
+        own = [(int(b - r.offsets[i]), int(e - r.offsets[i])) for b, e in zip(begins[owner == i], ends[owner == i])]
+        assert own == [p[:2] for p in paragraphs.paragraphs(text)]
+        # Pieces of a long sentence hold its words, without the marks at its end.
+        whole = [p for p in expected(text) if len(re.findall(r"\w+", text[slice(*p)])) <= paragraphs.LONG_SENTENCE]
+        long = [p for p in expected(text) if p not in whole]
+        assert [p for p in own if not any(a <= p[0] and p[1] <= b for a, b in long)] == whole
+    assert len(set(hashes.values())) == len(hashes)
+
+
+def test_only_keys_of_different_paragraphs_come_back(spark):
+    rng = random.Random(17)
+    rows = [(i, prose(rng, 120)) for i in range(40)]
+    # Copies meet in their block; a word at the edge of a sentence makes a near copy.
+    rows += [(100 + i, t) for i, t in rows[:20]] + [(200 + i, re.sub(r"\. (\w+)", r". Other", t)) for i, t in rows[:10]]
+    rows += [(300, None), (301, "..."), (302, "one two")]
+    _, sketches, _ = paragraphs.measure(spark.createDataFrame(rows, "doc_id long, text string"))
+    holders = {}
+    for r in sketches.collect():
+        counts = paragraphs.counted(np.array(r.words), paragraphs.BANDS, paragraphs.LEAST).tolist()
+        assert len(r["keys"]) == sum(counts)
+        keys = iter(r["keys"])
+        for node, n in zip(r.nodes, counts):
+            for _ in range(n):
+                holders.setdefault(next(keys), set()).add(node)
+    expected = sorted((k, n) for k, ns in holders.items() if len(ns) > 1 for n in ns)
+    assert expected
+    assert sorted(map(tuple, paragraphs._met(sketches, paragraphs.BANDS, paragraphs.LEAST).collect())) == expected
+
+
+def test_sketches_are_dropped_once_read(spark):
+    from tarmac import session
+
+    before = len(session._STAGES)
+    rng = random.Random(18)
+    shared = prose(rng, 60)
+    df = spark.createDataFrame([(i, f"{prose(rng, 40)} {shared} {prose(rng, 40)}") for i in range(6)], "doc_id long, text string")
+    found = paragraphs.repeated(df)
+    # Keys and windows are most of what is stored; passages are read from the rest.
+    stored = [spark.read.parquet(p) for p in session._STAGES[before:]]
+    assert not [x for x in stored if "windows" in x.columns and not x.where("windows is not null").isEmpty()]
+    assert sorted((r.doc_id, r.first_doc_id, r.remove) for r in found.collect()) == [(i, 0, i > 0) for i in range(6)]
+
+
 def test_every_passage_of_51_words_is_found_whole(spark):
     rng = random.Random(11)
     word = lambda: f"{rng.choice('abcdefgh')}{rng.randrange(10**5)}"
