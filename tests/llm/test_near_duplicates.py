@@ -236,6 +236,30 @@ def test_sketches_are_dropped_once_read(spark):
     assert sorted((r.doc_id, r.first_doc_id, r.remove) for r in found.collect()) == [(i, 0, i > 0) for i in range(6)]
 
 
+def test_keys_are_dropped_before_texts_are_dealt(spark, monkeypatch):
+    from tarmac import session
+
+    before, seen = len(session._STAGES), []
+    words = paragraphs._words
+
+    def stored(column):
+        kinds = [x for p in session._STAGES[before:] for x in [spark.read.parquet(p)] if column in x.columns]
+        return sum(x.where(F.col(column).isNotNull()).count() for x in kinds)
+
+    def watched(*args):
+        seen.append((stored("keys"), stored("nodes"), stored("windows")))
+        return words(*args)
+
+    monkeypatch.setattr(paragraphs, "_words", watched)
+    rng = random.Random(19)
+    shared = prose(rng, 60)
+    df = spark.createDataFrame([(i, f"{prose(rng, 40)} {shared} {prose(rng, 40)}") for i in range(6)], "doc_id long, text string")
+    found = paragraphs.repeated(df)
+    # Keys are most of what is stored; nodes and windows are still to be read.
+    assert seen == [(0, 6, 6)]
+    assert sorted((r.doc_id, r.first_doc_id, r.remove) for r in found.collect()) == [(i, 0, i > 0) for i in range(6)]
+
+
 def test_every_passage_of_51_words_is_found_whole(spark):
     rng = random.Random(11)
     word = lambda: f"{rng.choice('abcdefgh')}{rng.randrange(10**5)}"
