@@ -280,3 +280,31 @@ def test_checks(spark):
 
 def test_features_schema_matches_the_contract(spark):
     assert spark.createDataFrame([], FEATURES).columns == FEATURE_COLUMNS and len(FEATURE_COLUMNS) == 21
+
+
+def test_a_folder_has_pages_of_its_own_documents(spark, tmp_path, monkeypatch):
+    from datetime import datetime
+
+    from workload import landing_queries
+
+    # Keys far apart, of two airports and two statuses, some of them null or repeated.
+    orders = [(i * 9000, i % 2, "OF"[i % 3 == 0], 5.0, datetime(2024, 1, 1), "5-LOW") for i in range(60)]
+    orders += [(None, 0, "O", 5.0, datetime(2024, 1, 1), "5-LOW"), (0, None, "O", 5.0, datetime(2024, 1, 1), "5-LOW")] + orders[:3]
+    schema = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+    spark.createDataFrame(orders, schema).write.parquet(f"{tmp_path}/orders.parquet")
+
+    def documents(*folders):
+        path = landing_queries._zone(spark, str(tmp_path), *folders)
+        read = spark.read.json(path, schema="data ARRAY<STRUCT<flight_date: string>>, error string", multiLine=True)
+        held = read.select(*folders, F.size("data").alias("n"), "error", F.col("_metadata.file_path").alias("file")).collect()
+        assert len({r["file"] for r in held}) == len(held)
+        return [r.n for r in held if r.error is None], [tuple(r)[: len(folders)] for r in held if r.error is not None]
+
+    sizes, errors = documents("airport")
+    assert (len(sizes), sum(sizes), sorted(errors, key=str)) == (3, 65, [("A0",), ("A1",), (None,)])
+    sizes, errors = documents("airport", "status")
+    assert (len(sizes), sum(sizes), len(errors)) == (5, 65, 5)
+    # A folder with more documents than a page holds has several.
+    monkeypatch.setattr(landing_queries, "PAGE", 8)
+    sizes, _ = documents("airport")
+    assert len(sizes) > 6 and sum(sizes) == 65

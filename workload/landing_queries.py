@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tarmac.functions import weather as wx
 from tarmac.operators import profile, shape
@@ -19,15 +20,30 @@ PAGE = 4000
 
 
 def _files(df: DataFrame, path: str, page: str, folders: list[str] | None = None, wrap: str | None = None) -> str:
-    """One JSON file per page (and folder values): an array of documents, or an object with the array in ``wrap``."""
-    documents = [c for c in df.columns if c not in (page, *(folders or []))]
-    paged = df.withColumn("page", F.floor(F.col(page) / PAGE))
-    grouped = paged.groupBy("page", *(folders or [])).agg(F.collect_list(F.struct(*documents)).alias("documents"))
+    """One JSON file per page: an array of documents, or an object with the array in ``wrap``. Each folder has pages of its own."""
+    folders = folders or []
+    documents = [c for c in df.columns if c not in (page, *folders)]
+    grouped = _paged(df, page, folders).groupBy("page", *folders).agg(F.collect_list(F.struct(*documents)).alias("documents"))
     value = F.to_json("documents") if wrap is None else F.to_json(F.struct(F.col("documents").alias(wrap)))
-    grouped.select(*(folders or []), "page", value.alias("value")).write.partitionBy(*(folders or []), "page").text(path)
+    _land(grouped.select(*folders, value.alias("value")), path, folders)
     return path
 
 
+def _paged(df: DataFrame, page: str, folders: list[str]) -> DataFrame:
+    """``page`` for every row: ranges of the column, or within a folder parts of its hashes, as many as the folder's documents fill."""
+    if not folders:
+        return df.withColumn("page", F.floor(F.col(page) / PAGE))
+    sizes = df.groupBy(*[F.col(c).alias(f"of_{c}") for c in folders]).agg(F.ceil(F.count("*") / PAGE).alias("pages"))
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in folders])
+    # A row per folder, of which the reader lists each.
+    return df.join(F.broadcast(sizes), same).withColumn("page", F.pmod(F.xxhash64(page), F.col("pages")))
+
+
+def _land(files: DataFrame, path: str, folders: list[str], mode: str = "errorifexists") -> None:
+    """Each row a file. Pages have no folders of their own: those would have to be made and listed one by one."""
+    files.write.mode(mode).option("maxRecordsPerFile", 1).partitionBy(*folders).text(path)
+
+
 _FLIGHT_COLUMNS = "flight_date, flight_status, flight_iata, departure_iata, arrival_iata, airline_name, codeshared AS shared"
 
 
@@ -69,8 +85,8 @@ def _zone(spark, sf, *folders) -> str:
     rows = flights(spark, sf).withColumns({"airport": F.col("departure.iata"), "status": F.col("flight_status")})
     rows = rows.drop(*[c for c in ("airport", "status") if c not in folders])
     path = _files(rows, scratch_path(spark, "zone"), "pos", list(folders), "data")
-    errors = rows.select(*folders).distinct().select(*folders, F.lit(-1).alias("page"), F.lit('{"error": "quota"}').alias("value"))
-    errors.write.mode("append").partitionBy(*folders, "page").text(path)
+    errors = rows.select(*folders).distinct().select(*folders, F.lit('{"error": "quota"}').alias("value"))
+    _land(errors, path, list(folders), "append")
     return path
 
 
