@@ -84,10 +84,16 @@ def drop_stage(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def fresh_stage(spark: SparkSession, label: str = "stage") -> str:
+    """A fresh path for a staged table, which :func:`clear_stages` removes."""
+    path = scratch_path(spark, label)
+    _STAGES.append(path)
+    return path
+
+
 def staged_by(df: DataFrame, column: str, label: str = "stage") -> str:
     """Write ``df`` to the shared folder, rows of each value of the column in a folder ``column=value``; returns the folder of all."""
-    path = scratch_path(df.sparkSession, label)
-    _STAGES.append(path)
+    path = fresh_stage(df.sparkSession, label)
     df.write.partitionBy(column).parquet(path)
     return path
 
@@ -107,7 +113,6 @@ def cut_lineage(df: DataFrame, label: str = "stage", path: str | None = None) ->
     the columns they need. Repeating jobs give a ``path`` of their own, which each run replaces.
     """
     if path is None:
-        path = scratch_path(df.sparkSession, label)
-        _STAGES.append(path)
+        path = fresh_stage(df.sparkSession, label)
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

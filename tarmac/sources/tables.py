@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.operators.merge import absent_rows, merge_rows
-from tarmac.session import cut_lineage
+from tarmac.session import cut_lineage, drop_stage, free_shuffles, fresh_stage
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -141,7 +141,8 @@ def _touched(path: str, batch: DataFrame, partition_by: str) -> DataFrame | None
     named = folder.where("text is not null").select("touched").distinct()
     nameless = folder.agg(F.bool_or(F.col("text").isNull()).alias("any")).scalar()
     at_default = target.where(F.col(partition_by).isNull() & F.coalesce(nameless, F.lit(False)))
-    return target.join(named, F.col(partition_by) == F.col("touched"), "left_semi").unionByName(at_default)
+    # A row per folder, of which the writer makes or lists each; without the hint the whole table may be shuffled for them.
+    return target.join(F.broadcast(named), F.col(partition_by) == F.col("touched"), "left_semi").unionByName(at_default)
 
 
 def upsert_table(
@@ -151,20 +152,32 @@ def upsert_table(
 
     The last known value of each column wins; columns the batch leaves null keep their stored
     value, and so do columns it does not have; nested structs are replaced whole. ``partition_by`` must be a function of the key.
-    The batch is evaluated once, into ``stage``; a stream reuses one folder for all its batches.
+    The batch is evaluated once, into ``stage``; a stream reuses one folder for all its batches. Without one the batch is dropped
+    once it is merged, and the space of each step's shuffles is given back before the next one.
     """
     spark, field = batch.sparkSession, batch.schema[partition_by]
     recover(spark, path, field)
-    batch = cut_lineage(batch, path=stage)
-    merged = merge_rows(_touched(path, batch, partition_by), batch, key, order)
-    merged = cut_lineage(merged, path=f"{path}/{PENDING}")
+    own = fresh_stage(spark) if stage is None else None
+    batch = _step(batch, own or stage, own)
+    merged = _step(merge_rows(_touched(path, batch, partition_by), batch, key, order), f"{path}/{PENDING}", own)
+    if own:
+        drop_stage(spark, own)
     _replace_folders(merged, path, partition_by)
     # At most three rows; they are fetched here because the merged rows go.
     counts = merged.groupBy("merge_action").agg(F.count("*").alias("rows")).collect()
     _drop_pending(spark, path)
+    if own:
+        free_shuffles(spark)
     return spark.createDataFrame(counts, "merge_action string, rows long")
 
 
+def _step(df: DataFrame, path: str, free: str | None) -> DataFrame:
+    stored = cut_lineage(df, path=path)
+    if free:
+        free_shuffles(df.sparkSession)
+    return stored
+
+
 def insert_if_absent(
     batch: DataFrame, path: str, key: str, order: list[str], partition_by: str, stage: str | None = None
 ) -> DataFrame:

@@ -188,3 +188,33 @@ def test_null_and_empty_folders(spark, rows):
     counts = tables.upsert_table(keyed(spark, [("a", None, 2), ("d", "", 2)], ddl), path, "_id", ["seq"], "day")
     assert rows(counts) == [("inserted", 1), ("kept", 1), ("updated", 1)]
     assert rows(tables.read_table(spark, path), "_id", "seq") == [("a", 2), ("b", 1), ("c", 1), ("d", 2)]
+
+
+def test_an_upsert_leaves_no_staged_batch(spark, tmp_path, rows):
+    import os
+
+    from tarmac import session
+
+    before, path = len(session._STAGES), str(tmp_path / "table")
+    schema = "k string, day string, at int, v string"
+    tables.upsert_table(spark.createDataFrame([("a", "x", 1, "1"), ("b", None, 1, "1"), ("c", "y", 1, "1")], schema), path, "k", ["at"], "day")
+    again = spark.createDataFrame([("a", "x", 2, "2"), ("b", None, 2, "2"), ("d", "z", 2, "2"), ("d", "z", 3, None)], schema)
+    counts = tables.upsert_table(again, path, "k", ["at"], "day")
+    staged = session._STAGES[before:]
+    assert len(staged) == 2 and not [p for p in staged if os.path.exists(p.removeprefix("file:"))]
+    assert rows(counts, "merge_action", "rows") == [("inserted", 1), ("updated", 2)]
+    assert rows(tables.read_table(spark, path), "k", "v") == [("a", "2"), ("b", "2"), ("c", "1"), ("d", "2")]
+    # The folders of a batch are few and do not make the table's rows move.
+    touched = tables._touched(path, again, "day")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in touched and "SortMergeJoin" not in touched
+
+
+def test_folders_of_a_batch_are_broadcast_at_any_size(spark, tmp_path):
+    path, limit = str(tmp_path / "table"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    batch = spark.createDataFrame([("a", "x", 1)], "k string, day string, at int")
+    tables.upsert_table(batch, path, "k", ["at"], "day")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" not in tables._touched(path, batch, "day")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

@@ -19,13 +19,15 @@ from workload.tables import FLIGHTS_SQL, WEATHER_SQL, flights, load, weather
 PAGE = 4000
 
 
-def _files(df: DataFrame, path: str, page: str, folders: list[str] | None = None, wrap: str | None = None) -> str:
+def _files(
+    df: DataFrame, path: str, page: str, folders: list[str] | None = None, wrap: str | None = None, compression: str | None = None
+) -> str:
     """One JSON file per page: an array of documents, or an object with the array in ``wrap``. Each folder has pages of its own."""
     folders = folders or []
     documents = [c for c in df.columns if c not in (page, *folders)]
     grouped = _paged(df, page, folders).groupBy("page", *folders).agg(F.collect_list(F.struct(*documents)).alias("documents"))
     value = F.to_json("documents") if wrap is None else F.to_json(F.struct(F.col("documents").alias(wrap)))
-    _land(grouped.select(*folders, value.alias("value")), path, folders)
+    _land(grouped.select(*folders, value.alias("value")), path, folders, compression=compression)
     return path
 
 
@@ -39,9 +41,9 @@ def _paged(df: DataFrame, page: str, folders: list[str]) -> DataFrame:
     return df.join(F.broadcast(sizes), same).withColumn("page", F.pmod(F.xxhash64(page), F.col("pages")))
 
 
-def _land(files: DataFrame, path: str, folders: list[str], mode: str = "errorifexists") -> None:
+def _land(files: DataFrame, path: str, folders: list[str], mode: str = "errorifexists", compression: str | None = None) -> None:
     """Each row a file. Pages have no folders of their own: those would have to be made and listed one by one."""
-    files.write.mode(mode).option("maxRecordsPerFile", 1).partitionBy(*folders).text(path)
+    files.write.mode(mode).option("maxRecordsPerFile", 1).partitionBy(*folders).text(path, compression=compression)
 
 
 _FLIGHT_COLUMNS = "flight_date, flight_status, flight_iata, departure_iata, arrival_iata, airline_name, codeshared AS shared"
@@ -231,7 +233,7 @@ def weather_variants(spark, sf):
 
     def land(documents, version):
         versioned = documents.withColumn("version", F.lit(version))
-        landed = landing.read_variants(spark, _files(versioned, scratch_path(spark, "land"), "order"))
+        landed = landing.read_variants(spark, _files(versioned, scratch_path(spark, "land"), "order", compression="gzip"))
         keyed = {"_id": "$._id", "name": "$.name"}
         batch = landed.select("doc", *[F.try_variant_get("doc", p, "string").alias(c) for c, p in keyed.items()], F.lit(version).alias("at"))
         tables.upsert_table(batch, table, "_id", ["at"], "name")
